@@ -23,15 +23,22 @@ def ids_are_unique(messages: DataFrame, key: str) -> bool:
     return top is None or top == 1
 
 
-def child_rows(
-    parents: DataFrame, array: str, keep: Sequence[str], fields: Sequence[Column]
-) -> DataFrame:
-    """One row per array element; parents with a null or empty array give none.
+def exploded(parents: DataFrame, array: Column | str, keep: Sequence[str]) -> DataFrame:
+    """One row per array element, named ``element``; a null or empty array gives none.
 
-    ``fields`` are columns over the exploded struct, which is named ``element``.
+    A plain ``explode`` makes the optimizer add a filter on the array's size below it, and that
+    filter would parse the payload a second time. Dropping the rows without a position has the
+    same result with one parse.
     """
-    exploded = parents.select(*keep, F.explode(array).alias(ELEMENT))
-    return exploded.select(*keep, *fields)
+    frame = parents.select(*keep, F.posexplode_outer(array).alias("position", ELEMENT))
+    return frame.filter(F.col("position").isNotNull()).drop("position")
+
+
+def child_rows(
+    parents: DataFrame, array: Column | str, keep: Sequence[str], fields: Sequence[Column]
+) -> DataFrame:
+    """Child rows: columns of the parent and ``fields``, columns over ``element``."""
+    return exploded(parents, array, keep).select(*keep, *fields)
 
 
 def _matching(test: Callable[[Column], Column]) -> Callable[[Column], Column]:
@@ -57,9 +64,13 @@ def matching_child(
         return frame.select(*rest, *[get(F.col(ELEMENT)).alias(name) for name, get in fields.items()])
     if how != "join":
         raise ValueError(f"unknown form {how!r}")
-    exploded = parents.select(F.col(key).alias("child_key"), F.explode(array).alias(ELEMENT))
-    children = exploded.filter(test(F.col(ELEMENT))).select(
-        "child_key", *[get(F.col(ELEMENT)).alias(name) for name, get in fields.items()]
+    children = (
+        exploded(parents, array, [key])
+        .filter(test(F.col(ELEMENT)))
+        .select(
+            F.col(key).alias("child_key"),
+            *[get(F.col(ELEMENT)).alias(name) for name, get in fields.items()],
+        )
     )
     joined = parents.drop(array).join(children, F.col(key) == F.col("child_key"), "left")
     return joined.select(*rest, *fields)
@@ -100,12 +111,12 @@ def attributes(
         return frame.select(*rest, *wanted)
     if how != "join":
         raise ValueError(f"unknown form {how!r}")
-    exploded = parents.select(F.col(key).alias("pair_key"), F.explode(array).alias(ELEMENT))
+    pairs = exploded(parents, array, [key])
     frame = parents.drop(array)
     for number, (column, name) in enumerate(wanted.items()):
         pair_key = f"pair_key_{number}"
-        side = exploded.filter(_named(name)(F.col(ELEMENT))).select(
-            F.col("pair_key").alias(pair_key),
+        side = pairs.filter(_named(name)(F.col(ELEMENT))).select(
+            F.col(key).alias(pair_key),
             shaped(column, F.col(ELEMENT)["value"]).alias(column),
         )
         frame = frame.join(side, F.col(key) == F.col(pair_key), "left").drop(pair_key)

@@ -23,6 +23,7 @@ def local_session(cores: str | int = 8, memory: str = "8g", **extra: str) -> Spa
         SparkSession.builder.master(f"local[{cores}]")
         .appName("msgmart")
         .config("spark.ui.enabled", "false")
+        .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", memory)
         .config("spark.sql.shuffle.partitions", "8")
     )
@@ -33,13 +34,18 @@ def local_session(cores: str | int = 8, memory: str = "8g", **extra: str) -> Spa
     return spark
 
 
+_LOCAL_FOLDERS: dict[str, str] = {}
+
+
 def scratch_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (a local run) is a temporary folder made and set.
+    Only where that setting is absent (a local run) a temporary folder stands in for it.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        shared = tempfile.mkdtemp(prefix="msgmart-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        application = spark.sparkContext.applicationId
+        if application not in _LOCAL_FOLDERS:
+            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="msgmart-")
+        shared = _LOCAL_FOLDERS[application]
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"
