@@ -3,7 +3,7 @@
 The last two exist in two forms. ``how="array"`` works inside the row and moves no data.
 ``how="join"`` explodes the elements and joins them back to the messages by id, so elements of
 messages that share an id meet every message with that id. Both give the same rows as long as
-ids are unique; :func:`ids_are_unique` tells.
+ids are unique; :func:`msgmart.operators.increments.measure` tells.
 """
 
 from __future__ import annotations
@@ -16,13 +16,6 @@ from pyspark.sql import functions as F
 ELEMENT = "element"
 
 
-def ids_are_unique(messages: DataFrame, key: str) -> bool:
-    """Whether no two rows share ``key``. Ids are counted before the shuffle, which moves ids only."""
-    counts = messages.groupBy(key).count()
-    top = counts.agg(F.max("count").alias("n")).first()["n"]
-    return top is None or top == 1
-
-
 def exploded(parents: DataFrame, array: Column | str, keep: Sequence[str]) -> DataFrame:
     """One row per array element, named ``element``; a null or empty array gives none.
 

@@ -11,16 +11,32 @@ from pyspark.sql import functions as F
 
 @dataclass(frozen=True)
 class Increment:
-    """Number of new messages and their greatest stamp, null when there are none."""
+    """Number of new messages and their greatest stamp, null when there are none.
+
+    ``unique`` tells whether no two of them share an id; null where that was not asked for.
+    """
 
     rows: int
     high: str | None
-
-
-def measure(messages: DataFrame, tracked: str = "acl_dop") -> Increment:
-    """Count and greatest stamp in one aggregate that reads no payload."""
-    row = messages.agg(F.count(F.lit(1)).alias("n"), F.max(tracked).alias("high")).first()
-    return Increment(row["n"], row["high"])
+    unique: bool | None = None
+
+
+def measure(messages: DataFrame, tracked: str = "acl_dop", key: str | None = None) -> Increment:
+    """Count and greatest stamp in one aggregate that reads no payload.
+
+    With ``key`` the same scan counts the rows per id first; each task counts its own rows, so
+    only ids with their counts are shuffled. A missing id counts as repeated.
+    """
+    if key is None:
+        row = messages.agg(F.count(F.lit(1)).alias("n"), F.max(tracked).alias("high")).first()
+        return Increment(row["n"], row["high"])
+    per_id = messages.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(tracked).alias("high"))
+    row = per_id.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.max("high").alias("high"),
+        F.coalesce(F.max(F.when(F.col(key).isNull(), 2).otherwise(F.col("n"))), F.lit(0)).alias("most"),
+    ).first()
+    return Increment(row["n"], row["high"], row["most"] <= 1)
 
 
 def measure_many(

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.timeparse import run_time, run_time_text
@@ -19,6 +19,10 @@ TRACKING_COLUMNS = (
     "table_name string, max_tracking_value string, col_name string, bdmp_loadstamp string, "
     "bdmp_id string, bdmp_area_id string, etl_process_name string"
 )
+LOG_COLUMNS = (
+    "workflow string, process string, log_type string, log_time timestamp, "
+    "log_entry string, log_entry2 string, log_entry3 string"
+)
 STARTED = "logic of process started"
 ENDED = "end of process"
 
@@ -48,11 +52,28 @@ def marks(tracking: DataFrame) -> DataFrame:
     )
 
 
+def one_row(spark: SparkSession, **values: str | Column) -> DataFrame:
+    """A single row of text literals or given columns, made without leaving the JVM."""
+    columns = [
+        (value if isinstance(value, Column) else F.lit(value)).alias(name)
+        for name, value in values.items()
+    ]
+    return spark.range(0, 1, 1, numPartitions=1).select(*columns)
+
+
 def mark_row(
     spark: SparkSession, process: str, table: str, value: str, column: str = "acl_dop"
 ) -> DataFrame:
-    row = spark.createDataFrame([(table, value, column, None, "", "", process)], TRACKING_COLUMNS)
-    return row.withColumn("bdmp_loadstamp", run_time_text())
+    return one_row(
+        spark,
+        table_name=table,
+        max_tracking_value=value,
+        col_name=column,
+        bdmp_loadstamp=run_time_text(),
+        bdmp_id="",
+        bdmp_area_id="",
+        etl_process_name=process,
+    )
 
 
 class Control:
@@ -63,16 +84,15 @@ class Control:
         self.spark = tables.spark
 
     def mark(self, process: str, table: str) -> Mark:
-        if not self.tables.exists(TRACKING):
-            return Mark(None)
-        return mark_of(self.tables.read(TRACKING), process, table)
+        tracking = self.tables.find(TRACKING, TRACKING_COLUMNS)
+        return Mark(None) if tracking is None else mark_of(tracking, process, table)
 
     def advance(self, process: str, table: str, value: str | None, column: str = "acl_dop") -> bool:
         """Replace the partition of the process by one new row; nothing to do without a value."""
         if not value:
             return False
         row = mark_row(self.spark, process, table, value, column)
-        self.tables.replace_partitions(row.coalesce(1), TRACKING, ["etl_process_name"])
+        self.tables.replace_partitions(row, TRACKING, ["etl_process_name"])
         return True
 
     def log(
@@ -81,30 +101,26 @@ class Control:
         """Append one log row; an empty entry writes nothing."""
         if not entry:
             return False
-        row = self.spark.createDataFrame(
-            [(WORKFLOW, process, kind, entry, entry2, entry3)],
-            "workflow string, process string, log_type string, log_entry string, "
-            "log_entry2 string, log_entry3 string",
-        )
-        ordered = row.select(
-            "workflow",
-            "process",
-            "log_type",
-            run_time().alias("log_time"),
-            "log_entry",
-            "log_entry2",
-            "log_entry3",
+        row = one_row(
+            self.spark,
+            workflow=WORKFLOW,
+            process=process,
+            log_type=kind,
+            log_time=run_time(),
+            log_entry=entry,
+            log_entry2=entry2,
+            log_entry3=entry3,
         )
-        self.tables.append(ordered.coalesce(1), LOG)
+        self.tables.append(row, LOG)
         return True
 
     def unfinished(self, process: str) -> bool:
         """Whether the last run of the process started but did not log its end."""
-        if not self.tables.exists(LOG):
+        log = self.tables.find(LOG, LOG_COLUMNS)
+        if log is None:
             return False
         row = (
-            self.tables.read(LOG)
-            .filter((F.col("process") == process) & F.col("log_entry").isin(STARTED, ENDED))
+            log.filter((F.col("process") == process) & F.col("log_entry").isin(STARTED, ENDED))
             .agg(F.max_by("log_entry", "log_time").alias("last"))
             .first()
         )

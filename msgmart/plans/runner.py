@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
@@ -12,13 +13,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.timeparse import stamp14
-from ..operators import arrays, increments
+from ..operators import increments
 from ..operators.increments import Increment
 from ..operators.latest import latest_by_max
 from ..sources.envelope import between_marks
 from ..sources.schema import infer_schema, merge_schemas
 from ..sources.tables import Tables, aligned
-from .control import ENDED, STARTED, Control, Mark
+from .control import ENDED, STARTED, Control, Mark, one_row
 from .spec import JobSpec
 
 SCHEMAS = "payload_schemas"
@@ -83,7 +84,9 @@ class Runner:
         low = None if self._whole(spec) else mark.value
         unfinished = self.control.unfinished(spec.process)
 
-        found = measured or increments.measure(between_marks(messages, low, upto, tracked), tracked)
+        found = measured or increments.measure(
+            between_marks(messages, low, upto, tracked), tracked, self._key(spec)
+        )
         self.control.log(
             spec.process,
             STARTED,
@@ -100,7 +103,8 @@ class Runner:
         if spec.full_recompute:
             written = self._write_snapshot(spec, new, schema)
         else:
-            written = self._write_increment(spec, new, schema, low if unfinished else None)
+            how = self._how(spec, found)
+            written = self._write_increment(spec, new, schema, how, low if unfinished else None)
         self.control.advance(spec.process, spec.source, found.high, tracked)
         self._log_end(spec, written)
         return Result(spec.process, found.rows, low, found.high, written)
@@ -108,9 +112,11 @@ class Runner:
     def run_all(self, specs: Sequence[JobSpec], upto: str | None = None) -> list[Result]:
         """The jobs in order; the first failure ends the run.
 
-        The increments of all jobs on one message table are measured in one scan of its envelope.
+        The increments of the jobs on one message table are measured in one scan of its envelope,
+        except where a job needs to know about repeated ids and has to scan them anyway.
         """
-        measured = self._measure_all([s for s in specs if not self._whole(s)], upto)
+        plain = [s for s in specs if not self._whole(s) and self._key(s) is None]
+        measured = self._measure_all(plain, upto)
         return [self.run(spec, upto, measured.get(spec.process)) for spec in specs]
 
     # -- steps -----------------------------------------------------------------------------
@@ -164,25 +170,25 @@ class Runner:
     def _grown_schema(self, spec: JobSpec, new: DataFrame) -> StructType:
         """Stored schema of the process, widened by the new messages and stored again."""
         schema = infer_schema(new)
-        if self.core.exists(SCHEMAS):
-            stored = (
-                self.core.read(SCHEMAS)
-                .filter(F.col("etl_process_name") == spec.process)
-                .select("payload_schema")
-                .first()
-            )
+        schemas = self.core.find(SCHEMAS, "payload_schema string, etl_process_name string")
+        if schemas is not None:
+            mine = schemas.filter(F.col("etl_process_name") == spec.process)
+            stored = mine.select("payload_schema").first()
             if stored:
-                schema = merge_schemas(StructType.fromJson(_json(stored["payload_schema"])), schema)
-        row = self.spark.createDataFrame(
-            [(schema.json(), spec.process)], "payload_schema string, etl_process_name string"
-        )
-        self.core.replace_partitions(row.coalesce(1), SCHEMAS, ["etl_process_name"])
+                known = StructType.fromJson(json.loads(stored["payload_schema"]))
+                schema = merge_schemas(known, schema)
+        row = one_row(self.spark, payload_schema=schema.json(), etl_process_name=spec.process)
+        self.core.replace_partitions(row, SCHEMAS, ["etl_process_name"])
         return schema
 
-    def _how(self, spec: JobSpec, new: DataFrame) -> str:
-        if spec.spread is None or self.options.how != "auto":
-            return "array" if self.options.how == "auto" else self.options.how
-        return "array" if arrays.ids_are_unique(new, "acl_id") else "join"
+    def _key(self, spec: JobSpec) -> str | None:
+        """The id whose repetition decides the form of the array operators."""
+        return "acl_id" if spec.spread is not None and self.options.how == "auto" else None
+
+    def _how(self, spec: JobSpec, found: Increment) -> str:
+        if self.options.how != "auto":
+            return self.options.how
+        return "join" if self._key(spec) and not found.unique else "array"
 
     def _write_snapshot(
         self, spec: JobSpec, new: DataFrame, schema: StructType | None
@@ -200,9 +206,14 @@ class Runner:
         return (spec.target,)
 
     def _write_increment(
-        self, spec: JobSpec, new: DataFrame, schema: StructType | None, resume_from: str | None
+        self,
+        spec: JobSpec,
+        new: DataFrame,
+        schema: StructType | None,
+        how: str,
+        resume_from: str | None,
     ) -> tuple[str, ...]:
-        outputs = spec.outputs(new, schema, self._how(spec, new))
+        outputs = spec.outputs(new, schema, how)
         written = []
         with _kept(outputs[spec.target], bool(spec.children)) as main:
             frames = {spec.target: main, **spec.children_of(main, schema)}
@@ -220,12 +231,12 @@ class Runner:
 
         Only rows above the mark are looked at, and only two narrow columns of them.
         """
-        if not self.core.exists(table):
+        target = self.core.find(table)
+        if target is None:
             return frame
         bound = stamp14(F.lit(low))
         there = (
-            self.core.read(table)
-            .filter(F.col("acl_dop_ISO").isNull() | (F.col("acl_dop_ISO") > bound))
+            target.filter(F.col("acl_dop_ISO").isNull() | (F.col("acl_dop_ISO") > bound))
             .select(F.col("acl_id_int").alias("there_id"), F.col("acl_dop_ISO").alias("there_time"))
         )
         same = F.col("acl_id_int").eqNullSafe(F.col("there_id")) & F.col("acl_dop_ISO").eqNullSafe(
@@ -244,23 +255,21 @@ class Runner:
 
 @contextmanager
 def _kept(frame: DataFrame, keep: bool):
-    """Hold a frame that feeds several writes, so that the payload is parsed once."""
+    """Hold a frame that feeds several writes, so that the payload is parsed once.
+
+    It stays on the executors' disks: it is as large as the increment, and a lost block is
+    computed again.
+    """
     if not keep:
         yield frame
         return
-    frame = frame.persist(StorageLevel.MEMORY_AND_DISK)
+    frame = frame.persist(StorageLevel.DISK_ONLY)
     try:
         yield frame
     finally:
         frame.unpersist()
 
 
-def _json(text: str) -> dict:
-    import json
-
-    return json.loads(text)
-
-
 def copy_table(
     source: DataFrame, build: Callable[[DataFrame], DataFrame], target: Tables, name: str
 ) -> int:

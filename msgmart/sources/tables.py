@@ -41,28 +41,37 @@ class Tables:
         return f"`{self.database}`.`{name}`" if self.database else f"{self.root}/{name}"
 
     def exists(self, name: str) -> bool:
+        return self.find(name, "any string") is not None
+
+    def find(self, name: str, schema: str | None = None) -> DataFrame | None:
+        """The table, or nothing if it is not there.
+
+        A known ``schema`` saves looking into the files of a folder.
+        """
         if self.database:
-            return self.spark.catalog.tableExists(f"{self.database}.{name}")
+            there = self.spark.catalog.tableExists(f"{self.database}.{name}")
+            return self.read(name) if there else None
         try:
-            self.read(name)
+            return self.read(name, schema)
         except AnalysisException as error:
             if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-                return False
+                return None
             raise
-        return True
 
-    def read(self, name: str) -> DataFrame:
+    def read(self, name: str, schema: str | None = None) -> DataFrame:
         if self.database:
             return self.spark.table(self.full_name(name))
-        return self.spark.read.parquet(self.full_name(name))
+        reader = self.spark.read.schema(schema) if schema else self.spark.read
+        return reader.parquet(self.full_name(name))
 
     def sql(self, name: str, template: str = "SELECT * FROM {table}") -> DataFrame:
         """A SQL statement over one table, which it names ``{table}``."""
         return self.spark.sql(template, table=self.read(name))
 
     def append(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
-        if self.exists(name):
-            df = aligned(df, self.read(name).schema)
+        target = self.find(name)
+        if target is not None:
+            df = aligned(df, target.schema)
         self._save(df.write.mode("append").partitionBy(*partition_by), name)
 
     def overwrite(self, df: DataFrame, name: str, partition_by: Sequence[str] = ()) -> None:
@@ -70,10 +79,11 @@ class Tables:
 
     def replace_partitions(self, df: DataFrame, name: str, partition_by: Sequence[str]) -> None:
         """Overwrite only the partitions that occur in ``df``."""
-        if not self.exists(name):
+        target = self.find(name)
+        if target is None:
             self._save(df.write.mode("append").partitionBy(*partition_by), name)
             return
-        df = aligned(df, self.read(name).schema)
+        df = aligned(df, target.schema)
         if self.database:
             with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
                 df.write.insertInto(self.full_name(name), overwrite=True)

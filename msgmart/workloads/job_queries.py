@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..operators import arrays
+from ..operators import increments
 from ..plans import jobs
 from ..plans.spec import JobSpec
 from . import lake
@@ -28,7 +28,7 @@ def job_frame(
     messages = spec.messages(build(spark, folder))
     schema = spec.inferred(messages) if inferred else None
     how = "array"
-    if spec.spread is not None and not arrays.ids_are_unique(messages, "acl_id"):
+    if spec.spread is not None and not increments.measure(messages, key="acl_id").unique:
         how = "join"
     return as_text(spec.outputs(messages, schema, how)[table or spec.target])
 

@@ -15,7 +15,11 @@ NEW_LAYOUT_FROM = "1998-01-01"
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    """A supplied table. Where the scan has fewer tasks than the session has cores, its rows are
+    spread over all of them; a large table has enough splits and is left alone."""
+    rows = spark.read.parquet(f"{folder}/{name}.parquet")
+    cores = spark.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
 
 
 def messages(
