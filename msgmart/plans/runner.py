@@ -193,7 +193,7 @@ class Runner:
     def _write_snapshot(
         self, spec: JobSpec, new: DataFrame, schema: StructType | None
     ) -> tuple[str, ...]:
-        frame = spec.outputs(new, schema)[spec.target]
+        frame = spec.main(new, schema)
         if not self._whole(spec):
             stored = self.core.read(spec.target)
             both = stored.unionByName(aligned(frame, stored.schema)).drop("rnk")
@@ -213,9 +213,8 @@ class Runner:
         how: str,
         resume_from: str | None,
     ) -> tuple[str, ...]:
-        outputs = spec.outputs(new, schema, how)
         written = []
-        with _kept(outputs[spec.target], bool(spec.children)) as main:
+        with _kept(spec.main(new, schema, how), bool(spec.children)) as main:
             frames = {spec.target: main, **spec.children_of(main, schema)}
             for table, frame in frames.items():
                 if resume_from is not None:

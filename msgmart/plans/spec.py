@@ -105,10 +105,16 @@ class JobSpec:
 
         ``schema=None`` takes the declared one; ``how`` is the form of the array operators.
         """
+        main = self.main(messages, schema, how)
+        return {self.target: main, **self.children_of(main, schema)}
+
+    def main(
+        self, messages: DataFrame, schema: StructType | None = None, how: str = "array"
+    ) -> DataFrame:
+        """The frame of the main target only."""
         known = schema if schema is not None else self.declared()
         frame, payload = parse(messages, known, inferred=schema is not None)
-        main = self._main(frame, payload, how)
-        return {self.target: main, **self.children_of(main, schema)}
+        return self._main(frame, payload, how)
 
     def children_of(self, main: DataFrame, schema: StructType | None = None) -> dict[str, DataFrame]:
         """The child frames from an already computed main frame."""

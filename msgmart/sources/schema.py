@@ -20,6 +20,8 @@ from pyspark.sql.types import (
     VariantType,
 )
 
+from ..session import setting
+
 ORIGINAL_NAME = "payload_name"
 _QUOTED_OR_OBJECT = re.compile(r"`(?:[^`]|``)*`|OBJECT<")
 
@@ -35,12 +37,15 @@ def infer_schema(messages: DataFrame, column: str = "jsonstruct") -> StructType:
     """Schema of all JSON objects in ``column``.
 
     One distributed aggregate: every task merges the schemas of its rows and only the merged
-    schemas are shuffled. Malformed rows and rows that are no object do not take part.
+    schemas are shuffled. Malformed rows and rows that are no object do not take part. Merging is
+    done with case, or of two spellings of a field only one would be found.
     """
     text = F.col(column)
     is_object = F.ltrim(text).startswith("{")
     parsed = F.try_parse_json(F.when(is_object, text))
-    merged = messages.select(F.schema_of_variant_agg(parsed).alias("s")).first()["s"]
+    shapes = messages.select(F.schema_of_variant_agg(parsed).alias("s"))
+    with setting(messages.sparkSession, "spark.sql.caseSensitive", "true"):
+        merged = shapes.first()["s"]
     if merged is None or not merged.startswith("OBJECT<"):
         return StructType([])
     ddl = _QUOTED_OR_OBJECT.sub(lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], merged)

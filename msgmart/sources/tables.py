@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from ..session import setting
+
 
 def aligned(df: DataFrame, schema: StructType) -> DataFrame:
     """Columns by name in the order and types of ``schema``; missing ones are null.
@@ -85,7 +87,7 @@ class Tables:
             return
         df = aligned(df, target.schema)
         if self.database:
-            with _setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
+            with setting(self.spark, "spark.sql.sources.partitionOverwriteMode", "dynamic"):
                 df.write.insertInto(self.full_name(name), overwrite=True)
             return
         writer = df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
@@ -107,20 +109,3 @@ class Tables:
             writer.format("parquet").saveAsTable(self.full_name(name))
         else:
             writer.parquet(self.full_name(name))
-
-
-class _setting:
-    """Set a session option for the duration of a block."""
-
-    def __init__(self, spark: SparkSession, key: str, value: str):
-        self.spark, self.key, self.value = spark, key, value
-
-    def __enter__(self) -> None:
-        self.before = self.spark.conf.get(self.key, None)
-        self.spark.conf.set(self.key, self.value)
-
-    def __exit__(self, *_) -> None:
-        if self.before is None:
-            self.spark.conf.unset(self.key)
-        else:
-            self.spark.conf.set(self.key, self.before)

@@ -41,6 +41,11 @@ def _start_marks(tables: Tables, specs) -> None:
         control.advance(spec.process, spec.source, FIRST_STAMP)
 
 
+def _land(tables: Tables, messages: DataFrame, name: str) -> None:
+    """Messages into a message table kept by type, so that a job scans its own type only."""
+    tables.append(messages, name, ["messagetype"])
+
+
 # -- sinks -------------------------------------------------------------------------------------
 
 
@@ -175,7 +180,7 @@ def tracking_advance(spark: SparkSession, folder: str) -> DataFrame:
 def run_log(spark: SparkSession, folder: str) -> DataFrame:
     """The log rows of one run."""
     tables = _folder_tables(spark, "log")
-    tables.append(lake.vvm_area(spark, folder), MESSAGES)
+    _land(tables, lake.vvm_area(spark, folder), MESSAGES)
     _start_marks(tables, [jobs.VVM_AREA])
     Runner(tables, tables).run(jobs.VVM_AREA)
     log = tables.read(LOG)
@@ -201,7 +206,7 @@ def incremental_runs(spark: SparkSession, folder: str) -> DataFrame:
     tables = _folder_tables(spark, "runs")
     spec = jobs.KLS_EVENT
     messages = lake.kls_event(spark, folder)
-    tables.append(messages, MESSAGES)
+    _land(tables, messages, MESSAGES)
     _start_marks(tables, [spec])
     runner = Runner(tables, tables)
     runner.run(spec, upto="20240115000000")
@@ -219,7 +224,7 @@ def incremental_runs_inferred(spark: SparkSession, folder: str) -> DataFrame:
     """The same with a stored schema that each run widens."""
     tables = _folder_tables(spark, "widened")
     spec = jobs.KLS_EVENT
-    tables.append(lake.kls_event(spark, folder), MESSAGES)
+    _land(tables, lake.kls_event(spark, folder), MESSAGES)
     _start_marks(tables, [spec])
     runner = Runner(tables, tables, Options(schema="merged"))
     runner.run(spec, upto="20240115000000")
@@ -241,7 +246,7 @@ N = "(CAST(o_orderpriority[1] AS INTEGER) - 1)"
 def multi_output(spark: SparkSession, folder: str) -> DataFrame:
     """One message type into a parent and two child tables from one parse."""
     tables = _folder_tables(spark, "multi")
-    tables.append(lake.presales(spark, folder), MESSAGES)
+    _land(tables, lake.presales(spark, folder), MESSAGES)
     _start_marks(tables, [jobs.PRESALES])
     written = Runner(tables, tables).run(jobs.PRESALES).written
     return _row_counts(tables, written)
@@ -268,7 +273,7 @@ LATEST_RUN = """SELECT CAST(event_id AS VARCHAR) AS acl_id_int, CAST(user_id AS
 def _latest_run(spark: SparkSession, folder: str, refresh: str) -> DataFrame:
     tables = _folder_tables(spark, f"latest-{refresh}")
     spec = jobs.LATEST_PRESALES
-    tables.append(lake.presales_versions(spark, folder), MESSAGES)
+    _land(tables, lake.presales_versions(spark, folder), MESSAGES)
     runner = Runner(tables, tables, Options(refresh=refresh))
     runner.run(spec, upto="20240115000000")
     runner.run(spec)
@@ -291,8 +296,8 @@ def merge_refresh(spark: SparkSession, folder: str) -> DataFrame:
 def availability_run(spark: SparkSession, folder: str) -> DataFrame:
     """A run in which both availability versions append to one table; version 2 read back."""
     tables = _folder_tables(spark, "availability")
-    tables.append(lake.availability_v1(spark, folder), AVAILABILITY_MESSAGES)
-    tables.append(lake.availability_v2(spark, folder), AVAILABILITY_MESSAGES)
+    _land(tables, lake.availability_v1(spark, folder), AVAILABILITY_MESSAGES)
+    _land(tables, lake.availability_v2(spark, folder), AVAILABILITY_MESSAGES)
     specs = [jobs.AVAILABILITY_V1, jobs.AVAILABILITY_V2]
     _start_marks(tables, specs)
     Runner(tables, tables).run_all(specs)
@@ -330,9 +335,9 @@ def daily_run(spark: SparkSession, folder: str) -> DataFrame:
         lake.presales,
     )
     for build in builders:
-        tables.append(build(spark, folder), MESSAGES)
+        _land(tables, build(spark, folder), MESSAGES)
     for build in (lake.availability_v1, lake.availability_v2):
-        tables.append(build(spark, folder), AVAILABILITY_MESSAGES)
+        _land(tables, build(spark, folder), AVAILABILITY_MESSAGES)
     _start_marks(tables, jobs.DAILY)
     results = Runner(tables, tables).run_all(jobs.DAILY)
     names = dict.fromkeys(name for result in results for name in result.written)
