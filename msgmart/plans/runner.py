@@ -233,9 +233,10 @@ class Runner:
         target = self.core.find(table)
         if target is None:
             return frame
-        bound = stamp14(F.lit(low))
+        bound = stamp14(F.lit(low))  # a mark that is no time, such as all zeros, bounds nothing
+        above = F.col("acl_dop_ISO").isNull() | bound.isNull() | (F.col("acl_dop_ISO") > bound)
         there = (
-            target.filter(F.col("acl_dop_ISO").isNull() | (F.col("acl_dop_ISO") > bound))
+            target.filter(above)
             .select(F.col("acl_id_int").alias("there_id"), F.col("acl_dop_ISO").alias("there_time"))
         )
         same = F.col("acl_id_int").eqNullSafe(F.col("there_id")) & F.col("acl_dop_ISO").eqNullSafe(
