@@ -51,10 +51,15 @@ class Payload:
         columns = [column for column, _ in found]
         return columns[0] if len(columns) == 1 else F.coalesce(*columns)
 
-    def element(self, column: Column, array_path: str) -> Payload:
-        """The payload of one exploded element of the array at ``array_path``."""
+    def element(self, column: Column, array_path: str, ddl: str | None = None) -> Payload:
+        """The payload of one exploded element of the array at ``array_path``.
+
+        ``ddl`` is the type of an array that the schema itself knows as text only, or not at all.
+        """
         found = self.find(array_path)
         kind = found[0][1] if found else None
+        if not isinstance(kind, ArrayType) and ddl is not None:
+            kind = DataType.fromDDL(ddl)
         inner = kind.elementType if isinstance(kind, ArrayType) else StructType([])
         return Payload(inner, column, self.text, self.inferred)
 

@@ -7,6 +7,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType
 
 from ..functions import timeparse
 from ..functions.jsontext import fragment
@@ -102,9 +103,23 @@ def empty(name: str, ddl: str = "string") -> Out:
     return Out(name, lambda _: F.lit(None).cast(ddl), constant=True)
 
 
-def raw(name: str, json_path: str) -> Out:
-    """A part of the payload as JSON text."""
-    return Out(name, lambda p: fragment(p.text, json_path))
+def array_and_text(array: str, text: str, path: str, ddl: str) -> tuple[Out, ...]:
+    """An array as a column, and the same part of the payload as JSON text.
+
+    With a declared schema the payload is read once, for the text; the array is parsed from
+    that text alone. With an inferred one the array comes from the payload, if it is one there.
+    """
+
+    def build_array(p: Payload) -> Column:
+        found = p.find(path)
+        if found and isinstance(found[0][1], ArrayType):
+            return p.value(path)
+        return F.from_json(p.value(path).cast("string"), ddl, {"mode": "PERMISSIVE"})
+
+    def build_text(p: Payload) -> Column:
+        return fragment(p.text, f"$.{path}") if p.inferred else p.value(path)
+
+    return Out(array, build_array, _texts((path,)), (path,)), Out(text, build_text, _texts((path,)))
 
 
 def node(name: str, path: str) -> Out:

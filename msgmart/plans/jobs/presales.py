@@ -4,7 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..columns import Out, audit, empty, envelope, iso19, load_time, no_audit, present, raw, value, values
+from ..columns import (
+    Out,
+    array_and_text,
+    audit,
+    empty,
+    envelope,
+    iso19,
+    load_time,
+    no_audit,
+    present,
+    value,
+    values,
+)
 from ..spec import Child, JobSpec, Latest
 from .common import MESSAGES, lead
 
@@ -91,10 +103,8 @@ PRESALES = JobSpec(
     target="cl_f_presalesorder_mt",
     columns=(
         *_columns(old_layout=True),
-        value("orderitems_array", "items", ddl=ITEMS),
-        raw("orderitems_json", "$.items"),
-        value("history_array", "history", ddl=HISTORY),
-        raw("history_json", "$.history"),
+        *array_and_text("orderitems_array", "orderitems_json", "items", ITEMS),
+        *array_and_text("history_array", "history_json", "history", HISTORY),
         *audit(),
     ),
     children=(
@@ -102,6 +112,7 @@ PRESALES = JobSpec(
             target="cl_f_presalesorder_orderitem_mt",
             array="orderitems_array",
             path="items",
+            ddl=ITEMS,
             keep=CHILD_LEAD,
             columns=(
                 value("orderitemid_ps", "id"),
@@ -115,6 +126,7 @@ PRESALES = JobSpec(
             target="cl_f_presalesorder_history_mt",
             array="history_array",
             path="history",
+            ddl=HISTORY,
             keep=CHILD_LEAD,
             columns=(
                 value("historyid_ps", "id"),

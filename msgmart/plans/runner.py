@@ -70,19 +70,29 @@ class Runner:
 
     # -- one job ---------------------------------------------------------------------------
 
-    def run(self, spec: JobSpec, upto: str | None = None, measured: Increment | None = None) -> Result:
+    def run(
+        self,
+        spec: JobSpec,
+        upto: str | None = None,
+        since: str | None = None,
+        measured: Increment | None = None,
+    ) -> Result:
         """One run of one job.
 
         The upper end of the increment is fixed before anything is written: rows that arrive
         meanwhile belong to the next run. The mark moves after all outputs are written. ``upto``
         lowers the upper end, for a caller that wants to leave the youngest stamps to settle.
+        ``since`` looks back below the mark for messages that came late: what the targets already
+        hold is left out.
         """
         lake = self.source.read(spec.source)
         messages = spec.messages(lake)
         mark = self._mark(spec)
         tracked = mark.column or "acl_dop"
         low = None if self._whole(spec) else mark.value
-        unfinished = self.control.unfinished(spec.process)
+        again = self.control.unfinished(spec.process)
+        if since is not None and low is not None and since < low:
+            low, again = since, True
 
         found = measured or increments.measure(
             between_marks(messages, low, upto, tracked), tracked, self._key(spec)
@@ -104,8 +114,9 @@ class Runner:
             written = self._write_snapshot(spec, new, schema)
         else:
             how = self._how(spec, found)
-            written = self._write_increment(spec, new, schema, how, low if unfinished else None)
-        self.control.advance(spec.process, spec.source, found.high, tracked)
+            written = self._write_increment(spec, new, schema, how, low if again else None)
+        if mark.value is None or found.high > mark.value:
+            self.control.advance(spec.process, spec.source, found.high, tracked)
         self._log_end(spec, written)
         return Result(spec.process, found.rows, low, found.high, written)
 
@@ -117,7 +128,7 @@ class Runner:
         """
         plain = [s for s in specs if not self._whole(s) and self._key(s) is None]
         measured = self._measure_all(plain, upto)
-        return [self.run(spec, upto, measured.get(spec.process)) for spec in specs]
+        return [self.run(spec, upto, measured=measured.get(spec.process)) for spec in specs]
 
     # -- steps -----------------------------------------------------------------------------
 
@@ -226,9 +237,9 @@ class Runner:
         return tuple(written)
 
     def _not_yet_written(self, frame: DataFrame, table: str, low: str) -> DataFrame:
-        """After a crash: leave out messages whose rows the table already holds.
+        """Leave out messages whose rows the table already holds.
 
-        Only rows above the mark are looked at, and only two narrow columns of them.
+        Only rows above the lower bound are looked at, and only two narrow columns of them.
         """
         target = self.core.find(table)
         if target is None:

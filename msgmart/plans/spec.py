@@ -18,11 +18,12 @@ from .columns import Out
 
 @dataclass(frozen=True)
 class Child:
-    """A child table: one row per element of an array column of the parent."""
+    """A child table: one row per element of the parent's ``array`` column, read from ``path``."""
 
     target: str
     array: str
     path: str
+    ddl: str
     keep: tuple[str, ...]
     columns: tuple[Out, ...]
     keep_if: Callable[[], Column] | None = None
@@ -147,7 +148,7 @@ class JobSpec:
         )
 
     def _child(self, main: DataFrame, child: Child, payload: Payload) -> DataFrame:
-        inner = payload.element(F.col(arrays.ELEMENT), child.path)
+        inner = payload.element(F.col(arrays.ELEMENT), child.path, child.ddl)
         fields = [out.column(inner) for out in child.columns]
         rows = arrays.child_rows(main, child.array, child.keep, fields)
         return rows.filter(child.keep_if()) if child.keep_if else rows

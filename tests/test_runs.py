@@ -151,6 +151,20 @@ def test_increments_idle_runs_and_late_rows(tables):
     assert log.count() == 2
 
 
+def test_looking_back_finds_late_rows_once(tables):
+    spec, runner = jobs.PRESALES, Runner(tables, tables)
+    start(tables, spec)
+    land(tables, PSO, "1", [("1", "20200105000000", OLD)])
+    runner.run(spec)
+    land(tables, PSO, "1", [("2", "20200103000000", OLD), ("3", "20200105000000", NEW)])
+    assert runner.run(spec).rows == 0
+    for _ in range(2):
+        runner.run(spec, since="20200101000000")
+        assert column(tables, spec.target, "acl_id_int") == ["1", "2", "3"]
+        assert column(tables, "cl_f_presalesorder_orderitem_mt", "acl_id_int") == ["1", "1", "2", "2"]
+    assert Control(tables).mark(spec.process, spec.source).value == "20200105000000"
+
+
 def test_missing_mark(tables):
     land(tables, AREA, "1", [("1", "20200101000000", {"number": 1})])
     with pytest.raises(MissingMark, match="proc_f_vvmarea"):
@@ -260,6 +274,30 @@ def test_presales_layouts_and_children(tables, schema):
     assert [(r.historyid_ps, r.oldstate, r.newstate) for r in history] == [("h1", "a", "b")]
 
 
+@pytest.mark.parametrize("schema", ["declared", "inferred"])
+def test_text_of_the_array_is_that_of_the_payload(tables, schema):
+    """The text column equals the JSON path of the payload, numbers and escapes included."""
+    parts = [
+        '[{"id":1.50,"name":"ä\\n\\"x","lineNumber":1e5, "conditions":[ ]}]',
+        "[]",
+        "null",
+        '"text"',
+        "7",
+        '{"a": 1.10}',
+        '[{"id":"a"}], "cut":',
+    ]
+    start(tables, jobs.PRESALES)
+    land(tables, PSO, "1", [(str(i), "20200101000000", f'{{"items":{p}}}') for i, p in enumerate(parts)])
+    Runner(tables, tables, Options(schema=schema)).run(jobs.PRESALES)
+    messages = tables.read(MESSAGES).select(
+        "acl_id", F.get_json_object("jsonstruct", "$.items").alias("want")
+    )
+    got = tables.read(jobs.PRESALES.target).select("acl_id_int", "orderitems_json")
+    both = got.join(messages, F.col("acl_id") == F.col("acl_id_int")).collect()
+    assert len(both) == len(parts)
+    assert all(r.orderitems_json == r.want for r in both)
+
+
 @pytest.mark.parametrize("broken", ["cl_f_presalesorder_mt", "cl_f_presalesorder_history_mt", TRACKING])
 def test_a_broken_run_is_resumed_without_loss_or_repeat(tables, monkeypatch, broken):
     """The write of one table fails; the next run completes all of them, with new rows on top."""
