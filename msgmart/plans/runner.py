@@ -95,29 +95,23 @@ class Runner:
             low, again = since, True
 
         found = measured or increments.measure(
-            between_marks(messages, low, upto, tracked), tracked, self._key(spec)
-        )
-        self.control.log(
-            spec.process,
-            STARTED,
-            f"current_tracked_value={mark.value}, max_acl_dop={found.high}, "
-            f"new_records_count={found.rows}",
-            ",".join(spec.types),
+            between_marks(messages, low, upto, tracked), tracked, self.key(spec)
         )
+        self.log_start(spec, found, mark.value)
         if found.rows == 0:
-            self._log_end(spec, ())
+            self.log_end(spec, ())
             return Result(spec.process, 0, low, None, ())
 
         new = between_marks(messages, low, found.high, tracked)
-        schema = self._schema(spec, messages, new)
+        schema = self.schema(spec, messages, new)
         if spec.full_recompute:
             written = self._write_snapshot(spec, new, schema)
         else:
-            how = self._how(spec, found)
-            written = self._write_increment(spec, new, schema, how, low if again else None)
+            how = self.form(spec, found)
+            written = self.write(spec, new, schema, how, low if again else None)
         if mark.value is None or found.high > mark.value:
             self.control.advance(spec.process, spec.source, found.high, tracked)
-        self._log_end(spec, written)
+        self.log_end(spec, written)
         return Result(spec.process, found.rows, low, found.high, written)
 
     def run_all(self, specs: Sequence[JobSpec], upto: str | None = None) -> list[Result]:
@@ -126,7 +120,7 @@ class Runner:
         The increments of the jobs on one message table are measured in one scan of its envelope,
         except where a job needs to know about repeated ids and has to scan them anyway.
         """
-        plain = [s for s in specs if not self._whole(s) and self._key(s) is None]
+        plain = [s for s in specs if not self._whole(s) and self.key(s) is None]
         measured = self._measure_all(plain, upto)
         return [self.run(spec, upto, measured=measured.get(spec.process)) for spec in specs]
 
@@ -167,7 +161,7 @@ class Runner:
             out.update(increments.measure_many(recent, tests, tracked))
         return out
 
-    def _schema(self, spec: JobSpec, messages: DataFrame, new: DataFrame) -> StructType | None:
+    def schema(self, spec: JobSpec, messages: DataFrame, new: DataFrame) -> StructType | None:
         if self.options.schema == "declared":
             return None
         if self.options.schema == "inferred":
@@ -192,14 +186,14 @@ class Runner:
         self.core.replace_partitions(row, SCHEMAS, ["etl_process_name"])
         return schema
 
-    def _key(self, spec: JobSpec) -> str | None:
+    def key(self, spec: JobSpec) -> str | None:
         """The id whose repetition decides the form of the array operators."""
         return "acl_id" if spec.spread is not None and self.options.how == "auto" else None
 
-    def _how(self, spec: JobSpec, found: Increment) -> str:
+    def form(self, spec: JobSpec, found: Increment) -> str:
         if self.options.how != "auto":
             return self.options.how
-        return "join" if self._key(spec) and not found.unique else "array"
+        return "join" if self.key(spec) and not found.unique else "array"
 
     def _write_snapshot(
         self, spec: JobSpec, new: DataFrame, schema: StructType | None
@@ -216,7 +210,7 @@ class Runner:
         self.core.overwrite(frame, spec.target)
         return (spec.target,)
 
-    def _write_increment(
+    def write(
         self,
         spec: JobSpec,
         new: DataFrame,
@@ -224,6 +218,10 @@ class Runner:
         how: str,
         resume_from: str | None,
     ) -> tuple[str, ...]:
+        """Append the outputs of new messages: the main target, then its children.
+
+        With ``resume_from`` the targets may hold some of them already, from that stamp on.
+        """
         written = []
         with _kept(spec.main(new, schema, how), bool(spec.children)) as main:
             frames = {spec.target: main, **spec.children_of(main, schema)}
@@ -255,7 +253,15 @@ class Runner:
         )
         return frame.join(there, same, "left_anti")
 
-    def _log_end(self, spec: JobSpec, written: Sequence[str]) -> None:
+    def log_start(self, spec: JobSpec, found: Increment, mark: str | None) -> None:
+        self.control.log(
+            spec.process,
+            STARTED,
+            f"current_tracked_value={mark}, max_acl_dop={found.high}, new_records_count={found.rows}",
+            ",".join(spec.types),
+        )
+
+    def log_end(self, spec: JobSpec, written: Sequence[str]) -> None:
         self.control.log(
             spec.process,
             ENDED,

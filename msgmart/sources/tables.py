@@ -39,6 +39,10 @@ class Tables:
         self.database = database
         self.root = root.rstrip("/") if root else None
 
+    def on(self, spark: SparkSession) -> Tables:
+        """The same tables through another session, such as that of a micro-batch."""
+        return Tables(spark, self.database, self.root)
+
     def full_name(self, name: str) -> str:
         return f"`{self.database}`.`{name}`" if self.database else f"{self.root}/{name}"
 

@@ -123,9 +123,9 @@ def test_joins_carry_no_hint(tables):
 def test_unique_ids_choose_the_form_without_a_shuffle(tables):
     runner = Runner(tables, tables)
     spec = jobs.AVAILABILITY_V2
-    unique = increments.measure(spec.messages(tables.read(spec.source)), key=runner._key(spec))
-    assert unique.unique and runner._how(spec, unique) == "array"
+    unique = increments.measure(spec.messages(tables.read(spec.source)), key=runner.key(spec))
+    assert unique.unique and runner.form(spec, unique) == "array"
     repeated = increments.Increment(2, "1", False)
-    assert runner._how(spec, repeated) == "join"
-    assert Runner(tables, tables, Options(how="array"))._how(spec, repeated) == "array"
-    assert runner._how(jobs.KLS_EVENT, repeated) == "array"
+    assert runner.form(spec, repeated) == "join"
+    assert Runner(tables, tables, Options(how="array")).form(spec, repeated) == "array"
+    assert runner.form(jobs.KLS_EVENT, repeated) == "array"
