@@ -13,30 +13,48 @@ from pyspark.sql import functions as F
 class Increment:
     """Number of new messages and their greatest stamp, null when there are none.
 
-    ``unique`` tells whether no two of them share an id; null where that was not asked for.
+    ``repeated`` is the number of ids that occur more than once, null where that was not asked for.
     """
 
     rows: int
     high: str | None
-    unique: bool | None = None
+    repeated: int | None = None
+
+
+def _per_id(messages: DataFrame, key: str, tracked: str) -> DataFrame:
+    """Count and greatest stamp of every id. Each task counts its own rows first, so that only
+    ids with their counts are shuffled."""
+    return messages.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(tracked).alias("high"))
+
+
+def _is_repeated(key: str) -> Column:
+    """A missing id counts as repeated: a join never finds it."""
+    return (F.col("n") > 1) | F.col(key).isNull()
 
 
 def measure(messages: DataFrame, tracked: str = "acl_dop", key: str | None = None) -> Increment:
     """Count and greatest stamp in one aggregate that reads no payload.
 
-    With ``key`` the same scan counts the rows per id first; each task counts its own rows, so
-    only ids with their counts are shuffled. A missing id counts as repeated.
+    With ``key`` the same scan also counts the repeated ids.
     """
     if key is None:
         row = messages.agg(F.count(F.lit(1)).alias("n"), F.max(tracked).alias("high")).first()
         return Increment(row["n"], row["high"])
-    per_id = messages.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(tracked).alias("high"))
-    row = per_id.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-        F.max("high").alias("high"),
-        F.coalesce(F.max(F.when(F.col(key).isNull(), 2).otherwise(F.col("n"))), F.lit(0)).alias("most"),
-    ).first()
-    return Increment(row["n"], row["high"], row["most"] <= 1)
+    row = (
+        _per_id(messages, key, tracked)
+        .agg(
+            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+            F.max("high").alias("high"),
+            F.count_if(_is_repeated(key)).alias("repeated"),
+        )
+        .first()
+    )
+    return Increment(row["n"], row["high"], row["repeated"])
+
+
+def repeated_ids(messages: DataFrame, key: str, tracked: str = "acl_dop") -> DataFrame:
+    """The ids that occur more than once."""
+    return _per_id(messages, key, tracked).filter(_is_repeated(key)).select(key)
 
 
 def measure_many(

@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import json
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
 from contextlib import contextmanager
 from dataclasses import dataclass
 
@@ -24,6 +24,9 @@ from .spec import JobSpec
 
 SCHEMAS = "payload_schemas"
 
+# Repeated ids up to this number are sent to every task; with 40 bytes each that is 4 MB.
+BROADCAST_IDS = 100_000
+
 
 class MissingMark(RuntimeError):
     """An incremental job has no row in the tracking table."""
@@ -45,8 +48,9 @@ class Options:
     ``schema``   ``declared`` reads the fields the job names, with fixed types. ``inferred`` takes
                  names and types from all messages of the type, ``merged`` from the new messages
                  and a stored schema that grows with every run.
-    ``how``      form of the array operators; ``auto`` takes the one without a shuffle where the
-                 ids of the increment are unique and the join otherwise.
+    ``how``      form of the array operators: ``array`` inside the row, ``join`` by message id.
+                 ``auto`` gives the rows of the join with the work of the array form, except for
+                 messages whose id is repeated.
     ``refresh``  ``full`` recomputes a snapshot from all messages, ``merge`` brings the stored
                  snapshot up to date with the new ones.
     ``rebalance`` evens out the sizes of the written files at the price of a shuffle.
@@ -191,9 +195,30 @@ class Runner:
         return "acl_id" if spec.spread is not None and self.options.how == "auto" else None
 
     def form(self, spec: JobSpec, found: Increment) -> str:
+        """``array``, ``join``, or ``split`` where few ids are repeated: only their messages are joined."""
         if self.options.how != "auto":
             return self.options.how
-        return "join" if self.key(spec) and not found.unique else "array"
+        if self.key(spec) is None or not found.repeated:
+            return "array"
+        return "split" if found.repeated <= BROADCAST_IDS else "join"
+
+    @contextmanager
+    def _main(
+        self, spec: JobSpec, new: DataFrame, schema: StructType | None, how: str
+    ) -> Iterator[DataFrame]:
+        if how != "split":
+            with _kept(spec.main(new, schema, how), bool(spec.children)) as main:
+                yield main
+            return
+        ids = increments.repeated_ids(new, "acl_id").withColumnRenamed("acl_id", "repeated_id")
+        with _kept(ids) as repeated:
+            # Its size was counted: at most BROADCAST_IDS ids.
+            same = F.col("acl_id").eqNullSafe(F.col("repeated_id"))
+            once = new.join(F.broadcast(repeated), same, "left_anti")
+            with _kept(new.join(F.broadcast(repeated), same, "left_semi")) as several:
+                yield spec.main(once, schema, "array").unionByName(
+                    spec.main(several, schema, "join")
+                )
 
     def _write_snapshot(
         self, spec: JobSpec, new: DataFrame, schema: StructType | None
@@ -223,7 +248,7 @@ class Runner:
         With ``resume_from`` the targets may hold some of them already, from that stamp on.
         """
         written = []
-        with _kept(spec.main(new, schema, how), bool(spec.children)) as main:
+        with self._main(spec, new, schema, how) as main:
             frames = {spec.target: main, **spec.children_of(main, schema)}
             for table, frame in frames.items():
                 if resume_from is not None:
@@ -271,10 +296,10 @@ class Runner:
 
 
 @contextmanager
-def _kept(frame: DataFrame, keep: bool):
-    """Hold a frame that feeds several writes, so that the payload is parsed once.
+def _kept(frame: DataFrame, keep: bool = True) -> Iterator[DataFrame]:
+    """Hold a frame that is used several times, so that it is computed once.
 
-    It stays on the executors' disks: it is as large as the increment, and a lost block is
+    It stays on the executors' disks: it may be as large as the increment, and a lost block is
     computed again.
     """
     if not keep:

@@ -28,7 +28,7 @@ def job_frame(
     messages = spec.messages(build(spark, folder))
     schema = spec.inferred(messages) if inferred else None
     how = "array"
-    if spec.spread is not None and not increments.measure(messages, key="acl_id").unique:
+    if spec.spread is not None and increments.measure(messages, key="acl_id").repeated:
         how = "join"
     return as_text(spec.outputs(messages, schema, how)[table or spec.target])
 

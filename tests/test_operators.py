@@ -52,7 +52,7 @@ def test_attributes(checks, how):
 def test_attributes_of_repeated_ids_need_the_join(spark, checks):
     twice = checks.unionByName(spark.createDataFrame([("1", [("A", "late")])], checks.schema))
     found = increments.measure(twice.withColumn("acl_dop", F.lit("1")), key="id")
-    assert (found.rows, found.unique) == (6, False)
+    assert (found.rows, found.repeated) == (6, 1)
     joined = arrays.attributes(twice, "id", "pairs", {"a": "A", "b": "B"}, how="join")
     assert rows(joined) == brute_attributes(twice, ["A", "B"])
 
@@ -168,13 +168,14 @@ def test_month_bounds_change_nothing_but_the_files_read(lake):
 def test_measure(lake):
     assert increments.measure(lake) == increments.Increment(5, "20190801000000")
     assert increments.measure(lake.limit(0)) == increments.Increment(0, None)
-    assert increments.measure(lake, key="acl_id") == increments.Increment(5, "20190801000000", True)
-    assert increments.measure(lake.limit(0), key="acl_id") == increments.Increment(0, None, True)
+    assert increments.measure(lake, key="acl_id") == increments.Increment(5, "20190801000000", 0)
+    assert increments.measure(lake.limit(0), key="acl_id") == increments.Increment(0, None, 0)
 
 
 def test_a_missing_id_counts_as_repeated(lake):
     nameless = lake.withColumn("acl_id", F.when(F.col("acl_id") != "5", F.col("acl_id")))
-    assert increments.measure(nameless, key="acl_id").unique is False
+    assert increments.measure(nameless, key="acl_id").repeated == 1
+    assert [r.acl_id for r in increments.repeated_ids(nameless, "acl_id").collect()] == [None]
 
 
 def test_measure_many_in_one_scan(lake):

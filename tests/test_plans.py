@@ -9,7 +9,7 @@ import pytest
 from msgmart.operators import increments, latest
 from msgmart.plans import jobs
 from msgmart.plans.jobs.common import AVAILABILITY_MESSAGES, MESSAGES
-from msgmart.plans.runner import Options, Runner
+from msgmart.plans.runner import BROADCAST_IDS, Options, Runner
 from msgmart.session import setting
 from msgmart.sources.envelope import between_marks
 from msgmart.sources.tables import Tables
@@ -120,12 +120,22 @@ def test_joins_carry_no_hint(tables):
         assert "ResolvedHint" not in logical
 
 
-def test_unique_ids_choose_the_form_without_a_shuffle(tables):
+def test_form_follows_the_number_of_repeated_ids(tables):
     runner = Runner(tables, tables)
     spec = jobs.AVAILABILITY_V2
-    unique = increments.measure(spec.messages(tables.read(spec.source)), key=runner.key(spec))
-    assert unique.unique and runner.form(spec, unique) == "array"
-    repeated = increments.Increment(2, "1", False)
-    assert runner.form(spec, repeated) == "join"
-    assert Runner(tables, tables, Options(how="array")).form(spec, repeated) == "array"
-    assert runner.form(jobs.KLS_EVENT, repeated) == "array"
+    found = increments.measure(spec.messages(tables.read(spec.source)), key=runner.key(spec))
+    assert found.repeated == 0 and runner.form(spec, found) == "array"
+    few, many = (increments.Increment(9, "1", n) for n in (3, BROADCAST_IDS + 1))
+    assert runner.form(spec, few) == "split"
+    assert runner.form(spec, many) == "join"
+    assert Runner(tables, tables, Options(how="array")).form(spec, many) == "array"
+    assert runner.form(jobs.KLS_EVENT, increments.Increment(9, "1")) == "array"
+
+
+def test_split_moves_no_message_with_an_id_of_its_own(tables):
+    runner = Runner(tables, tables)
+    spec = jobs.AVAILABILITY_V2
+    with runner._main(spec, new_messages(tables, spec), None, "split") as main:
+        branch = plan(main).split("LeftAnti")[1].split("LeftSemi")[0]
+    scan = branch[: branch.index("FileScan")]
+    assert "BroadcastHashJoin" in plan(main) and "hashpartitioning" not in scan.split("BroadcastExchange")[0]

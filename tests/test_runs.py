@@ -384,6 +384,22 @@ def test_repeated_ids_take_the_join(tables):
     ]
 
 
+@pytest.mark.parametrize("limit", [0, 100])
+def test_every_form_gives_the_rows_of_the_joins(tables, monkeypatch, limit):
+    """Unique, repeated and missing ids together, split or joined as a whole."""
+    monkeypatch.setattr("msgmart.plans.runner.BROADCAST_IDS", limit)
+    names = ["Technologie", "Kooperationspartner", "Ausbaustand Glasfaser", "Technologie"]
+    payloads = []
+    for n, id_ in enumerate(["1", "2", "2", "3", None, None, "4", "4", "4"]):
+        pairs = [(name, f"{n}{i}") for i, name in enumerate(names[: n % 5])]
+        payloads.append((id_, "20200101000000", availability(pairs)))
+    spec = jobs.AVAILABILITY_V2
+    got = run_availability(tables, payloads)
+    want = spec.main(spec.messages(tables.read(spec.source)), how="join")
+    assert got.count() == want.count() > 9
+    assert got.exceptAll(want).count() == want.exceptAll(got).count() == 0
+
+
 def test_first_reason_is_kept_whole(tables):
     spec = jobs.AVAILABILITY_V1
     start(tables, spec)
