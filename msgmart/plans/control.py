@@ -23,6 +23,10 @@ LOG_COLUMNS = (
     "workflow string, process string, log_type string, log_time timestamp, "
     "log_entry string, log_entry2 string, log_entry3 string"
 )
+# One row per process: where its latest increment starts.
+STATE = "process_state"
+STATE_COLUMNS = "token string, since timestamp, etl_process_name string"
+
 STARTED = "logic of process started"
 ENDED = "end of process"
 
@@ -114,14 +118,16 @@ class Control:
         self.tables.append(row, LOG)
         return True
 
-    def unfinished(self, process: str) -> bool:
-        """Whether the last run of the process started but did not log its end."""
-        log = self.tables.find(LOG, LOG_COLUMNS)
-        if log is None:
+    def begin(self, process: str, token: str) -> None:
+        """Note that the writes of an increment begin; ``token`` names where it starts."""
+        row = one_row(self.spark, token=token, since=run_time(), etl_process_name=process)
+        self.tables.replace_partitions(row, STATE, ["etl_process_name"])
+
+    def begun(self, process: str, token: str) -> bool:
+        """Whether writes from this start have begun before. A run that came to its end has moved
+        the mark, so that the next one starts elsewhere; one that broke off has not."""
+        state = self.tables.find(STATE, STATE_COLUMNS)
+        if state is None:
             return False
-        row = (
-            log.filter((F.col("process") == process) & F.col("log_entry").isin(STARTED, ENDED))
-            .agg(F.max_by("log_entry", "log_time").alias("last"))
-            .first()
-        )
-        return row["last"] == STARTED
+        mine = state.filter((F.col("etl_process_name") == process) & (F.col("token") == token))
+        return mine.select(F.lit(1)).first() is not None

@@ -94,7 +94,7 @@ class Runner:
         mark = self._mark(spec)
         tracked = mark.column or "acl_dop"
         low = None if self._whole(spec) else mark.value
-        again = self.control.unfinished(spec.process)
+        again = low is not None and self.control.begun(spec.process, low)
         if since is not None and low is not None and since < low:
             low, again = since, True
 
@@ -112,6 +112,7 @@ class Runner:
             written = self._write_snapshot(spec, new, schema)
         else:
             how = self.form(spec, found)
+            self.control.begin(spec.process, mark.value)
             written = self.write(spec, new, schema, how, low if again else None)
         if mark.value is None or found.high > mark.value:
             self.control.advance(spec.process, spec.source, found.high, tracked)

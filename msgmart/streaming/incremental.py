@@ -46,15 +46,17 @@ def follow(
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     messages = spec.messages(reader.parquet(folder))
 
-    def take(batch: DataFrame, _: int) -> None:
+    def take(batch: DataFrame, number: int) -> None:
         tables = core.on(batch.sparkSession)
         runner = Runner(tables, tables, options)
-        again = runner.control.unfinished(spec.process)
+        token = f"batch {number}"
         found = increments.measure(batch, key=runner.key(spec))
         runner.log_start(spec, found, None)
         written: tuple[str, ...] = ()
         if found.rows:
+            again = runner.control.begun(spec.process, token)
             resume_from = _just_before(batch) if again else None
+            runner.control.begin(spec.process, token)
             schema = runner.schema(spec, batch, batch)
             written = runner.write(spec, batch, schema, runner.form(spec, found), resume_from)
         runner.log_end(spec, written)

@@ -315,14 +315,14 @@ def test_a_broken_run_is_resumed_without_loss_or_repeat(tables, monkeypatch, bro
     with pytest.raises(OSError):
         Runner(tables, tables).run(spec)
     monkeypatch.setattr(Tables, "_save", save)
-    assert Control(tables).unfinished(spec.process)
+    assert Control(tables).begun(spec.process, ZERO)
     assert Control(tables).mark(spec.process, spec.source).value == ZERO
     land(tables, PSO, "1", [("3", "20200101000000", {**OLD, "id": "p3"})])
     assert Runner(tables, tables).run(spec).rows == 3
     assert column(tables, "cl_f_presalesorder_mt", "acl_id_int") == ["1", "2", "3"]
     assert column(tables, "cl_f_presalesorder_orderitem_mt", "acl_id_int") == ["1", "1", "3", "3"]
     assert column(tables, "cl_f_presalesorder_history_mt", "acl_id_int") == ["1", "3"]
-    assert not Control(tables).unfinished(spec.process)
+    assert not Control(tables).begun(spec.process, "20200101000000")
 
 
 def availability(names):
