@@ -1,4 +1,8 @@
-"""The jobs, and the order in which a daily run executes them."""
+"""The jobs, and the order in which a daily run executes them.
+
+Message types, versions, process and table names, payload fields, attribute names and target
+columns are fixed values: messages and existing tables prescribe them.
+"""
 
 from __future__ import annotations
 
