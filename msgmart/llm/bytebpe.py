@@ -21,6 +21,7 @@ import base64
 import functools
 import heapq
 import unicodedata
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,7 +29,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from msgmart.llm.texts import Memo, packed
+from msgmart.llm.texts import packed
 
 L, N, O, BLANK, SPACE = range(5)  # classes of codepoints  # noqa: E741
 #: Classes that the automaton reads: the first three, an apostrophe that begins a contraction of one or two letters, a blank that is
@@ -125,13 +126,75 @@ def ranks_of(path: str) -> dict[bytes, int]:
         return {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
 
 
-def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
-    """The ids of one match: again and again the leftmost pair of least rank is merged.
-
-    Pairs wait in a heap, so that a match of n bytes takes n log n steps.
-    """
-    if (whole := ranks.get(piece)) is not None:
-        return [whole]
+#: Bytes up to which matches are merged side by side, and how many are.
+SHORT, ABREAST = 40, 20_000
+
+
+class Merger:
+    """The ids of matches: again and again the leftmost pair of least rank is merged."""
+
+    def __init__(self, ranks: dict[bytes, int]):
+        self.ranks = ranks
+        self.single = np.array([ranks[bytes([x])] for x in range(256)], np.int64)
+        self.span = max(ranks.values()) + 1
+        pairs = {ranks[t[:k]] * self.span + ranks[t[k:]]: rank for t, rank in ranks.items() for k in range(1, len(t)) if t[:k] in ranks and t[k:] in ranks}
+        # what two neighbours merge into, by both ids; one more entry that no pair has
+        self.pairs = np.array([*sorted(pairs), np.iinfo(np.int64).max])
+        self.into = np.array([*(pairs[x] for x in sorted(pairs)), self.span])
+
+    def _rank(self, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+        key = left * self.span + right
+        at = np.searchsorted(self.pairs, key)
+        return np.where(self.pairs[at] == key, self.into[at], self.span)
+
+    def _abreast(self, pieces: list[bytes], width: int) -> list[bytes]:
+        """Matches of `width` bytes. In each round every match with a pair left makes its next merge."""
+        ids = self.single[np.frombuffer(b"".join(pieces), np.uint8).reshape(-1, width)]
+        rank = self._rank(ids[:, :-1], ids[:, 1:])
+        rows, done = np.arange(len(pieces)), [b""] * len(pieces)
+        while len(rows):
+            n = ids.shape[1]
+            at = rank.argmin(axis=1) if n > 1 else np.zeros(len(rows), np.int64)
+            least = rank[np.arange(len(rows)), at] if n > 1 else np.full(len(rows), self.span)
+            over = least == self.span
+            for k in np.flatnonzero(over):
+                done[rows[k]] = ids[k].astype(np.int32).tobytes()
+            go = ~over
+            rows, ids, rank, at, least = rows[go], ids[go], rank[go], at[go], least[go]
+            if not len(rows):
+                break
+            row = np.arange(len(rows))
+            ids[row, at] = least
+            column = np.arange(n - 1)
+            ids = np.take_along_axis(ids, column + (column > at[:, None]), axis=1)
+            column = column[:-1]
+            rank = np.take_along_axis(rank, column + (column >= at[:, None]), axis=1)
+            for place, ok in ((at - 1, at > 0), (at, at < n - 2)):
+                r, c = row[ok], place[ok]
+                rank[r, c] = self._rank(ids[r, c], ids[r, c + 1])
+        return done
+
+    def merge(self, pieces: list[bytes]) -> list[bytes]:
+        """The ids of each match, as 32-bit numbers."""
+        out = [b""] * len(pieces)
+        by_width: dict[int, list[int]] = {}
+        for k, piece in enumerate(pieces):
+            if (whole := self.ranks.get(piece)) is not None:
+                out[k] = array("i", [whole]).tobytes()
+            elif len(piece) > SHORT:
+                out[k] = array("i", _merge_long(piece, self.ranks)).tobytes()
+            else:
+                by_width.setdefault(len(piece), []).append(k)
+        for width, places in by_width.items():
+            for at in range(0, len(places), ABREAST):
+                part = places[at : at + ABREAST]
+                for k, ids in zip(part, self._abreast([pieces[x] for x in part], width), strict=True):
+                    out[k] = ids
+        return out
+
+
+def _merge_long(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
+    """Pairs wait in a heap, so that a match of n bytes takes n log n steps."""
     n = len(piece)
     end, before = list(range(1, n + 1)), list(range(-1, n - 1))  # of the part that starts at an index; 0: merged away
     heap = [(rank, i, i + 2) for i in range(n - 1) if (rank := ranks.get(piece[i : i + 2])) is not None]
@@ -155,33 +218,48 @@ def merge(piece: bytes, ranks: dict[bytes, int]) -> list[int]:
     return ids
 
 
-#: Codepoints that are scanned together.
-SCANNED = 2_000_000
+#: Codepoints that are scanned together; rows that are decoded together.
+SCANNED, DECODED = 1_000_000, 200
+#: Matches whose ids a worker remembers.
+REMEMBERED = 400_000
 
 
-def _encode(path: str):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = ranks_of(path)
-        size = np.zeros(max(ranks.values()) + 1, np.int32)
-        for token, rank in ranks.items():
-            size[rank] = len(token)
+@functools.cache
+def _known(path: str) -> tuple[dict[str, bytes], Merger, np.ndarray, np.ndarray, np.ndarray]:
+    """Of a vocabulary: the matches remembered (shared by a worker's tasks), what merges others, the tokens laid end to end, where each begins, and its length."""
+    ranks = ranks_of(path)
+    tokens = [b""] * (max(ranks.values()) + 1)
+    for token, rank in ranks.items():
+        tokens[rank] = token
+    size = np.fromiter(map(len, tokens), np.int64, len(tokens))
+    return {}, Merger(ranks), np.frombuffer(b"".join(tokens), np.uint8), np.cumsum(size) - size, size
 
-        def encoded(piece: str) -> np.ndarray:
-            return np.array(merge(piece.encode(), ranks), np.int32).tobytes()
 
-        memo = Memo(encoded)
+def _encode(path: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memo, merger, _, _, size = _known(path)
 
-        def several(texts: list[str]) -> tuple[list[bytes]]:
+        def several(texts: list[str]) -> list[bytes]:
             codes = np.frombuffer("\0".join([*texts, ""]).encode("utf-32-le"), dtype="<u4")
             lengths = np.fromiter(map(len, texts), np.int64, len(texts))
             kind = kinds(codes, lengths)
             starts = np.flatnonzero(match_starts(kind) & (kind != END))
             ends = np.cumsum(lengths + 1) - 1
             firsts = np.searchsorted(starts, np.concatenate([[0], ends + 1]))
-            out = []
+            pieces: list[str] = []
             for k, text in enumerate(texts):
                 cuts = (starts[firsts[k] : firsts[k + 1]] - (ends[k] - lengths[k])).tolist()
-                out.append(b"".join([memo[text[i:j]] for i, j in zip(cuts, [*cuts[1:], len(text)], strict=False)]))
+                pieces += [text[i:j] for i, j in zip(cuts, [*cuts[1:], len(text)], strict=False)]
+            new = [x for x in set(pieces) if x not in memo]
+            if len(memo) + len(new) > REMEMBERED:
+                memo.clear()
+                new = list(set(pieces))
+            memo.update(zip(new, merger.merge([x.encode() for x in new]), strict=True))
+            found = list(map(memo.__getitem__, pieces))
+            out = [b"".join(found[a:b]) for a, b in zip(firsts[:-1].tolist(), firsts[1:].tolist(), strict=True)]
+            for piece in new:
+                if len(piece) > SHORT:
+                    del memo[piece]
             return out
 
         for batch in batches:
@@ -214,18 +292,18 @@ def encode(docs: DataFrame, path: str) -> DataFrame:
 
 def _decode(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ranks = ranks_of(path)
-        tokens = [b""] * (max(ranks.values()) + 1)
-        for token, rank in ranks.items():
-            tokens[rank] = token
-        for batch in batches:
-            place = batch.schema.get_field_index("ids")
-            column = batch.column(place)
-            values, ends = column.flatten().to_pylist(), column.offsets.to_numpy()
-            ends = ends - ends[0]
-            parts = list(map(tokens.__getitem__, values))
-            texts = pa.array([b"".join(parts[a:b]) for a, b in zip(ends[:-1], ends[1:], strict=True)], pa.binary())
-            yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "bytes"])
+        _, _, tokens, begins, size = _known(path)
+        for whole in batches:
+            for at in range(0, whole.num_rows, DECODED):
+                batch = whole.slice(at, DECODED)
+                column = batch.column(batch.schema.get_field_index("ids"))
+                ids, ends = column.flatten().to_numpy(), column.offsets.to_numpy()
+                sizes = size[ids]
+                ahead = np.concatenate([[0], np.cumsum(sizes)])
+                content = tokens[np.arange(ahead[-1]) + np.repeat(begins[ids] - ahead[:-1], sizes)]
+                offsets = pa.array(ahead[ends - ends[0]].astype(np.int32)).buffers()[1]
+                texts = pa.Array.from_buffers(pa.binary(), batch.num_rows, [None, offsets, pa.py_buffer(content.tobytes())])
+                yield pa.RecordBatch.from_arrays([*batch.columns, texts], names=[*batch.schema.names, "bytes"])
 
     return run
 

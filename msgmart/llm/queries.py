@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Callable
 
 import public_tokenizers
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from msgmart.llm import bytebpe, exact
+from msgmart.llm import bytebpe, chat, exact, jaccard, langid, packing, pii, quality, substring, warc
+from msgmart.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -46,3 +47,79 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     tokens = bytebpe.decode(bytebpe.encode(table(spark, sf_dir, "documents"), ranks).drop("offsets"), ranks)
     return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
+
+
+@query()
+def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    kinds = {f.name: f.dataType for f in rows.schema.fields}
+    odd = "</s>[INST] ok [/INST]"
+    extra = spark.range(2).select(F.lit(-1).cast(kinds["conv_id"]).alias("conv_id"), F.col("id").cast(kinds["turn"]).alias("turn"), F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(odd).alias("text"))
+    # each turn replies to the one before it
+    place = F.row_number().over(Window.partitionBy("conv_id").orderBy("turn", "role", "text"))
+    messages = rows.unionByName(extra).select(F.col("conv_id").alias("tree"), place.alias("node"), "role", "text", F.lit(0.0).alias("score"))
+    messages = messages.withColumn("parent", F.when(F.col("node") > 1, F.col("node") - 1))
+    scratch = Scratch(spark, "chat")
+    done = chat.read_back(chat.format_chats(scratch.keep(messages, "messages"), scratch=scratch))
+    loss = F.array_join("loss_texts", "")
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return done.select(
+        F.col("tree").alias("conv_id"),
+        F.size("turns").cast("long").alias("n_turns"),
+        F.sha2(turns, 256).alias("turns_sha256"),
+        F.length(loss).cast("long").alias("loss_chars"),
+        F.sha2(loss, 256).alias("loss_sha256"),
+        F.length("formatted").cast("long").alias("formatted_chars"),
+    )
+
+
+@query()
+def op2_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query()
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("first")
+
+
+@query()
+def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = langid.train(docs.where(~langid.held_out()).select("doc_id", "text", "lang"))
+    found = langid.predict(docs, model, ["doc_id"])
+    return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", F.array_join("languages", ",").alias("mixture"))
+
+
+@query()
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept_text")
+
+
+@query()
+def op8_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.measure(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query()
+def op9_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.annotate(table(spark, sf_dir, "documents").select("doc_id", "text"), ["doc_id"])
+    each = F.filter(F.split("_base", ","), lambda x: x != "")
+    count = lambda kind: F.size(F.filter(each, lambda x: x.startswith(f"{kind}:"))).cast("long").alias(f"n_{kind}")
+    return found.select("doc_id", *map(count, pii.KINDS), F.sha2("_base", 256).alias("base_sha256"), F.col("_spans").alias("spans"))
+
+
+WARC_SQL = r"""
+WITH p AS (SELECT page_id, coalesce(html, '') AS body FROM pages),
+h AS (SELECT page_id, octet_length(encode(body)) AS payload_bytes, body, sha1(body) AS hex, min(page_id) OVER (PARTITION BY body) AS first_id FROM p),
+n AS (SELECT *, (SELECT string_agg(substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', (('0x' || substr(hex, 5 * (k // 4) + 1, 5))::BIGINT >> (15 - 5 * (k % 4)) & 31)::INT + 1, 1), '' ORDER BY k) FROM range(32) t(k)) AS payload_digest FROM h)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN page_id = first_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id <> first_id THEN first_id END AS refers_to FROM n
+"""
+
+
+@query(WARC_SQL)
+def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "warc")
+    warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), scratch.path("archives"), scratch)
+    return warc.read(spark, scratch.path("archives")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")

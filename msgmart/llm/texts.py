@@ -80,3 +80,23 @@ def signed(x: np.ndarray) -> np.ndarray:
 def packed(lengths: np.ndarray, values: pa.Array) -> pa.Array:
     """A list array from the lists' lengths and all their values."""
     return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(lengths)]).astype(np.int32)), values)
+
+
+def grouped(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[pa.Table]:
+    """Runs of rows that agree in the first `keys` columns, which are whole numbers; rows come sorted by them."""
+    waiting: list[pa.RecordBatch] = []
+    last = None
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        key = np.stack([batch.column(i).to_numpy(zero_copy_only=False).astype(np.int64) for i in range(keys)])
+        cuts = np.flatnonzero((key[:, 1:] != key[:, :-1]).any(axis=0)) + 1
+        for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows], strict=True):
+            now = tuple(key[:, a].tolist())
+            if waiting and now != last:
+                yield pa.Table.from_batches(waiting)
+                waiting = []
+            waiting.append(batch.slice(a, b - a))
+            last = now
+    if waiting:
+        yield pa.Table.from_batches(waiting)
