@@ -1,16 +1,18 @@
 """Arrays inside a message: child rows, the matching element, name/value pairs as columns.
 
 The last two exist in two forms. ``how="array"`` works inside the row and moves no data.
-``how="join"`` explodes the elements and joins them back to the messages by id, so elements of
-messages that share an id meet every message with that id. Both give the same rows as long as
-ids are unique; :func:`msgmart.operators.increments.measure` tells.
+``how="join"`` gives what joining the elements back to the messages by id would: elements of
+messages that share an id meet every message with that id. The arrays of an id are united first,
+in one pass over its messages and with one shuffle for all attributes; what follows works inside
+the row again. Both give the same rows as long as ids are unique;
+:func:`msgmart.operators.increments.measure` tells.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ELEMENT = "element"
@@ -34,6 +36,16 @@ def child_rows(
     return exploded(parents, array, keep).select(*keep, *fields)
 
 
+def united(parents: DataFrame, key: str, array: str, test: Callable[[Column], Column]) -> DataFrame:
+    """Every message with the wanted elements of all messages that share its id.
+
+    A message without an id has none: a join would not find it.
+    """
+    wanted = F.filter(F.col(array), _matching(test))
+    all_of_id = F.flatten(F.collect_list(wanted).over(Window.partitionBy(key)))
+    return parents.withColumn(array, F.when(F.col(key).isNotNull(), all_of_id))
+
+
 def _matching(test: Callable[[Column], Column]) -> Callable[[Column], Column]:
     return lambda element: test(element)
 
@@ -51,22 +63,13 @@ def matching_child(
     Several matches multiply the parent. The array column is dropped.
     """
     rest = [c for c in parents.columns if c != array]
-    if how == "array":
-        hits = F.filter(F.col(array), _matching(test))
-        frame = parents.select(*rest, F.explode_outer(hits).alias(ELEMENT))
-        return frame.select(*rest, *[get(F.col(ELEMENT)).alias(name) for name, get in fields.items()])
-    if how != "join":
+    if how not in ("array", "join"):
         raise ValueError(f"unknown form {how!r}")
-    children = (
-        exploded(parents, array, [key])
-        .filter(test(F.col(ELEMENT)))
-        .select(
-            F.col(key).alias("child_key"),
-            *[get(F.col(ELEMENT)).alias(name) for name, get in fields.items()],
-        )
-    )
-    joined = parents.drop(array).join(children, F.col(key) == F.col("child_key"), "left")
-    return joined.select(*rest, *fields)
+    if how == "join":
+        parents = united(parents, key, array, test)
+    hits = F.filter(F.col(array), _matching(test))
+    frame = parents.select(*rest, F.explode_outer(hits).alias(ELEMENT))
+    return frame.select(*rest, *[get(F.col(ELEMENT)).alias(name) for name, get in fields.items()])
 
 
 def attributes(
@@ -87,32 +90,24 @@ def attributes(
     def shaped(column: str, value: Column) -> Column:
         return convert[column](value) if column in convert else value
 
-    if how == "array":
-        hits = [
-            F.filter(F.col(array), _matching(_named(name))).alias(f"hits_{column}")
-            for column, name in wanted.items()
-        ]
-        frame = parents.select(*rest, *hits)
-        done = list(rest)
-        waiting = [f"hits_{column}" for column in wanted]
-        for column in wanted:
-            hit = waiting.pop(0)
-            frame = frame.select(*done, *waiting, F.explode_outer(hit).alias(ELEMENT)).select(
-                *done, *waiting, shaped(column, F.col(ELEMENT)["value"]).alias(column)
-            )
-            done.append(column)
-        return frame.select(*rest, *wanted)
-    if how != "join":
+    if how not in ("array", "join"):
         raise ValueError(f"unknown form {how!r}")
-    pairs = exploded(parents, array, [key])
-    frame = parents.drop(array)
-    for number, (column, name) in enumerate(wanted.items()):
-        pair_key = f"pair_key_{number}"
-        side = pairs.filter(_named(name)(F.col(ELEMENT))).select(
-            F.col(key).alias(pair_key),
-            shaped(column, F.col(ELEMENT)["value"]).alias(column),
+    if how == "join":
+        names = list(wanted.values())
+        parents = united(parents, key, array, lambda element: element["name"].isin(names))
+    hits = [
+        F.filter(F.col(array), _matching(_named(name))).alias(f"hits_{column}")
+        for column, name in wanted.items()
+    ]
+    frame = parents.select(*rest, *hits)
+    done = list(rest)
+    waiting = [f"hits_{column}" for column in wanted]
+    for column in wanted:
+        hit = waiting.pop(0)
+        frame = frame.select(*done, *waiting, F.explode_outer(hit).alias(ELEMENT)).select(
+            *done, *waiting, shaped(column, F.col(ELEMENT)["value"]).alias(column)
         )
-        frame = frame.join(side, F.col(key) == F.col(pair_key), "left").drop(pair_key)
+        done.append(column)
     return frame.select(*rest, *wanted)
 
 

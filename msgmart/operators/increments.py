@@ -13,15 +13,17 @@ from pyspark.sql import functions as F
 class Increment:
     """Number of new messages and their greatest stamp, null when there are none.
 
-    ``repeated`` is the number of ids that occur more than once, null where that was not asked for.
+    ``repeated`` is the number of ids that occur more than once and ``most`` how often the most
+    frequent of them does, null where that was not asked for.
     """
 
     rows: int
     high: str | None
     repeated: int | None = None
+    most: int | None = None
 
 
-def _per_id(messages: DataFrame, key: str, tracked: str) -> DataFrame:
+def per_id(messages: DataFrame, key: str, tracked: str) -> DataFrame:
     """Count and greatest stamp of every id. Each task counts its own rows first, so that only
     ids with their counts are shuffled."""
     return messages.groupBy(key).agg(F.count(F.lit(1)).alias("n"), F.max(tracked).alias("high"))
@@ -40,21 +42,28 @@ def measure(messages: DataFrame, tracked: str = "acl_dop", key: str | None = Non
     if key is None:
         row = messages.agg(F.count(F.lit(1)).alias("n"), F.max(tracked).alias("high")).first()
         return Increment(row["n"], row["high"])
-    row = (
-        _per_id(messages, key, tracked)
-        .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
-            F.max("high").alias("high"),
-            F.count_if(_is_repeated(key)).alias("repeated"),
-        )
-        .first()
-    )
-    return Increment(row["n"], row["high"], row["repeated"])
+    return measure_ids(per_id(messages, key, tracked), key)
+
+
+def measure_ids(ids: DataFrame, key: str) -> Increment:
+    """The same from the ids already counted by :func:`per_id`."""
+    row = ids.agg(
+        F.coalesce(F.sum("n"), F.lit(0)).alias("n"),
+        F.max("high").alias("high"),
+        F.count_if(_is_repeated(key)).alias("repeated"),
+        F.max(F.when(F.col(key).isNotNull(), F.col("n"))).alias("most"),
+    ).first()
+    return Increment(row["n"], row["high"], row["repeated"], row["most"])
+
+
+def repeated_of(ids: DataFrame, key: str) -> DataFrame:
+    """The ids counted more than once, as a column ``repeated_id``."""
+    return ids.filter(_is_repeated(key)).select(F.col(key).alias("repeated_id"))
 
 
 def repeated_ids(messages: DataFrame, key: str, tracked: str = "acl_dop") -> DataFrame:
     """The ids that occur more than once."""
-    return _per_id(messages, key, tracked).filter(_is_repeated(key)).select(key)
+    return repeated_of(per_id(messages, key, tracked), key).withColumnRenamed("repeated_id", key)
 
 
 def measure_many(

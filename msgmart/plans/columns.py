@@ -67,15 +67,7 @@ def values(prefix: str, *names: str) -> tuple[Out, ...]:
     return tuple(value(name, f"{prefix}.{name}" if prefix else name) for name in names)
 
 
-def any_case(name: str, path: str) -> Out:
-    """A field whose last name may be spelled as given or in lower case."""
-    head, _, last = path.rpartition(".")
-    lower = f"{head}.{last.lower()}" if head else last.lower()
-    needs = _texts((path,) if lower == path else (path, lower))
-    return Out(name, lambda p: p.value(path), needs)
-
-
-def zulu(name: str, *paths: str, zone: str | None = timeparse.BERLIN, spelled: str = "") -> Out:
+def zulu(name: str, *paths: str, zone: str | None = timeparse.BERLIN) -> Out:
     """First readable ISO millisecond text of several paths."""
     paths = paths or (name,)
 
@@ -83,7 +75,7 @@ def zulu(name: str, *paths: str, zone: str | None = timeparse.BERLIN, spelled: s
         parsed = [timeparse.iso_millis(p.value(path), zone) for path in paths]
         return parsed[0] if len(parsed) == 1 else F.coalesce(*parsed)
 
-    return Out(name, build, _texts(paths + ((spelled,) if spelled else ())))
+    return Out(name, build, _texts(paths))
 
 
 def iso19(name: str, path: str, zone: str | None = timeparse.BERLIN) -> Out:
@@ -103,18 +95,19 @@ def empty(name: str, ddl: str = "string") -> Out:
     return Out(name, lambda _: F.lit(None).cast(ddl), constant=True)
 
 
-def array_and_text(array: str, text: str, path: str, ddl: str) -> tuple[Out, ...]:
+def array_and_text(array: str, text: str, path: str) -> tuple[Out, ...]:
     """An array as a column, and the same part of the payload as JSON text.
 
-    With a declared schema the payload is read once, for the text; the array is parsed from
-    that text alone. With an inferred one the array comes from the payload, if it is one there.
+    With a declared schema the payload is read once, for the text, and the array is that of its
+    elements, each as JSON text with all its fields, so that the column's type does not depend on
+    the data and nothing is left out. With an inferred one it is the array of the payload.
     """
 
     def build_array(p: Payload) -> Column:
         found = p.find(path)
         if found and isinstance(found[0][1], ArrayType):
             return p.value(path)
-        return F.from_json(p.value(path).cast("string"), ddl, {"mode": "PERMISSIVE"})
+        return F.from_json(p.value(path).cast("string"), "array<string>", {"mode": "PERMISSIVE"})
 
     def build_text(p: Payload) -> Column:
         return fragment(p.text, f"$.{path}") if p.inferred else p.value(path)

@@ -27,6 +27,7 @@ LOG_COLUMNS = (
 STATE = "process_state"
 STATE_COLUMNS = "token string, since timestamp, etl_process_name string"
 
+# Log texts that readers of the log expect.
 STARTED = "logic of process started"
 ENDED = "end of process"
 
@@ -123,9 +124,12 @@ class Control:
         row = one_row(self.spark, token=token, since=run_time(), etl_process_name=process)
         self.tables.replace_partitions(row, STATE, ["etl_process_name"])
 
+    def finish(self, process: str) -> None:
+        """Note that the writes of the process have ended."""
+        self.begin(process, "-")
+
     def begun(self, process: str, token: str) -> bool:
-        """Whether writes from this start have begun before. A run that came to its end has moved
-        the mark, so that the next one starts elsewhere; one that broke off has not."""
+        """Whether writes from this start have begun and not ended."""
         state = self.tables.find(STATE, STATE_COLUMNS)
         if state is None:
             return False

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from ..columns import any_case, audit, empty, value, zulu
+from ..columns import audit, empty, value, zulu
 from ..spec import JobSpec
 from .common import MESSAGES, lead
 
@@ -69,37 +69,33 @@ WORK_ORDER = JobSpec(
     target="cl_f_workorderevent_mt",
     columns=(
         *lead(),
-        any_case("eventid", "eventId"),
-        any_case("eventsource", "eventSource"),
-        any_case("eventstream", "eventStream"),
-        zulu("eventdatetime", "eventDateTime", spelled="eventdatetime"),
-        any_case("eventtype", "eventType"),
+        value("eventid", "eventId"),
+        value("eventsource", "eventSource"),
+        value("eventstream", "eventStream"),
+        zulu("eventdatetime", "eventDateTime"),
+        value("eventtype", "eventType"),
         empty("eventmetadata"),
-        any_case("eventversion", "eventVersion"),
-        any_case("externalreference", "eventPayload.externalReference"),
-        any_case("workorderid", "eventPayload.workOrderId"),
-        any_case("workordertype", "eventPayload.workOrderType"),
-        any_case("taskresolutioncode", "eventPayload.taskResolutionCode"),
-        any_case("taskresolutionstatus", "eventPayload.taskResolutionStatus"),
-        any_case("taskresolutioncomment", "eventPayload.taskResolutionComment"),
-        any_case("klsid", "eventPayload.klsId"),
-        any_case("cplid", "eventPayload.cplId"),
-        any_case("ciobid", "eventPayload.cioBid"),
+        value("eventversion", "eventVersion"),
+        value("externalreference", "eventPayload.externalReference"),
+        value("workorderid", "eventPayload.workOrderId"),
+        value("workordertype", "eventPayload.workOrderType"),
+        value("taskresolutioncode", "eventPayload.taskResolutionCode"),
+        value("taskresolutionstatus", "eventPayload.taskResolutionStatus"),
+        value("taskresolutioncomment", "eventPayload.taskResolutionComment"),
+        value("klsid", "eventPayload.klsId"),
+        value("cplid", "eventPayload.cplId"),
+        value("ciobid", "eventPayload.cioBid"),
         zulu(
             "completiondate",
-            "eventPayload.completionDate",
-            spelled="eventPayload.completiondate",
-        ),
-        any_case("explorationprotocolbid", "eventPayload.explorationProtocolBid"),
-        any_case("buildupdecision", "eventPayload.buildUpDecision"),
+            "eventPayload.completionDate"),
+        value("explorationprotocolbid", "eventPayload.explorationProtocolBid"),
+        value("buildupdecision", "eventPayload.buildUpDecision"),
         zulu(
             "posignaturetimestamp",
-            "eventPayload.poSignatureTimestamp",
-            spelled="eventPayload.posignaturetimestamp",
-        ),
-        any_case("numberaccommodationunits", "eventPayload.numberAccommodationUnits"),
-        any_case("numberbusinessunits", "eventPayload.numberBusinessUnits"),
-        any_case("homeid", "eventPayload.homeId"),
+            "eventPayload.poSignatureTimestamp"),
+        value("numberaccommodationunits", "eventPayload.numberAccommodationUnits"),
+        value("numberbusinessunits", "eventPayload.numberBusinessUnits"),
+        value("homeid", "eventPayload.homeId"),
         *audit(),
     ),
 )

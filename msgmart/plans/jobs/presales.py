@@ -26,11 +26,9 @@ NEW_PLACE = "installationLocation"
 NEW_ADDRESS = f"{NEW_PLACE}.address"
 OLD_ADDRESS = "installationAddress"
 
+# What the child tables read of an element; the parent keeps all of it.
 ITEMS = (
-    "array<struct<id:string,orderId:string,itemType:string,name:string,lineNumber:string,"
-    "productMaterialId:string,performProcessing:boolean,pricingDate:string,"
-    "conditions:array<struct<conditionType:string,id:bigint,invoiceText:string,"
-    "orderItemId:bigint,performProcessing:boolean,price:string,telekomConditionId:string>>>>"
+    "array<struct<id:string,itemType:string,name:string,lineNumber:string,productMaterialId:string>>"
 )
 HISTORY = (
     "array<struct<id:string,itemType:string,createdAt:string,"
@@ -103,8 +101,8 @@ PRESALES = JobSpec(
     target="cl_f_presalesorder_mt",
     columns=(
         *_columns(old_layout=True),
-        *array_and_text("orderitems_array", "orderitems_json", "items", ITEMS),
-        *array_and_text("history_array", "history_json", "history", HISTORY),
+        *array_and_text("orderitems_array", "orderitems_json", "items"),
+        *array_and_text("history_array", "history_json", "history"),
         *audit(),
     ),
     children=(

@@ -10,28 +10,29 @@ from dataclasses import dataclass
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import BooleanType, NumericType, StructType
 
 from ..functions.timeparse import stamp14
 from ..operators import increments
 from ..operators.increments import Increment
 from ..operators.latest import latest_by_max
 from ..sources.envelope import between_marks
-from ..sources.schema import infer_schema, merge_schemas
+from ..sources.schema import merge_schemas, readable, seen_schema
 from ..sources.tables import Tables, aligned
 from .control import ENDED, STARTED, Control, Mark, one_row
 from .spec import JobSpec
 
 SCHEMAS = "payload_schemas"
 
-# Repeated ids up to this number are sent to every task; with 40 bytes each that is 4 MB.
-BROADCAST_IDS = 100_000
-
 
 class MissingMark(RuntimeError):
     """An incremental job has no row in the tracking table."""
 
 
+class TooManyRepeats(RuntimeError):
+    """So many messages share an id that joining their elements would not end."""
+
+
 @dataclass(frozen=True)
 class Result:
     process: str
@@ -45,21 +46,26 @@ class Result:
 class Options:
     """How to run.
 
-    ``schema``   ``declared`` reads the fields the job names, with fixed types. ``inferred`` takes
-                 names and types from all messages of the type, ``merged`` from the new messages
-                 and a stored schema that grows with every run.
+    ``schema``   ``declared`` reads the fields the job names, with fixed types and in all spellings
+                 the new messages have. ``inferred`` takes names and types from all messages of the
+                 type, ``merged`` from the new messages and a stored schema that grows with every run.
     ``how``      form of the array operators: ``array`` inside the row, ``join`` by message id.
                  ``auto`` gives the rows of the join with the work of the array form, except for
                  messages whose id is repeated.
     ``refresh``  ``full`` recomputes a snapshot from all messages, ``merge`` brings the stored
                  snapshot up to date with the new ones.
     ``rebalance`` evens out the sizes of the written files at the price of a shuffle.
+    ``repeats``  how many messages may share an id where their elements meet each other. More is an
+                 error, before anything is written.
+    ``months``   the message table has the month of each load stamp as ``acl_dop_yyyymm``.
     """
 
     schema: str = "declared"
     how: str = "auto"
     refresh: str = "full"
     rebalance: bool = False
+    repeats: int = 10_000
+    months: bool = False
 
 
 class Runner:
@@ -93,29 +99,39 @@ class Runner:
         messages = spec.messages(lake)
         mark = self._mark(spec)
         tracked = mark.column or "acl_dop"
-        low = None if self._whole(spec) else mark.value
+        # A merge that broke off may have left a part of the snapshot: all of it is made anew.
+        whole = self._whole(spec) or (
+            spec.full_recompute and self.control.begun(spec.process, mark.value or "")
+        )
+        low = None if whole else mark.value
         again = low is not None and self.control.begun(spec.process, low)
         if since is not None and low is not None and since < low:
             low, again = since, True
 
-        found = measured or increments.measure(
-            between_marks(messages, low, upto, tracked), tracked, self.key(spec)
-        )
-        self.log_start(spec, found, mark.value)
-        if found.rows == 0:
-            self.log_end(spec, ())
-            return Result(spec.process, 0, low, None, ())
-
-        new = between_marks(messages, low, found.high, tracked)
-        schema = self.schema(spec, messages, new)
-        if spec.full_recompute:
-            written = self._write_snapshot(spec, new, schema)
-        else:
-            how = self.form(spec, found)
-            self.control.begin(spec.process, mark.value)
-            written = self.write(spec, new, schema, how, low if again else None)
+        arrived = between_marks(messages, low, upto, tracked, self.options.months)
+        key = self.key(spec)
+        with _kept(increments.per_id(arrived, key or "acl_id", tracked), key is not None) as ids:
+            if key is not None:
+                found = increments.measure_ids(ids, key)
+            else:
+                found = measured or increments.measure(arrived, tracked)
+            self.log_start(spec, found, mark.value)
+            if found.rows == 0:
+                self.log_end(spec, ())
+                return Result(spec.process, 0, low, None, ())
+            self.check_repeats(found, key)
+            new = between_marks(messages, low, found.high, tracked, self.options.months)
+            schema, seen = self.schema(spec, messages, new)
+            if spec.full_recompute:
+                self.control.begin(spec.process, mark.value or "")
+                written = self._write_snapshot(spec, new, schema, seen, whole)
+            else:
+                repeated = increments.repeated_of(ids, key) if found.repeated else None
+                self.control.begin(spec.process, mark.value)
+                written = self.write(spec, new, schema, seen, repeated, low if again else None, tracked)
         if mark.value is None or found.high > mark.value:
             self.control.advance(spec.process, spec.source, found.high, tracked)
+        self.control.finish(spec.process)
         self.log_end(spec, written)
         return Result(spec.process, found.rows, low, found.high, written)
 
@@ -166,20 +182,26 @@ class Runner:
             out.update(increments.measure_many(recent, tests, tracked))
         return out
 
-    def schema(self, spec: JobSpec, messages: DataFrame, new: DataFrame) -> StructType | None:
+    def schema(
+        self, spec: JobSpec, messages: DataFrame, new: DataFrame
+    ) -> tuple[StructType | None, StructType | None]:
+        """The schema to parse with, none for the declared one, and one to take spellings from."""
         if self.options.schema == "declared":
-            return None
+            return None, spec.seen(new)
         if self.options.schema == "inferred":
             schema = spec.inferred(messages)
         elif self.options.schema == "merged":
-            schema = spec.reduced(self._grown_schema(spec, new))
+            schema = spec.reduced(readable(self._grown_schema(spec, new)))
         else:
             raise ValueError(f"unknown schema option {self.options.schema!r}")
-        return schema if schema.fields else None
+        return (schema if schema.fields else None), None
 
     def _grown_schema(self, spec: JobSpec, new: DataFrame) -> StructType:
-        """Stored schema of the process, widened by the new messages and stored again."""
-        schema = infer_schema(new)
+        """Stored schema of the process, widened by the new messages and stored again.
+
+        What was always null or empty so far stays open in it, so that a later value decides.
+        """
+        schema = seen_schema(new)
         schemas = self.core.find(SCHEMAS, "payload_schema string, etl_process_name string")
         if schemas is not None:
             mine = schemas.filter(F.col("etl_process_name") == spec.process)
@@ -191,41 +213,38 @@ class Runner:
         self.core.replace_partitions(row, SCHEMAS, ["etl_process_name"])
         return schema
 
+    def check_repeats(self, found: Increment, key: str | None) -> None:
+        if key is not None and (found.most or 0) > self.options.repeats:
+            raise TooManyRepeats(
+                f"{found.most} messages share one {key}; {found.repeated} ids occur more than once"
+            )
+
     def key(self, spec: JobSpec) -> str | None:
         """The id whose repetition decides the form of the array operators."""
         return "acl_id" if spec.spread is not None and self.options.how == "auto" else None
 
-    def form(self, spec: JobSpec, found: Increment) -> str:
-        """``array``, ``join``, or ``split`` where few ids are repeated: only their messages are joined."""
-        if self.options.how != "auto":
-            return self.options.how
-        if self.key(spec) is None or not found.repeated:
-            return "array"
-        return "split" if found.repeated <= BROADCAST_IDS else "join"
-
     @contextmanager
     def _main(
-        self, spec: JobSpec, new: DataFrame, schema: StructType | None, how: str
+        self,
+        spec: JobSpec,
+        new: DataFrame,
+        schema: StructType | None,
+        seen: StructType | None,
+        repeated: DataFrame | None,
     ) -> Iterator[DataFrame]:
-        if how != "split":
-            with _kept(spec.main(new, schema, how), bool(spec.children)) as main:
-                yield main
-            return
-        ids = increments.repeated_ids(new, "acl_id").withColumnRenamed("acl_id", "repeated_id")
-        with _kept(ids) as repeated:
-            # Its size was counted: at most BROADCAST_IDS ids.
-            same = F.col("acl_id").eqNullSafe(F.col("repeated_id"))
-            once = new.join(F.broadcast(repeated), same, "left_anti")
-            with _kept(new.join(F.broadcast(repeated), same, "left_semi")) as several:
-                yield spec.main(once, schema, "array").unionByName(
-                    spec.main(several, schema, "join")
-                )
+        if repeated is not None:
+            main = spec.main_split(new, repeated, schema, seen)
+        else:
+            how = "array" if self.options.how == "auto" else self.options.how
+            main = spec.main(new, schema, how, seen)
+        with _kept(main, bool(spec.children)) as main:
+            yield main
 
     def _write_snapshot(
-        self, spec: JobSpec, new: DataFrame, schema: StructType | None
+        self, spec: JobSpec, new: DataFrame, schema: StructType | None, seen: StructType | None, whole: bool
     ) -> tuple[str, ...]:
-        frame = spec.main(new, schema)
-        if not self._whole(spec):
+        frame = self._typed(spec, spec.main(new, schema, seen=seen))
+        if not whole:
             stored = self.core.read(spec.target)
             both = stored.unionByName(aligned(frame, stored.schema)).drop("rnk")
             newest = latest_by_max(both, spec.latest.key, spec.latest.newest_first)
@@ -241,43 +260,55 @@ class Runner:
         spec: JobSpec,
         new: DataFrame,
         schema: StructType | None,
-        how: str,
+        seen: StructType | None,
+        repeated: DataFrame | None,
         resume_from: str | None,
+        tracked: str = "acl_dop",
     ) -> tuple[str, ...]:
         """Append the outputs of new messages: the main target, then its children.
 
         With ``resume_from`` the targets may hold some of them already, from that stamp on.
         """
         written = []
-        with self._main(spec, new, schema, how) as main:
-            frames = {spec.target: main, **spec.children_of(main, schema)}
+        with self._main(spec, new, schema, seen, repeated) as main:
+            frames = {
+                spec.target: self._typed(spec, main),
+                **spec.children_of(main, schema, seen),
+            }
             for table, frame in frames.items():
                 if resume_from is not None:
-                    frame = self._not_yet_written(frame, table, resume_from)
+                    frame = self._not_yet_written(frame, table, resume_from, tracked)
                 if self.options.rebalance:
                     frame = frame.hint("rebalance")
                 self.core.append(frame, table)
                 written.append(table)
         return tuple(written)
 
-    def _not_yet_written(self, frame: DataFrame, table: str, low: str) -> DataFrame:
-        """Leave out messages whose rows the table already holds.
-
-        Only rows above the lower bound are looked at, and only two narrow columns of them.
+    @staticmethod
+    def _typed(spec: JobSpec, frame: DataFrame) -> DataFrame:
+        """Single values declared as text are text also where the data has numbers: a later
+        message may hold another kind of value, and the target keeps its first types."""
+        texts = {o.name for o in spec.columns if o.needs and all(t == "string" for _, t in o.needs)}
+        numbers = {
+            f.name for f in frame.schema.fields if isinstance(f.dataType, (NumericType, BooleanType))
+        }
+        return frame.withColumns({c: F.col(f"`{c}`").cast("string") for c in texts & numbers})
+
+    def _not_yet_written(self, frame: DataFrame, table: str, low: str, tracked: str) -> DataFrame:
+        """Leave out rows the table already holds, each as often as it holds them.
+
+        Rows are told apart by all their columns: messages may share ids and stamps, and another
+        job may write to the same table. Where stamps are tracked, only rows above the lower
+        bound are looked at.
         """
         target = self.core.find(table)
         if target is None:
             return frame
         bound = stamp14(F.lit(low))  # a mark that is no time, such as all zeros, bounds nothing
-        above = F.col("acl_dop_ISO").isNull() | bound.isNull() | (F.col("acl_dop_ISO") > bound)
-        there = (
-            target.filter(above)
-            .select(F.col("acl_id_int").alias("there_id"), F.col("acl_dop_ISO").alias("there_time"))
-        )
-        same = F.col("acl_id_int").eqNullSafe(F.col("there_id")) & F.col("acl_dop_ISO").eqNullSafe(
-            F.col("there_time")
-        )
-        return frame.join(there, same, "left_anti")
+        if tracked == "acl_dop" and "acl_dop_ISO" in target.columns:
+            time = F.col("acl_dop_ISO")
+            target = target.filter(time.isNull() | bound.isNull() | (time > bound))
+        return aligned(frame, target.schema).exceptAll(target)
 
     def log_start(self, spec: JobSpec, found: Increment, mark: str | None) -> None:
         self.control.log(

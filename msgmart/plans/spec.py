@@ -10,9 +10,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..operators import arrays, latest
-from ..operators.payload import PARSED, Payload, parse
+from ..operators.payload import PARSED, Payload, parse, parsed_text
 from ..sources.envelope import of_kind
-from ..sources.schema import declared_schema, distinct_names, infer_schema, pruned
+from ..sources.schema import (
+    declared_schema,
+    distinct_names,
+    infer_schema,
+    pruned,
+    respelled,
+    seen_schema,
+)
 from .columns import Out
 
 
@@ -86,8 +93,13 @@ class JobSpec:
             out[self.spread.path] = f"array<{self.spread.element}>"
         return out
 
-    def declared(self) -> StructType:
-        return declared_schema(self.paths())
+    def declared(self, seen: StructType | None = None) -> StructType:
+        """The declared schema, in the spellings that ``seen``, a schema of the data, has."""
+        return respelled(declared_schema(self.paths()), seen)
+
+    def seen(self, messages: DataFrame) -> StructType:
+        """Schema of the messages, to take spellings from: field names match without case."""
+        return seen_schema(messages)
 
     def inferred(self, messages: DataFrame) -> StructType:
         """Schema of the messages, reduced to what the job reads; names and types follow the data."""
@@ -100,27 +112,56 @@ class JobSpec:
     # -- plans -----------------------------------------------------------------------------
 
     def outputs(
-        self, messages: DataFrame, schema: StructType | None = None, how: str = "array"
+        self,
+        messages: DataFrame,
+        schema: StructType | None = None,
+        how: str = "array",
+        seen: StructType | None = None,
     ) -> dict[str, DataFrame]:
         """``{table: frame}``: the main target first, then the children, as lazy plans.
 
-        ``schema=None`` takes the declared one; ``how`` is the form of the array operators.
+        ``schema=None`` takes the declared one, in the spellings of ``seen``; ``how`` is the form
+        of the array operators.
         """
-        main = self.main(messages, schema, how)
-        return {self.target: main, **self.children_of(main, schema)}
+        main = self.main(messages, schema, how, seen)
+        return {self.target: main, **self.children_of(main, schema, seen)}
 
     def main(
-        self, messages: DataFrame, schema: StructType | None = None, how: str = "array"
+        self,
+        messages: DataFrame,
+        schema: StructType | None = None,
+        how: str = "array",
+        seen: StructType | None = None,
     ) -> DataFrame:
         """The frame of the main target only."""
-        known = schema if schema is not None else self.declared()
-        frame, payload = parse(messages, known, inferred=schema is not None)
+        known = schema if schema is not None else self.declared(seen)
+        frame, payload = parse(messages, known, inferred=schema is not None, seen=seen)
         return self._main(frame, payload, how)
 
-    def children_of(self, main: DataFrame, schema: StructType | None = None) -> dict[str, DataFrame]:
+    def main_split(
+        self,
+        messages: DataFrame,
+        repeated: DataFrame,
+        schema: StructType | None = None,
+        seen: StructType | None = None,
+    ) -> DataFrame:
+        """The main frame where the ids in ``repeated`` (``repeated_id``) occur more than once.
+
+        Only their messages meet each other; all others are worked on inside the row.
+        """
+        same = F.col("acl_id").eqNullSafe(F.col("repeated_id"))
+        once = messages.join(repeated, same, "left_anti")
+        several = messages.join(repeated, same, "left_semi")
+        return self.main(once, schema, "array", seen).unionByName(
+            self.main(several, schema, "join", seen)
+        )
+
+    def children_of(
+        self, main: DataFrame, schema: StructType | None = None, seen: StructType | None = None
+    ) -> dict[str, DataFrame]:
         """The child frames from an already computed main frame."""
-        known = distinct_names(schema if schema is not None else self.declared())
-        payload = Payload(known, F.col(PARSED), F.col("jsonstruct"), schema is not None)
+        known = distinct_names(schema if schema is not None else self.declared(seen))
+        payload = Payload(known, F.col(PARSED), F.col("jsonstruct"), schema is not None, seen)
         return {child.target: self._child(main, child, payload) for child in self.children}
 
     def _main(self, frame: DataFrame, payload: Payload, how: str) -> DataFrame:
@@ -150,24 +191,34 @@ class JobSpec:
     def _child(self, main: DataFrame, child: Child, payload: Payload) -> DataFrame:
         inner = payload.element(F.col(arrays.ELEMENT), child.path, child.ddl)
         fields = [out.column(inner) for out in child.columns]
-        rows = arrays.child_rows(main, child.array, child.keep, fields)
+        rows = arrays.exploded(main, child.array, child.keep)
+        if payload.holds_texts(child.path):
+            shape = payload.element_type(child.path, child.ddl)
+            rows = rows.withColumn(arrays.ELEMENT, parsed_text(F.col(arrays.ELEMENT), shape))
+        rows = rows.select(*child.keep, *fields)
         return rows.filter(child.keep_if()) if child.keep_if else rows
 
 
 def _readable_array(payload: Payload, spread: Match | Attributes) -> Column:
     """The array in the element type the operators expect, whatever the data looks like.
 
-    An inferred element may lack fields or carry others; reading it by name gives typed nulls.
+    An element may lack fields, carry others or spell them in another way; reading it by name gives
+    typed nulls. Of several spellings of the array the first that holds something counts.
     """
     ddl = f"array<{spread.element}>"
-    if not payload.inferred:
-        return payload.value(spread.path, ddl=ddl)
-    found = payload.find(spread.path)
-    if not found or not found[0][1].simpleString().startswith("array<struct"):
+    found = [_as_declared(column, kind, ddl) for column, kind in payload.find(spread.path)]
+    if not found:
+        return F.lit(None).cast(ddl)
+    return found[0] if len(found) == 1 else F.coalesce(*found)
+
+
+def _as_declared(column: Column, kind, ddl: str) -> Column:
+    if kind.simpleString() == ddl:
+        return column
+    if not kind.simpleString().startswith("array<struct"):
         return F.lit(None).cast(ddl)
     shape = declared_schema({"x": ddl})["x"].dataType.elementType
-    element_schema = found[0][1].elementType
-    return F.transform(found[0][0], lambda e: _reshape(e, element_schema, shape))
+    return F.transform(column, lambda e: _reshape(e, kind.elementType, shape))
 
 
 def _reshape(column: Column, have, want) -> Column:
@@ -181,5 +232,7 @@ def _reshape(column: Column, have, want) -> Column:
         elif isinstance(f.dataType, StructType):
             fields.append(_reshape(found[0][0], found[0][1], f.dataType).alias(f.name))
         else:
-            fields.append(found[0][0].cast(f.dataType).alias(f.name))
+            several = [c.cast(f.dataType) for c, _ in found]
+            value = several[0] if len(several) == 1 else F.coalesce(*several)
+            fields.append(value.alias(f.name))
     return F.when(column.isNotNull(), F.struct(*fields))

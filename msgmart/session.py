@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
@@ -50,18 +49,8 @@ def setting(spark: SparkSession, key: str, value: str) -> Iterator[None]:
             spark.conf.set(key, before)
 
 
-_LOCAL_FOLDERS: dict[str, str] = {}
-
-
 def scratch_folder(spark: SparkSession, label: str) -> str:
-    """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``.
-
-    Only where that setting is absent (a local run) a temporary folder stands in for it.
-    """
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if not shared:
-        application = spark.sparkContext.applicationId
-        if application not in _LOCAL_FOLDERS:
-            _LOCAL_FOLDERS[application] = tempfile.mkdtemp(prefix="msgmart-")
-        shared = _LOCAL_FOLDERS[application]
+    """A fresh folder below the shared folder the cluster names in ``spark.checkpoint.dir``, or
+    below the warehouse where that is not set. Both are shared between driver and executors."""
+    shared = spark.conf.get("spark.checkpoint.dir", None) or spark.conf.get("spark.sql.warehouse.dir")
     return f"{shared.rstrip('/')}/{label}-{uuid.uuid4().hex}"

@@ -36,14 +36,18 @@ def before(messages: DataFrame, stamp: str, column: str = "acl_dop") -> DataFram
 
 
 def between_marks(
-    messages: DataFrame, low: str | None, high: str | None = None, column: str = "acl_dop"
+    messages: DataFrame,
+    low: str | None,
+    high: str | None = None,
+    column: str = "acl_dop",
+    months: bool = False,
 ) -> DataFrame:
     """Rows with ``low < column <= high``; an open end is not tested.
 
-    Where the table carries the month of the load stamp, the same bounds are repeated on it,
-    so that a table partitioned by month is pruned to the months concerned.
+    ``months`` states that ``acl_dop_yyyymm`` holds the first six digits of each load stamp. The
+    same bounds are then repeated on it, so that a table partitioned by month is pruned.
     """
-    has_month = column == "acl_dop" and MONTH in messages.columns
+    has_month = months and column == "acl_dop" and MONTH in messages.columns
     if low is not None:
         messages = messages.filter(F.col(column) > F.lit(low))
         if has_month:

@@ -34,7 +34,14 @@ NEW_LAYOUT_FIELD = "installationLocation"
 
 
 def infer_schema(messages: DataFrame, column: str = "jsonstruct") -> StructType:
-    """Schema of all JSON objects in ``column``.
+    """Schema of all JSON objects in ``column``, as a parser takes it."""
+    return readable(seen_schema(messages, column))
+
+
+def seen_schema(messages: DataFrame, column: str = "jsonstruct") -> StructType:
+    """Schema of all JSON objects in ``column``, in which what was always null or empty stays open.
+
+    A field of type ``void`` merges with any other; :func:`readable` turns what is left into text.
 
     One distributed aggregate: every task merges the schemas of its rows and only the merged
     schemas are shuffled. Malformed rows and rows that are no object do not take part. Merging is
@@ -49,11 +56,28 @@ def infer_schema(messages: DataFrame, column: str = "jsonstruct") -> StructType:
     if merged is None or not merged.startswith("OBJECT<"):
         return StructType([])
     ddl = _QUOTED_OR_OBJECT.sub(lambda m: "STRUCT<" if m[0] == "OBJECT<" else m[0], merged)
-    return _readable(DataType.fromDDL(ddl)) or StructType([])
+    return _settled(DataType.fromDDL(ddl))
+
+
+def _settled(kind: DataType) -> DataType:
+    """Types as a JSON reader gives them: conflicts are text, fractions are doubles."""
+    if isinstance(kind, StructType):
+        return StructType([StructField(f.name, _settled(f.dataType)) for f in kind.fields])
+    if isinstance(kind, ArrayType):
+        return ArrayType(_settled(kind.elementType))
+    if isinstance(kind, VariantType):
+        return StringType()
+    if isinstance(kind, DecimalType) and kind.scale > 0:
+        return DoubleType()
+    return kind
+
+
+def readable(schema: StructType) -> StructType:
+    """A schema for the parser: what is still open is text, structs without fields are left out."""
+    return _readable(schema) or StructType([])
 
 
 def _readable(kind: DataType) -> DataType | None:
-    """Types as a JSON reader gives them: conflicts and nulls are text, fractions are doubles."""
     if isinstance(kind, StructType):
         fields = [(f.name, _readable(f.dataType)) for f in kind.fields]
         kept = [StructField(name, t) for name, t in fields if t is not None]
@@ -61,17 +85,15 @@ def _readable(kind: DataType) -> DataType | None:
     if isinstance(kind, ArrayType):
         element = _readable(kind.elementType)
         return ArrayType(element) if element is not None else None
-    if isinstance(kind, (VariantType, NullType)):
-        return StringType()
-    if isinstance(kind, DecimalType) and kind.scale > 0:
-        return DoubleType()
-    return kind
+    return StringType() if isinstance(kind, NullType) else kind
 
 
 def merge_types(left: DataType, right: DataType) -> DataType:
     """Smallest type that reads values of both; conflicting shapes become text."""
-    if left == right:
+    if left == right or isinstance(right, NullType):
         return left
+    if isinstance(left, NullType):
+        return right
     if isinstance(left, StructType) and isinstance(right, StructType):
         return merge_schemas(left, right)
     if isinstance(left, ArrayType) and isinstance(right, ArrayType):
@@ -121,6 +143,22 @@ def declared_schema(paths: Mapping[str, str]) -> StructType:
     return _tree_type(tree)
 
 
+def respelled(kind: DataType, seen: DataType | None) -> DataType:
+    """A declared type with every spelling of its field names that the data has; types stay."""
+    if isinstance(kind, ArrayType):
+        inner = seen.elementType if isinstance(seen, ArrayType) else None
+        return ArrayType(respelled(kind.elementType, inner))
+    if not isinstance(kind, StructType):
+        return kind
+    there = seen.fields if isinstance(seen, StructType) else []
+    fields: dict[str, StructField] = {}
+    for f in kind.fields:
+        same = [g for g in there if g.name.lower() == f.name.lower()]
+        for name, inner in [(g.name, g.dataType) for g in same] or [(f.name, None)]:
+            fields[name] = StructField(name, respelled(f.dataType, inner))
+    return StructType(list(fields.values()))
+
+
 def _tree_type(tree: dict) -> StructType:
     fields = []
     for name, entry in tree.items():

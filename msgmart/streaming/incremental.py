@@ -50,15 +50,20 @@ def follow(
         tables = core.on(batch.sparkSession)
         runner = Runner(tables, tables, options)
         token = f"batch {number}"
-        found = increments.measure(batch, key=runner.key(spec))
+        key = runner.key(spec)
+        found = increments.measure(batch, key=key)
         runner.log_start(spec, found, None)
         written: tuple[str, ...] = ()
         if found.rows:
+            runner.check_repeats(found, key)
             again = runner.control.begun(spec.process, token)
             resume_from = _just_before(batch) if again else None
             runner.control.begin(spec.process, token)
-            schema = runner.schema(spec, batch, batch)
-            written = runner.write(spec, batch, schema, runner.form(spec, found), resume_from)
+            schema, seen = runner.schema(spec, batch, batch)
+            ids = increments.per_id(batch, key or "acl_id", "acl_dop")
+            repeated = increments.repeated_of(ids, key) if found.repeated else None
+            written = runner.write(spec, batch, schema, seen, repeated, resume_from)
+            runner.control.finish(spec.process)
         runner.log_end(spec, written)
 
     return (

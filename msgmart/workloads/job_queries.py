@@ -24,13 +24,14 @@ def job_frame(
     table: str | None = None,
     inferred: bool = False,
 ) -> DataFrame:
-    """One output of a job over a lake, in the form the runner would choose."""
+    """One output of a job over a lake, in the form the runner takes."""
     messages = spec.messages(build(spark, folder))
     schema = spec.inferred(messages) if inferred else None
-    how = "array"
-    if spec.spread is not None and increments.measure(messages, key="acl_id").repeated:
-        how = "join"
-    return as_text(spec.outputs(messages, schema, how)[table or spec.target])
+    seen = None if inferred else spec.seen(messages)
+    ids = increments.per_id(messages, "acl_id", "acl_dop")
+    if spec.spread is not None and increments.measure_ids(ids, "acl_id").repeated:
+        return as_text(spec.main_split(messages, increments.repeated_of(ids, "acl_id"), schema, seen))
+    return as_text(spec.outputs(messages, schema, seen=seen)[table or spec.target])
 
 
 def _text(expression: str) -> str:
@@ -281,34 +282,37 @@ def _later(days: int) -> str:
     return f"o.o_orderdate + INTERVAL {days} DAY"
 
 
+C07_COLUMNS = {
+    **_order_lead(None),
+    "SO_ID": _text("o.o_orderkey"),
+    "externalid_ps": _text("o.o_custkey"),
+    "priority": "o.o_orderpriority",
+    "description": "'fibre'",
+    "category": "'new'",
+    "state": "o.o_orderstatus",
+    "orderDate_iso": _time("o.o_orderdate"),
+    "completionDate_iso": f"CASE WHEN o.o_orderstatus = 'F' THEN {_time(_later(1))} END",
+    "requestedStartDate_iso": _time(_later(2)),
+    "requestedCompletionDate_iso": _time(_later(3)),
+    "expectedCompletionDate_iso": _time(_later(4)),
+    "startDate_iso": NULL,
+    "oi_id": "c.oi_id",
+    "oi_state": "c.oi_state",
+    "oi_action": "c.oi_action",
+    "s_id": "c.s_id",
+    "s_name": "c.s_name",
+    "s_state": "c.s_state",
+    "newpseudo": NULL,
+    "oldpseudo": NULL,
+    "so_auftragsid": NULL,
+    **AUDIT,
+}
+
+
 @query(
     "job_c07",
     _select(
-        {
-            **_order_lead(None),
-            "SO_ID": _text("o.o_orderkey"),
-            "externalid_ps": _text("o.o_custkey"),
-            "priority": "o.o_orderpriority",
-            "description": "'fibre'",
-            "category": "'new'",
-            "state": "o.o_orderstatus",
-            "orderDate_iso": _time("o.o_orderdate"),
-            "completionDate_iso": f"CASE WHEN o.o_orderstatus = 'F' THEN {_time(_later(1))} END",
-            "requestedStartDate_iso": _time(_later(2)),
-            "requestedCompletionDate_iso": _time(_later(3)),
-            "expectedCompletionDate_iso": _time(_later(4)),
-            "startDate_iso": NULL,
-            "oi_id": "c.oi_id",
-            "oi_state": "c.oi_state",
-            "oi_action": "c.oi_action",
-            "s_id": "c.s_id",
-            "s_name": "c.s_name",
-            "s_state": "c.s_state",
-            "newpseudo": NULL,
-            "oldpseudo": NULL,
-            "so_auftragsid": NULL,
-            **AUDIT,
-        },
+        C07_COLUMNS,
         f"""FROM orders o LEFT JOIN (
               SELECT o_orderkey, o_orderkey || '-' || i AS oi_id, o_orderstatus AS oi_state, 'add' AS oi_action,
                      's' || i AS s_id, 'GigaAnschluss' AS s_name, 'active' AS s_state
@@ -323,27 +327,28 @@ def job_c07(spark: SparkSession, folder: str) -> DataFrame:
 
 # -- availability ------------------------------------------------------------------------------
 
+C08_COLUMNS = {
+    **_order_lead(),
+    "klsid_ps": _text("o_custkey"),
+    "eventid": _text("o_orderkey"),
+    "requesttime_ISO": _utc("o_orderdate"),
+    "partyid": NULL,
+    "errormessage": NULL,
+    "eligibilityUnavailabilityReasonCode": (
+        f"""CASE WHEN {N} > 1 THEN '{{"code":"R' || o_orderstatus || '","label":"no fibre"}}' END"""
+    ),
+    "eligibilityUnavailabilityReasonLabel": NULL,
+    "address_type": NULL,
+    "ausbaustandgf": "o_orderstatus || position",
+    "planbeginngfausbau": f"CASE WHEN {N} >= 2 THEN {_utc('o_orderdate')} END",
+    "planendegfausbau": f"CASE WHEN {N} >= 3 THEN {_utc('o_orderdate + INTERVAL 1 DAY')} END",
+    "kooperationspartner": NULL,
+    "technologie": NULL,
+    "servicecharacteristic_array": NULL,
+    **AUDIT,
+}
 C08 = _select(
-    {
-        **_order_lead(),
-        "klsid_ps": _text("o_custkey"),
-        "eventid": _text("o_orderkey"),
-        "requesttime_ISO": _utc("o_orderdate"),
-        "partyid": NULL,
-        "errormessage": NULL,
-        "eligibilityUnavailabilityReasonCode": (
-            f"""CASE WHEN {N} > 1 THEN '{{"code":"R' || o_orderstatus || '","label":"no fibre"}}' END"""
-        ),
-        "eligibilityUnavailabilityReasonLabel": NULL,
-        "address_type": NULL,
-        "ausbaustandgf": "o_orderstatus || position",
-        "planbeginngfausbau": f"CASE WHEN {N} >= 2 THEN {_utc('o_orderdate')} END",
-        "planendegfausbau": f"CASE WHEN {N} >= 3 THEN {_utc('o_orderdate + INTERVAL 1 DAY')} END",
-        "kooperationspartner": NULL,
-        "technologie": NULL,
-        "servicecharacteristic_array": NULL,
-        **AUDIT,
-    },
+    C08_COLUMNS,
     f"FROM orders o LEFT JOIN (VALUES (1), (4)) v(position) ON position <= {N}",
 )
 
@@ -353,25 +358,26 @@ def job_c08(spark: SparkSession, folder: str) -> DataFrame:
     return job_frame(spark, folder, jobs.AVAILABILITY_V1, lake.availability_v1)
 
 
+C09_COLUMNS = {
+    **_order_lead("'2'"),
+    "klsid_ps": _text("o_custkey"),
+    "eventid": _text("o_orderkey"),
+    "requesttime_ISO": _utc("o_orderdate"),
+    "partyid": _text("o_custkey"),
+    "errormessage": NULL,
+    "eligibilityUnavailabilityReasonCode": f"CASE WHEN {N} > 1 THEN 'R' || o_orderstatus END",
+    "eligibilityUnavailabilityReasonLabel": f"CASE WHEN {N} > 1 THEN 'no fibre' END",
+    "address_type": """'{"id":"' || o_custkey || '","street":"Hauptweg"}'""",
+    "ausbaustandgf": "o_orderstatus",
+    "planbeginngfausbau": _utc("o_orderdate"),
+    "planendegfausbau": f"CASE WHEN {N} >= 3 THEN {_utc('o_orderdate + INTERVAL 1 DAY')} END",
+    "kooperationspartner": f"CASE WHEN {N} >= 1 THEN o_orderpriority END",
+    "technologie": "technology",
+    "servicecharacteristic_array": NULL,
+    **AUDIT,
+}
 C09 = _select(
-    {
-        **_order_lead("'2'"),
-        "klsid_ps": _text("o_custkey"),
-        "eventid": _text("o_orderkey"),
-        "requesttime_ISO": _utc("o_orderdate"),
-        "partyid": _text("o_custkey"),
-        "errormessage": NULL,
-        "eligibilityUnavailabilityReasonCode": f"CASE WHEN {N} > 1 THEN 'R' || o_orderstatus END",
-        "eligibilityUnavailabilityReasonLabel": f"CASE WHEN {N} > 1 THEN 'no fibre' END",
-        "address_type": """'{"id":"' || o_custkey || '","street":"Hauptweg"}'""",
-        "ausbaustandgf": "o_orderstatus",
-        "planbeginngfausbau": _utc("o_orderdate"),
-        "planendegfausbau": f"CASE WHEN {N} >= 3 THEN {_utc('o_orderdate + INTERVAL 1 DAY')} END",
-        "kooperationspartner": f"CASE WHEN {N} >= 1 THEN o_orderpriority END",
-        "technologie": "technology",
-        "servicecharacteristic_array": NULL,
-        **AUDIT,
-    },
+    C09_COLUMNS,
     f"FROM orders o LEFT JOIN (VALUES (2, 'FTTH'), (4, 'FTTB')) v(least, technology) ON least <= {N}",
 )
 
@@ -458,7 +464,26 @@ def _presales_columns(old_layout: bool) -> dict[str, str]:
     }
 
 
-ITEM_COLUMNS = ("orderitems_array", "orderitems_json", "history_array", "history_json")
+# Elements as JSON: what the child tables read, and fields that no job names.
+ITEM_JSON = """json_object('id', o_orderkey || '-' || i, 'lineNumber', i, 'productMaterialId', o_custkey + i,
+    'name', o_orderpriority, 'itemType', CASE WHEN i = 1 THEN 'service' ELSE 'router' END,
+    'color', o_orderstatus, 'conditions', json_array(json_object('price', i)))"""
+CHANGE_JSON = """json_object('id', o_orderkey || '/' || i, 'itemType', CASE WHEN i % 2 = 1 THEN 'state_transition' ELSE 'note' END,
+    'createdAt', strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S.%f') || 'Z', 'author', o_custkey,
+    'payload', json_object('data', json_object('from', 'draft', 'to', o_orderstatus), 'comment', 'c' || i))"""
+
+
+def _elements(element: str, empty: str) -> dict[str, str]:
+    """The array of JSON texts, as text itself, and the JSON text of the array."""
+    listed = f"(SELECT list(CAST({element} AS VARCHAR) ORDER BY i) FROM range(1, {N} + 1) t(i))"
+    none = f"CASE WHEN {N} = 0 THEN {empty}"
+    return {
+        "array": f"{none} ELSE CAST(to_json({listed}) AS VARCHAR) END",
+        "json": f"{none} ELSE '[' || array_to_string({listed}, ',') || ']' END",
+    }
+
+
+_ITEMS, _CHANGES = _elements(ITEM_JSON, "'[]'"), _elements(CHANGE_JSON, "NULL")
 
 
 @query(
@@ -466,27 +491,18 @@ ITEM_COLUMNS = ("orderitems_array", "orderitems_json", "history_array", "history
     _select(
         {
             **_presales_columns(old_layout=True),
-            "item_total": _text(N),
-            "history_total": f"CASE WHEN {N} > 0 THEN {_text(N)} END",
+            "orderitems_array": _ITEMS["array"],
+            "orderitems_json": _ITEMS["json"],
+            "history_array": _CHANGES["array"],
+            "history_json": _CHANGES["json"],
             **AUDIT,
         },
         "FROM orders",
     ),
 )
 def job_c10(spark: SparkSession, folder: str) -> DataFrame:
-    """The main table; its four array columns are reduced to their lengths, array and text alike."""
-    from pyspark.sql import functions as F
-
-    spec = jobs.PRESALES
-    main = spec.outputs(spec.messages(lake.presales(spark, folder)))[spec.target]
-    lengths = []
-    for name, array, text in (
-        ("item_total", "orderitems_array", "orderitems_json"),
-        ("history_total", "history_array", "history_json"),
-    ):
-        size = F.when(F.col(array).isNotNull(), F.size(array))
-        lengths.append(F.when(size.eqNullSafe(F.json_array_length(text)), size).alias(name))
-    return as_text(main.select(*[c for c in main.columns if c not in ITEM_COLUMNS], *lengths))
+    """The main table with its arrays, whole elements, as arrays and as text."""
+    return job_frame(spark, folder, jobs.PRESALES, lake.presales)
 
 
 UNNESTED = f"FROM orders o, LATERAL (SELECT unnest(range(1, {N} + 1)) AS i) u"

@@ -443,6 +443,8 @@ def presales(spark: SparkSession, folder: str) -> DataFrame:
             (cust + i).alias("productMaterialId"),
             F.col("o_orderpriority").alias("name"),
             F.when(i == 1, "service").otherwise("router").alias("itemType"),
+            status.alias("color"),
+            F.array(F.struct(i.alias("price"))).alias("conditions"),
         )
 
     def change(i: Column) -> Column:
@@ -450,7 +452,11 @@ def presales(spark: SparkSession, folder: str) -> DataFrame:
             F.concat_ws("/", key, i).alias("id"),
             F.when(F.pmod(i, F.lit(2)) == 1, "state_transition").otherwise("note").alias("itemType"),
             stamp.alias("createdAt"),
-            F.struct(F.struct(F.lit("draft").alias("from"), status.alias("to")).alias("data")).alias("payload"),
+            cust.alias("author"),
+            F.struct(
+                F.struct(F.lit("draft").alias("from"), status.alias("to")).alias("data"),
+                F.concat(F.lit("c"), i.cast("string")).alias("comment"),
+            ).alias("payload"),
         )
 
     address = [

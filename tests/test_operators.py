@@ -162,14 +162,14 @@ def test_bounds_are_open_below_and_closed_above(lake):
 
 def test_month_bounds_change_nothing_but_the_files_read(lake):
     monthly = lake.withColumn(envelope.MONTH, F.when(F.col("acl_id") != "4", F.substring("acl_dop", 1, 6)))
-    assert ids(envelope.between_marks(monthly, "20190601000000", "20190701000000")) == ["3", "4"]
+    assert ids(envelope.between_marks(monthly, "20190601000000", "20190701000000", months=True)) == ["3", "4"]
 
 
 def test_measure(lake):
     assert increments.measure(lake) == increments.Increment(5, "20190801000000")
     assert increments.measure(lake.limit(0)) == increments.Increment(0, None)
-    assert increments.measure(lake, key="acl_id") == increments.Increment(5, "20190801000000", 0)
-    assert increments.measure(lake.limit(0), key="acl_id") == increments.Increment(0, None, 0)
+    assert increments.measure(lake, key="acl_id") == increments.Increment(5, "20190801000000", 0, 1)
+    assert increments.measure(lake.limit(0), key="acl_id") == increments.Increment(0, None, 0, None)
 
 
 def test_a_missing_id_counts_as_repeated(lake):

@@ -9,7 +9,7 @@ import pytest
 from msgmart.operators import increments, latest
 from msgmart.plans import jobs
 from msgmart.plans.jobs.common import AVAILABILITY_MESSAGES, MESSAGES
-from msgmart.plans.runner import BROADCAST_IDS, Options, Runner
+from msgmart.plans.runner import Options, Runner, TooManyRepeats
 from msgmart.session import setting
 from msgmart.sources.envelope import between_marks
 from msgmart.sources.tables import Tables
@@ -120,22 +120,36 @@ def test_joins_carry_no_hint(tables):
         assert "ResolvedHint" not in logical
 
 
-def test_form_follows_the_number_of_repeated_ids(tables):
+def test_unique_ids_are_worked_on_inside_the_row(tables):
     runner = Runner(tables, tables)
     spec = jobs.AVAILABILITY_V2
     found = increments.measure(spec.messages(tables.read(spec.source)), key=runner.key(spec))
-    assert found.repeated == 0 and runner.form(spec, found) == "array"
-    few, many = (increments.Increment(9, "1", n) for n in (3, BROADCAST_IDS + 1))
-    assert runner.form(spec, few) == "split"
-    assert runner.form(spec, many) == "join"
-    assert Runner(tables, tables, Options(how="array")).form(spec, many) == "array"
-    assert runner.form(jobs.KLS_EVENT, increments.Increment(9, "1")) == "array"
+    assert found.repeated == 0 and found.most == 1
+    with runner._main(spec, new_messages(tables, spec), None, None, None) as main:
+        assert "Exchange" not in plan(main)
 
 
 def test_split_moves_no_message_with_an_id_of_its_own(tables):
     runner = Runner(tables, tables)
     spec = jobs.AVAILABILITY_V2
-    with runner._main(spec, new_messages(tables, spec), None, "split") as main:
-        branch = plan(main).split("LeftAnti")[1].split("LeftSemi")[0]
-    scan = branch[: branch.index("FileScan")]
-    assert "BroadcastHashJoin" in plan(main) and "hashpartitioning" not in scan.split("BroadcastExchange")[0]
+    new = new_messages(tables, spec)
+    repeated = increments.repeated_of(increments.per_id(new, "acl_id", "acl_dop"), "acl_id")
+    with runner._main(spec, new, None, None, repeated) as main:
+        logical = main._jdf.queryExecution().analyzed().toString()
+        assert "ResolvedHint" not in logical
+        physical = plan(main)
+        assert physical.count("from_json") >= 2 and physical.count("LeftAnti") == physical.count("LeftSemi") == 1
+
+
+def test_joined_attributes_take_one_shuffle(tables):
+    spec = jobs.AVAILABILITY_V2
+    physical = plan(spec.main(new_messages(tables, spec), how="join"))
+    assert physical.count("Exchange hashpartitioning") == 1
+    assert physical.count("FileScan") == 1 and "Join" not in physical
+
+
+def test_too_many_repeats_are_refused(tables):
+    runner = Runner(tables, tables, Options(repeats=5))
+    with pytest.raises(TooManyRepeats):
+        runner.check_repeats(increments.Increment(9, "1", 2, 6), "acl_id")
+    runner.check_repeats(increments.Increment(9, "1", 2, 5), "acl_id")
