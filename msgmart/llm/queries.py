@@ -49,7 +49,20 @@ def op7_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), F.sha2(F.array_join("ids", " "), 256).alias("ids_sha256"), F.sha2("bytes", 256).alias("decoded_sha256"))
 
 
-@query()
+#: The length of a turn is that of its text, of the backslashes put before control strings, and of the marks around it.
+CHAT_SQL = r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT -1, 0, 'user', '</s>[INST] ok [/INST]' UNION ALL SELECT -1, 1, 'assistant', '</s>[INST] ok [/INST]'),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text, '<s>|</s>|<<SYS>>|<</SYS>>|\[/?INST\]|\[/?ROLE\]|\[/TEXT\]' AS marks FROM c),
+e AS (SELECT *, length(regexp_replace(text, '(' || marks || ')', '\\\1', 'g'))
+        + CASE role WHEN 'user' THEN 15 WHEN 'assistant' THEN 9 WHEN 'system' THEN 17
+          ELSE 24 + length(regexp_replace(role, '(' || marks || ')', '\\\1', 'g')) END AS chars FROM t),
+g AS (SELECT conv_id, count(*) AS n_turns, sum(chars) AS formatted_chars, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+        coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss FROM e GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss) AS loss_chars, sha256(loss) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars FROM g
+"""
+
+
+@query(CHAT_SQL)
 def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     kinds = {f.name: f.dataType for f in rows.schema.fields}
@@ -91,7 +104,19 @@ def op4_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", langid.held_out().alias("held_out"), "lang_pred", "score", F.array_join("languages", ",").alias("mixture"))
 
 
-@query()
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
+w AS (SELECT doc_id, p, array_to_string(words[p:p + 12], ' ') AS s FROM d, LATERAL (SELECT unnest(range(1, len(words) - 11)) AS p) x),
+f AS (SELECT s, min(doc_id) AS first_id FROM w GROUP BY s),
+c AS (SELECT DISTINCT doc_id, p + k AS i FROM w JOIN f USING (s), range(13) t(k) WHERE first_id < doc_id),
+k AS (SELECT d.doc_id, x.i, words[x.i] AS word, c.i IS NOT NULL AS gone FROM d, LATERAL (SELECT unnest(range(1, len(words) + 1)) AS i) x LEFT JOIN c ON c.doc_id = d.doc_id AND c.i = x.i)
+SELECT d.doc_id, max(len(words)) AS n_words, count(*) FILTER (gone) AS n_removed,
+       sha256(coalesce(string_agg(word, ' ' ORDER BY i) FILTER (NOT gone), '')) AS kept_sha256
+FROM d LEFT JOIN k USING (doc_id) GROUP BY d.doc_id
+"""
+
+
+@query(SUBSTRING_SQL)
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text")).drop("kept_text")
 
