@@ -275,6 +275,7 @@ class Runner:
                 spec.target: self._typed(spec, main),
                 **spec.children_of(main, schema, seen),
             }
+            self.log_ready(spec)
             for table, frame in frames.items():
                 if resume_from is not None:
                     frame = self._not_yet_written(frame, table, resume_from, tracked)
@@ -310,21 +311,28 @@ class Runner:
             target = target.filter(time.isNull() | bound.isNull() | (time > bound))
         return aligned(frame, target.schema).exceptAll(target)
 
+    # The log texts are fixed values: readers of the log expect them.
+
     def log_start(self, spec: JobSpec, found: Increment, mark: str | None) -> None:
-        self.control.log(
-            spec.process,
-            STARTED,
-            f"current_tracked_value={mark}, max_acl_dop={found.high}, new_records_count={found.rows}",
-            ",".join(spec.types),
-        )
+        if spec.full_recompute:
+            entry = f"all_PSO_records_count={found.rows}"
+        else:
+            entry = f"current_tracked_value={mark}, max_acl_dop={found.high}, new_records_count={found.rows}"
+        self.control.log(spec.process, STARTED, entry, spec.types[0])
+
+    def log_ready(self, spec: JobSpec) -> None:
+        """A job with child tables notes that its outputs are ready to be written."""
+        if spec.children:
+            entry = f"next step insert, table={spec.target} "
+            self.control.log(spec.process, "logic() finished", entry, spec.types[0])
 
     def log_end(self, spec: JobSpec, written: Sequence[str]) -> None:
-        self.control.log(
-            spec.process,
-            ENDED,
-            f"insert table={','.join(written) or spec.target} ,doing_Insert={bool(written)}",
-            ",".join(spec.types),
-        )
+        """One row for the main target, and one for each child table that was written."""
+        how = "overwrite" if spec.full_recompute and written else f"doing_Insert={bool(written)}"
+        self.control.log(spec.process, ENDED, f"insert table={spec.target} ,{how}", spec.types[0])
+        for number, table in enumerate(written[1:], 2):
+            entry = f"end of process-insert {number}."
+            self.control.log(spec.process, entry, f"insert table={table} , ", spec.types[0])
 
 
 @contextmanager
@@ -347,7 +355,13 @@ def _kept(frame: DataFrame, keep: bool = True) -> Iterator[DataFrame]:
 def copy_table(
     source: DataFrame, build: Callable[[DataFrame], DataFrame], target: Tables, name: str
 ) -> int:
-    """Table to table: project the source and overwrite the target. Gives the rows read."""
+    """Table to table: project the source and overwrite the target. Gives the rows read.
+
+    An existing catalog table keeps its definition and gets the rows by an insert.
+    """
     rows = source.agg(F.count(F.lit(1)).alias("n")).first()["n"]
-    target.overwrite(build(source), name)
+    if target.database and target.exists(name):
+        target.insert(build(source), name, overwrite=True)
+    else:
+        target.overwrite(build(source), name)
     return rows

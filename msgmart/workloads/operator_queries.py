@@ -355,14 +355,14 @@ def explode_pairs(spark: SparkSession, folder: str) -> DataFrame:
 
 @query(
     "explode_primitives",
-    f"""SELECT o_orderkey, CAST(i AS INTEGER) AS col3_explod FROM {ITEMS}""",
+    f"""SELECT o_orderkey, CAST(i AS INTEGER) AS number FROM {ITEMS}""",
 )
 def explode_primitives(spark: SparkSession, folder: str) -> DataFrame:
     """An array of numbers beside its row."""
     orders = lake.table(spark, folder, "orders")
-    rows = orders.select("o_orderkey", lake.numbers(lake.item_count()).alias("col3"))
-    element = F.col(arrays.ELEMENT).alias("col3_explod")
-    return arrays.child_rows(rows, "col3", ["o_orderkey"], [element])
+    rows = orders.select("o_orderkey", lake.numbers(lake.item_count()).alias("numbers"))
+    element = F.col(arrays.ELEMENT).alias("number")
+    return arrays.child_rows(rows, "numbers", ["o_orderkey"], [element])
 
 
 CHILD_SQL = f"""

@@ -10,17 +10,18 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.timeparse import epoch_millis_text, stamp14
 from ..operators.payload import parse
 from ..plans import jobs
 from ..plans.control import LOG, TRACKING, Control, mark_row
 from ..plans.jobs.common import AVAILABILITY_MESSAGES, MESSAGES
 from ..plans.runner import Options, Runner, copy_table
 from ..session import scratch_folder
-from ..sources.schema import declared_schema
+from ..sources.schema import infer_schema
 from ..sources.tables import Tables
 from . import lake
 from .job_queries import C09
-from .registry import as_text, query
+from .registry import SQL, as_text, query
 
 FIRST_STAMP = "00000000000000"
 
@@ -126,24 +127,51 @@ def catalog_roundtrip(spark: SparkSession, folder: str) -> DataFrame:
     return tables.sql("t", "SELECT o_orderstatus, count(*) AS n FROM {table} GROUP BY o_orderstatus")
 
 
+COPIED = (
+    ("acl_id", "acl_id"),
+    ("acl_dop_ISO", "acl_dop_ISO"),
+    ("vvmareaNumber", "number"),
+    ("vvmareaName", "name"),
+    ("creationDate_ISO", "creationDate"),
+    ("modificationDate_ISO", "modificationDate"),
+    ("areaType", "areaType"),
+    ("rolloutDate_ISO", "rolloutDate"),
+    ("areaStatus", "areaStatus"),
+    ("plannedArea", "plannedArea"),
+    ("plannedFrom_ISO", "plannedFrom"),
+    ("plannedTo_ISO", "plannedTo"),
+)
+
+
 @query(
     "copy_job",
-    """SELECT CAST(c_custkey AS VARCHAR) AS acl_id, CAST(c_custkey AS VARCHAR) AS areanumber, c_name AS areaname
-       FROM customer""",
+    f"""SELECT acl_id_int AS acl_id, "acl_dop_ISO", number AS "vvmareaNumber", name AS "vvmareaName", "creationDate_ISO",
+               "modificationDate_ISO", "areaType", "rolloutDate" AS "rolloutDate_ISO", "areaStatus", "plannedArea",
+               "plannedFrom_ISO", "plannedTo_ISO" FROM ({SQL["job_c01"]})""",
 )
 def copy_job(spark: SparkSession, folder: str) -> DataFrame:
-    """Message table to target table: filter, parse, project, overwrite."""
-    tables = _folder_tables(spark, "copy")
+    """Message table to catalog table: filter, infer, parse, project, insert over what was there."""
+    tables = _database_tables(spark, "copied")
     spec = jobs.VVM_AREA
+    listed = ", ".join(f"`{name}` {'TIMESTAMP' if name == 'acl_dop_ISO' else 'STRING'}" for name, _ in COPIED)
+    spark.sql(f"CREATE TABLE {tables.full_name('target')} ({listed}) USING parquet")
 
     def build(messages: DataFrame) -> DataFrame:
-        frame, data = parse(messages, declared_schema({"number": "string", "name": "string"}))
-        return frame.select(
-            "acl_id", data.value("number").alias("areanumber"), data.value("name").alias("areaname")
-        )
-
-    copy_table(spec.messages(lake.vvm_area(spark, folder)), build, tables, "target")
-    return tables.read("target")
+        frame, data = parse(messages, infer_schema(messages), inferred=True)
+        columns = []
+        for name, field in COPIED:
+            if field == "acl_dop_ISO":
+                column = stamp14(F.col("acl_dop"))
+            elif name.endswith("_ISO"):
+                column = epoch_millis_text(data.value(field))
+            else:
+                column = F.col(field) if field == "acl_id" else data.value(field).cast("string")
+            columns.append(column.alias(name))
+        return frame.select(*columns)
+
+    for _ in range(2):
+        copy_table(spec.messages(lake.vvm_area(spark, folder)), build, tables, "target")
+    return as_text(tables.read("target"))
 
 
 # -- control tables ----------------------------------------------------------------------------
@@ -194,13 +222,74 @@ def run_log(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-# -- runs --------------------------------------------------------------------------------------
+def _log_of(spark: SparkSession, folder: str, label: str, spec, build) -> DataFrame:
+    tables = _folder_tables(spark, label)
+    _land(tables, build(spark, folder), MESSAGES)
+    _start_marks(tables, [spec])
+    Runner(tables, tables).run(spec)
+    return tables.read(LOG).select("process", "log_entry", "log_entry2", "log_entry3")
+
+
+def _log_rows(process: str, kind: str, *rows: tuple[str, str]) -> str:
+    return "\nUNION ALL ".join(
+        f"SELECT '{process}' AS process, '{entry}' AS log_entry, {entry2} AS log_entry2, '{kind}' AS log_entry3"
+        for entry, entry2 in rows
+    )
+
+
+NEW_ROWS = """(SELECT 'current_tracked_value=00000000000000, max_acl_dop=' || max(strftime(o_orderdate, '%Y%m%d%H%M%S'))
+    || ', new_records_count=' || count(*) FROM orders)"""
+
+
+@query(
+    "run_log_presales",
+    _log_rows(
+        "proc_f_presalesorder",
+        "VVM - PreSalesOrder",
+        ("logic of process started", NEW_ROWS),
+        ("logic() finished", "'next step insert, table=cl_f_presalesorder_mt '"),
+        ("end of process", "'insert table=cl_f_presalesorder_mt ,doing_Insert=True'"),
+        ("end of process-insert 2.", "'insert table=cl_f_presalesorder_orderitem_mt , '"),
+        ("end of process-insert 3.", "'insert table=cl_f_presalesorder_history_mt , '"),
+    ),
+)
+def run_log_presales(spark: SparkSession, folder: str) -> DataFrame:
+    """The log rows of a job with child tables."""
+    return _log_of(spark, folder, "log-presales", jobs.PRESALES, lake.presales)
 
 
 @query(
-    "incremental_runs",
-    """SELECT CAST(event_id AS VARCHAR) AS acl_id_int, event_type AS "eventType" FROM events""",
+    "run_log_latest",
+    _log_rows(
+        "proc_f_pso_latestversion",
+        "VVM - PreSalesOrder",
+        ("logic of process started", "(SELECT 'all_PSO_records_count=' || count(*) FROM events)"),
+        ("end of process", "'insert table=cl_f_presalesorder_latestversion_mt ,overwrite'"),
+    ),
 )
+def run_log_latest(spark: SparkSession, folder: str) -> DataFrame:
+    """The log rows of a full recompute."""
+    return _log_of(spark, folder, "log-latest", jobs.LATEST_PRESALES, lake.presales_versions)
+
+
+@query(
+    "run_log_service_order",
+    _log_rows(
+        "proc_f_serviceorder_event",
+        "DigiOSS - ServiceOrderEvent",
+        ("logic of process started", NEW_ROWS),
+        ("end of process", "'insert table=cl_f_soevent_mt ,doing_Insert=True'"),
+    ),
+)
+def run_log_service_order(spark: SparkSession, folder: str) -> DataFrame:
+    """The log rows of a job of two message types: the first one is named."""
+    return _log_of(spark, folder, "log-orders", jobs.SERVICE_ORDER, lake.service_order)
+
+
+# -- runs --------------------------------------------------------------------------------------
+
+
+@query("incremental_runs", SQL["job_c04"])
 def incremental_runs(spark: SparkSession, folder: str) -> DataFrame:
     """Two increments and an idle run give every message once."""
     tables = _folder_tables(spark, "runs")
@@ -212,14 +301,10 @@ def incremental_runs(spark: SparkSession, folder: str) -> DataFrame:
     runner.run(spec, upto="20240115000000")
     runner.run(spec)
     runner.run(spec)
-    return tables.read(spec.target).select("acl_id_int", "eventType")
+    return as_text(tables.read(spec.target))
 
 
-@query(
-    "incremental_runs_inferred",
-    """SELECT CAST(event_id AS VARCHAR) AS acl_id_int, event_type AS "eventType",
-              CAST(user_id AS VARCHAR) AS klsid_ps FROM events""",
-)
+@query("incremental_runs_inferred", SQL["job_c04"])
 def incremental_runs_inferred(spark: SparkSession, folder: str) -> DataFrame:
     """The same with a stored schema that each run widens."""
     tables = _folder_tables(spark, "widened")
@@ -229,9 +314,7 @@ def incremental_runs_inferred(spark: SparkSession, folder: str) -> DataFrame:
     runner = Runner(tables, tables, Options(schema="merged"))
     runner.run(spec, upto="20240115000000")
     runner.run(spec)
-    return tables.read(spec.target).select(
-        "acl_id_int", "eventType", F.col("klsid_ps").cast("string").alias("klsid_ps")
-    )
+    return as_text(tables.read(spec.target))
 
 
 N = "(CAST(o_orderpriority[1] AS INTEGER) - 1)"
@@ -263,13 +346,6 @@ def _row_counts(tables: Tables, names) -> DataFrame:
     return total
 
 
-LATEST_RUN = """SELECT CAST(event_id AS VARCHAR) AS acl_id_int, CAST(user_id AS VARCHAR) AS presalesorderid_ps,
-           strftime(ts, '%Y%m%d%H%M%S') AS acl_dop
-    FROM (SELECT *, row_number() OVER (PARTITION BY user_id
-            ORDER BY date_trunc('second', ts) DESC, CAST(event_id AS VARCHAR) DESC) AS place FROM events)
-    WHERE place = 1"""
-
-
 def _latest_run(spark: SparkSession, folder: str, refresh: str) -> DataFrame:
     tables = _folder_tables(spark, f"latest-{refresh}")
     spec = jobs.LATEST_PRESALES
@@ -277,16 +353,16 @@ def _latest_run(spark: SparkSession, folder: str, refresh: str) -> DataFrame:
     runner = Runner(tables, tables, Options(refresh=refresh))
     runner.run(spec, upto="20240115000000")
     runner.run(spec)
-    return tables.read(spec.target).select("acl_id_int", "presalesorderid_ps", "acl_dop")
+    return as_text(tables.read(spec.target))
 
 
-@query("full_recompute", LATEST_RUN)
+@query("full_recompute", SQL["job_c11"])
 def full_recompute(spark: SparkSession, folder: str) -> DataFrame:
     """The snapshot overwritten from all messages, twice."""
     return _latest_run(spark, folder, "full")
 
 
-@query("merge_refresh", LATEST_RUN)
+@query("merge_refresh", SQL["job_c11"])
 def merge_refresh(spark: SparkSession, folder: str) -> DataFrame:
     """The snapshot brought up to date with the new messages only."""
     return _latest_run(spark, folder, "merge")

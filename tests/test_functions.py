@@ -89,33 +89,31 @@ def test_strip_brackets_takes_one_of_each_end(spark):
     assert one(spark, jsontext.strip_brackets, '{"a":[1]}') == '{"a":[1]}'
 
 
-STAFF = [
-    ("36636", "Finance", (3000, "USA")),
-    ("40288", "Finance", (5000, "IND")),
-    ("42114", "Sales", (3900, "USA")),
-    ("39192", "Marketing", (2500, "CAN")),
-    ("34534", "Sales", (6500, "USA")),
+HARBOURS = [
+    ("p-1", "quay", (12, "north")),
+    ("p-2", "depot", (7, "east")),
+    ("p-3", "quay", (0, "north")),
 ]
 
 
 @pytest.fixture
-def staff(spark):
-    return spark.createDataFrame(STAFF, "id string, dept string, properties struct<salary:int,location:string>")
+def harbours(spark):
+    return spark.createDataFrame(HARBOURS, "id string, place string, properties struct<berths:int,side:string>")
 
 
-def test_map_of_literal_keys_and_its_rows(staff):
+def test_map_of_literal_keys_and_its_rows(harbours):
     entries = maps.map_of(
-        {"key_salary": F.col("properties.salary").cast("string"), "key_location": F.col("properties.location")}
+        {"berths": F.col("properties.berths").cast("string"), "side": F.col("properties.side")}
     )
-    rows = maps.map_rows(staff.select("id", "dept", entries.alias("m")), ["id", "dept"], "m").collect()
+    rows = maps.map_rows(harbours.select("id", "place", entries.alias("m")), ["id", "place"], "m").collect()
     want = []
-    for id_, dept, (salary, location) in STAFF:
-        want += [(id_, dept, "key_salary", str(salary)), (id_, dept, "key_location", location)]
+    for id_, place, (berths, side) in HARBOURS:
+        want += [(id_, place, "berths", str(berths)), (id_, place, "side", side)]
     assert [tuple(r) for r in rows] == want
 
 
-def test_map_of_matching_columns(staff):
+def test_map_of_matching_columns(harbours):
     rows = maps.map_rows(
-        staff.select("id", maps.map_of_matching(staff, "properties").alias("m")), ["id"], "m"
+        harbours.select("id", maps.map_of_matching(harbours, "properties").alias("m")), ["id"], "m"
     ).collect()
-    assert [(r.id, r.key, tuple(r.value)) for r in rows] == [(i, "properties", p) for i, _, p in STAFF]
+    assert [(r.id, r.key, tuple(r.value)) for r in rows] == [(i, "properties", p) for i, _, p in HARBOURS]
