@@ -247,7 +247,7 @@ def _meetings(group: pa.Table, settings: Settings) -> Iterator[tuple[np.ndarray,
 
 
 def _prune(settings: Settings):
-    """A forest of the candidates of each band that survive."""
+    """What the surviving candidates of each band connect, as links to the least of each part."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a: list[int] = []
@@ -257,8 +257,13 @@ def _prune(settings: Settings):
             forest = Forest(len(uid))
             for i, j in _meetings(group, settings):
                 forest.add(i, j)
-            a += [uid[x] for x, _ in forest.links]
-            b += [uid[y] for _, y in forest.links]
+            least: dict[int, int] = {}
+            parts = [forest.root(x) for x in range(len(uid))] if forest.links else []
+            for x, part in zip(uid, parts, strict=False):
+                least[part] = min(x, least.get(part, x))
+            stars = [(least[part], x) for x, part in zip(uid, parts, strict=False) if least[part] != x]
+            a += [x for x, _ in stars]
+            b += [x for _, x in stars]
             if len(a) > 50_000:
                 yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
                 a, b = [], []
@@ -335,7 +340,10 @@ def classify(signed_rows: DataFrame, settings: Settings, scratch: Scratch) -> Da
     several = scratch.keep(several, "bands")
     candidates = join_groups(bands, several, ["band"], "size", total * settings.bands).select("band", "parts", "uid")
     left = _meet(candidates.join(heads.select("uid", "minhash"), "uid"), "band", settings).mapInArrow(_prune(settings), "a long, b long")
-    left = scratch.keep(left.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct(), "candidates")
+    # a class has a link for each band at most; all but the least of these move to the classes they lead to, where most are the same
+    lists = left.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("less"))
+    left = lists.select(F.col("less")[0].alias("a"), F.explode(F.concat(F.array("b"), F.slice("less", 2, settings.bands))).alias("b")).distinct()
+    left = scratch.keep(left, "candidates")
     near = scratch.keep(components(left, scratch, "near").withColumnRenamed("node", "uid"), "near")
 
     sizes = near.groupBy("component").agg(F.count(F.lit(1)).alias("size")).select("component", "size", _parts(settings))
