@@ -11,9 +11,10 @@ has to tell which windows may be repeated:
    A bitmap that fills up lets more candidates pass, never fewer.
 3. Every task keeps a window as a candidate for the next level if all its parts pass.
 
-At the last level the surviving windows themselves are compared exactly, by 128-bit hashes: the
-smallest document of each is found by an aggregate, and joined back to the rows it concerns.
-Documents without a surviving window take no part in that and are never shuffled.
+At the last level owners compare the surviving windows themselves, by 96 bits of hash. A task deals
+out its windows in chunks, each window once with the smallest document that has it there. The
+answer is a bit for each: whether an earlier document elsewhere has the window too. Documents are
+then finished chunk by chunk; those without a surviving window take no part and are not shuffled.
 
 Words are `[^\\x20\\x09-\\x0D]+`. A null text has no words; a null id is larger than all others and
 not smaller than another null. Rows of one id don't remove each other's words. An empty table gives
@@ -29,13 +30,13 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from msgmart.llm import golomb
 from msgmart.llm.scratch import Scratch
-from msgmart.llm.skew import join_groups
-from msgmart.llm.texts import packed, row_numbers, signed, text_bytes, window_hashes, word_hashes
+from msgmart.llm.texts import packed, row_numbers, text_bytes, window_hashes, word_hashes
 
 #: Bits of a window's hash in messages, and of the bitmap (16 MB) that the leading ones address.
 HASH_BITS, MAP_BITS = 42, 27
@@ -141,55 +142,160 @@ def bitmap(texts: DataFrame, length: int, maps: list, owner_bits: int):
     return texts.sparkSession.sparkContext.broadcast(table.tobytes())
 
 
-SURVEYED = "uid long, doc_id long, n_words long, kept_sha256 string, text binary, places array<int>, high array<long>, low array<long>"
+SURVEYED = "kind int, chunk long, doc_id long, n_words long, kept_sha256 string, text binary, places array<int>, slots array<int>, owner int, message binary"
+#: Candidate windows, and bytes of text, at which a chunk ends.
+CHUNK, CHUNK_BYTES = 500_000, 16_000_000
+DONE = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
 
 
 def _digest(words: list[bytes]) -> str:
     return hashlib.sha256(b" ".join(words)).hexdigest()
 
 
-def _survey(length: int, maps):
-    """A row for each document: finished if none of its windows is a candidate, else with its text and these windows' hashes."""
+class _Chunk:
+    """Documents with candidate windows, until they leave the task together."""
+
+    def __init__(self, number: int):
+        self.number, self.bytes, self.windows = number, 0, 0
+        self.rows: list[tuple] = []
+        self.places: list[np.ndarray] = []
+        self.high: list[np.ndarray] = []
+        self.low: list[np.ndarray] = []
+
+    def add(self, doc_id: int | None, text: bytes, words: np.ndarray, places: np.ndarray, length: int) -> None:
+        self.rows.append((doc_id, len(words), text))
+        self.places.append(places)
+        self.high.append(window_hashes(words, length)[places])
+        self.low.append((window_hashes(words, length, 1)[places] & np.uint64(0xFFFFFFFF)).astype(np.uint32))
+        self.bytes += len(text)
+        self.windows += len(places)
+
+    def leave(self, owner_bits: int) -> Iterator[pa.RecordBatch]:
+        if not self.rows:
+            return
+        sizes = np.fromiter(map(len, self.places), np.int64, len(self.places))
+        ranks = np.repeat([LAST if r[0] is None else r[0] for r in self.rows], sizes).astype(np.int64)
+        high, low = np.concatenate(self.high), np.concatenate(self.low)
+        order = np.lexsort((ranks, low, high))
+        high, low, ranks = high[order], low[order], ranks[order]
+        new = np.ones(len(order), bool)
+        new[1:] = (high[1:] != high[:-1]) | (low[1:] != low[:-1])
+        slots = np.empty(len(order), np.int32)
+        slots[order] = np.cumsum(new) - 1
+        high, low, ranks = high[new], low[new], ranks[new]  # of each window the smallest document
+        n = len(self.rows)
+        docs = [np.zeros(n, np.int32), np.full(n, self.number), [r[0] for r in self.rows], [r[1] for r in self.rows], None, [r[2] for r in self.rows]]
+        lists = [packed(sizes, pa.array(np.concatenate(self.places).astype(np.int32))), packed(sizes, pa.array(slots))]
+        yield _batch(n, docs, lists)
+        owner = (high >> np.uint64(64 - owner_bits)).astype(np.int64)
+        bounds = np.searchsorted(owner, np.arange((1 << owner_bits) + 1))
+        owners = np.unique(owner).tolist()
+        sent = [_message(int(bounds[k]), high[bounds[k] : bounds[k + 1]], low[bounds[k] : bounds[k + 1]], ranks[bounds[k] : bounds[k + 1]]) for k in owners]
+        yield _batch(len(owners), [np.ones(len(owners), np.int32), np.full(len(owners), self.number), None, None, None, None], [None, None, owners, sent])
+
+
+def _batch(n: int, plain: list, lists: list) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.binary()]
+    columns = [*plain, *lists, *[None] * (len(types) - len(plain) - len(lists))]
+    arrays = [pa.nulls(n, t) if c is None else c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+    return pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in SURVEYED.split(", ")])
+
+
+def _message(first: int, high: np.ndarray, low: np.ndarray, ranks: np.ndarray) -> bytes:
+    """A chunk's windows of one owner: the place of the first, their hashes and smallest documents."""
+    starts = np.ones(len(high), bool)
+    starts[1:] = high[1:] != high[:-1]
+    coded = golomb.encode(high[starts] & np.uint64((1 << 63) - 1))
+    ids, place = np.unique(ranks, return_inverse=True)
+    parts = (coded, np.packbits(starts).tobytes(), low.tobytes(), ids.tobytes(), place.astype(np.uint32).tobytes())
+    head = np.array([first, len(high), len(ids), *map(len, parts)], "<i8").tobytes()
+    return zstandard.ZstdCompressor(level=1).compress(head + b"".join(parts))
+
+
+def _opened(message: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
+    """First place, hashes (63 and 32 bits) and documents of a message."""
+    data = zstandard.ZstdDecompressor().decompress(message)
+    first, n, _, *sizes = np.frombuffer(data, "<i8", 8).tolist()
+    at = np.cumsum([64, *sizes]).tolist()
+    coded, starts, low, ids, place = (data[a:b] for a, b in zip(at[:-1], at[1:], strict=True))
+    high = golomb.decode(coded)[np.cumsum(np.unpackbits(np.frombuffer(starts, np.uint8), count=n)) - 1]
+    return first, high, np.frombuffer(low, np.uint32), np.frombuffer(ids, np.int64)[np.frombuffer(place, np.uint32)]
+
+
+def _resolve(pdf: pd.DataFrame) -> pd.DataFrame:
+    """An owner's answers: a bit for each window of a chunk, set if another chunk has it in an earlier document."""
+    opened = [_opened(x) for x in pdf["message"]]
+    high, low, ranks = (np.concatenate([x[k] for x in opened]) for k in (1, 2, 3))
+    order = np.lexsort((ranks, low, high))
+    new = np.ones(len(order), bool)
+    new[1:] = (high[order][1:] != high[order][:-1]) | (low[order][1:] != low[order][:-1])
+    least = ranks[order][new]
+    earlier = np.empty(len(order), bool)
+    earlier[order] = ranks[order] > least[np.cumsum(new) - 1]
+    rows, at = [], 0
+    for chunk, (first, own, _, _) in zip(pdf["chunk"], opened, strict=True):
+        bits = earlier[at : at + len(own)]
+        at += len(own)
+        if bits.any():
+            rows.append((chunk, first, len(own), np.packbits(bits).tobytes()))
+    return pd.DataFrame(rows, columns=["chunk", "first", "n", "bits"])
+
+
+def _survey(length: int, maps, owner_bits: int):
+    """Documents without candidate windows are finished; others leave in chunks, with messages to the owners of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes_of, known, numbers = word_hashes(), _unpacked(maps), row_numbers()
+        chunk = _Chunk(next(numbers))
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(ids), ROWS):
-                rows, places, high, low = [], [], [], []
+                done = []
                 for doc_id, text in zip(ids[at : at + ROWS], texts[at : at + ROWS], strict=True):
                     words = hashes_of(text)
                     found = _candidates(words, length, known)
-                    places.append(found)
-                    high.append(window_hashes(words, length)[found])
-                    low.append(window_hashes(words, length, 1)[found] if len(found) else found.astype(np.uint64))
-                    done = not len(found)
-                    rows.append((next(numbers), doc_id, len(words), _digest(text.split()) if done else None, None if done else text))
-                sizes = np.fromiter(map(len, places), np.int64, len(places))
-                plain = [pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary()), strict=True)]
-                lists = [packed(sizes, pa.array(np.concatenate(places).astype(np.int32))), *(packed(sizes, pa.array(signed(np.concatenate(x)))) for x in (high, low))]
-                yield pa.RecordBatch.from_arrays([*plain, *lists], names=["uid", "doc_id", "n_words", "kept_sha256", "text", "places", "high", "low"])
+                    if len(found):
+                        chunk.add(doc_id, text, words, found, length)
+                    else:
+                        done.append((doc_id, len(words), _digest(text.split())))
+                    if chunk.windows >= CHUNK or chunk.bytes >= CHUNK_BYTES:
+                        yield from chunk.leave(owner_bits)
+                        chunk = _Chunk(next(numbers))
+                if done:
+                    yield _batch(len(done), [np.full(len(done), 2, np.int32), None, *map(list, zip(*done, strict=True)), None], [])
+        yield from chunk.leave(owner_bits)
 
     return run
 
 
-def _remove(length: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows = []
-            for doc_id, text, places in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
-                words = text.split()
-                edges = np.zeros(len(words) + 1, np.int32)
-                if places:
-                    at = np.asarray(places)
-                    np.add.at(edges, at, 1)
-                    np.add.at(edges, at + length, -1)
-                covered = np.cumsum(edges[:-1]) > 0
-                kept = [words[i] for i in np.flatnonzero(~covered)]
-                rows.append((doc_id, len(words), int(covered.sum()), _digest(kept), b" ".join(kept).decode()))
-            columns = list(zip(*rows, strict=True)) or [[]] * 5
-            types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=["doc_id", "n_words", "n_removed", "kept_sha256", "kept_text"])
+def _finish(length: int):
+    """The documents of a chunk without the words that its own and its owners' answers tell to remove."""
+
+    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+        ids, texts = docs["doc_id"].to_pylist(), docs["text"].to_pylist()
+        places, slots = ([np.asarray(x) for x in docs[c].to_pylist()] for c in ("places", "slots"))
+        sizes = np.fromiter(map(len, slots), np.int64, len(slots))
+        total = int(max((x.max() for x in slots if len(x)), default=-1)) + 1
+        ranks = np.array([LAST if x is None else x for x in ids], np.int64)
+        least = np.full(total, LAST)
+        if total:
+            np.minimum.at(least, np.concatenate(slots), np.repeat(ranks, sizes))
+        elsewhere = np.zeros(total, bool)
+        for first, n, bits in zip(*(answers[c].to_pylist() for c in ("first", "n", "bits")), strict=True):
+            elsewhere[first : first + n] = np.unpackbits(np.frombuffer(bits, np.uint8), count=n)
+        rows = []
+        for doc_id, rank, text, at, slot in zip(ids, ranks, texts, places, slots, strict=True):
+            words = text.split()
+            at = at[elsewhere[slot] | (least[slot] < rank)]
+            edges = np.zeros(len(words) + 1, np.int32)
+            np.add.at(edges, at, 1)
+            np.add.at(edges, at + length, -1)
+            covered = np.cumsum(edges[:-1]) > 0
+            kept = [words[i] for i in np.flatnonzero(~covered)]
+            rows.append((doc_id, len(words), int(covered.sum()), _digest(kept), b" ".join(kept).decode() if covered.any() else None))
+        columns = list(zip(*rows, strict=True)) or [[]] * 5
+        types = (pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.string())
+        return pa.table([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=[x.split()[0] for x in DONE.split(", ")])
 
     return run
 
@@ -209,17 +315,9 @@ def remove_repeats(docs: DataFrame, length: int = 13, base: int = 4, scratch: Sc
         maps.append(bitmap(texts, level, [(a, b) for a, b in zip(levels(base, length), maps, strict=False)], owner_bits))
     known = list(zip(levels(base, length), maps, strict=False))
     source = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_bytes())
-    surveyed = scratch.keep(source.mapInArrow(_survey(length, known), SURVEYED), "surveyed")
-    done = surveyed.where("text is null").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
-    open_ = surveyed.where("text is not null")
-
-    order = F.coalesce("doc_id", F.lit(LAST)).alias("rank")
-    windows = open_.select("uid", order, F.explode(F.arrays_zip("places", "high", "low")).alias("w")).select("uid", "rank", F.col("w.places").alias("place"), F.col("w.high").alias("high"), F.col("w.low").alias("low"))
-    firsts = windows.groupBy("high", "low").agg(F.min("rank").alias("least"), F.max("rank").alias("most"), F.count(F.lit(1)).alias("members")).where("least < most")
-    firsts = scratch.keep(firsts.drop("most"), "firsts")
-    total = surveyed.select(F.sum(F.size("places"))).first()[0] or 0
-    covered = join_groups(windows, firsts, ["high", "low"], "members", total).where("rank > least")
-    covered = covered.groupBy("uid").agg(F.collect_list("place").alias("covered"))
-    left = open_.select("uid", "doc_id", "text").join(covered, "uid", "left").select("doc_id", "text", F.coalesce("covered", F.array().cast("array<int>")).alias("covered"))
-    removed = left.mapInArrow(_remove(length), "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string")
+    surveyed = scratch.keep(source.mapInArrow(_survey(length, known, owner_bits), SURVEYED), "surveyed")
+    done = surveyed.where("kind = 2").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
+    answers = surveyed.where("kind = 1").select("chunk", "owner", "message").groupBy("owner").applyInPandas(_resolve, "chunk long, first long, n long, bits binary")
+    open_ = surveyed.where("kind = 0").select("chunk", "doc_id", "text", "places", "slots")
+    removed = open_.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_finish(length), DONE)
     return done.unionByName(removed)
