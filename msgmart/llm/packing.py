@@ -18,7 +18,9 @@ as rows of their own. An empty table gives an empty result; other columns are no
 
 from __future__ import annotations
 
+import functools
 import math
+import operator
 import os
 import random
 import re
@@ -38,8 +40,10 @@ from msgmart.llm.texts import row_numbers
 #: Characters that some libraries count as white space and some do not; str.split() would lose them.
 ODD = re.compile("[" + "".join(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
 PLAIN = re.compile(r"[^\x20\x09-\x0D]+")
-#: Words whose ids a task remembers, and the length up to which it does.
-REMEMBERED, WORD = 300_000, 100
+#: Words, and stems of words, of each of two generations whose ids a worker remembers, and the length up to which it does.
+REMEMBERED, WORD = 250_000, 100
+#: Marks that the tokenizer always parts from letters before them.
+MARKS = frozenset(",.;:!?|")
 
 
 @dataclass(frozen=True)
@@ -53,31 +57,91 @@ class Settings:
     seed: int = 7
 
 
-def _pieces(path: str, capacity: int, ids: bool):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+class Words:
+    """The ids of words, remembered by a worker's tasks."""
+
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
-        tokenizer = Tokenizer.from_file(path)
-        memo: dict[str, bytes] = {}
-        numbers = row_numbers()
-
-        def blobs(texts: list[str]) -> list[bytes]:
-            # The tokenizer never joins across these blanks, so words are encoded once each.
-            lists = [PLAIN.findall(x) if ODD.search(x) else x.split() for x in texts]
-            new = [x for x in {w for words in lists for w in words} if x not in memo]
-            for k in range(0, len(new), 20_000):
-                part = new[k : k + 20_000]
-                for word, found in zip(part, tokenizer.encode_batch_fast(part, add_special_tokens=False), strict=True):
-                    memo[word] = np.array(found.ids, "<u4").tobytes()
-            out = [b"".join(map(memo.__getitem__, words)) + bytes(4) for words in lists]
-            for word in new:
-                if len(word) > WORD:
-                    del memo[word]
-            if len(memo) > REMEMBERED:
-                memo.clear()
-            return out
+        self.tokenizer = Tokenizer.from_file(path)
+        self.words: dict[str, bytes] = {}
+        self.stems: dict[str, bytes] = {}
+        # what was known before the last time there was too much of it; what is used again comes back from there
+        self.old_words: dict[str, bytes] = {}
+        self.old_stems: dict[str, bytes] = {}
+        vocabulary = self.tokenizer.get_vocab()
+        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters or marks
+        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+
+    def encode(self, stems: list[str]) -> list[bytes]:
+        """The ids of each stem. Stems of letters go as one text: each ends with an id that ends it."""
+        joined = [x for x in stems if x.isalpha()]
+        texts = [" ".join(joined[k : k + 500]) for k in range(0, len(joined), 500)]
+        ids = np.concatenate([np.empty(0, "<u4"), *(np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))])
+        ends = np.flatnonzero(self.last[ids]) + 1
+        if len(ends) != len(joined):
+            return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)]
+        data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
+        found = {x: data[a:b] for x, a, b in zip(joined, cuts, cuts[1:], strict=False)}
+        other = [x for x in stems if x not in found]
+        found.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True))
+        return [found[x] for x in stems]
+
+    @staticmethod
+    def recalled(wanted: set[str], known: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
+        """Brings back what is wanted and was known before; gives what never was."""
+        missing = wanted.difference(known)
+        known.update((x, old[x]) for x in missing.intersection(old))
+        return list(missing.difference(known))
+
+    def learn(self, new: list[str]) -> None:
+        """Encodes words as a stem and a mark behind it. Stems of plain letters are in lower case, as the tokenizer takes them."""
+        parts: list[str] = []
+        marks: list[str] = []
+        for word in new:
+            stem, mark = (word[:-1], word[-1]) if word[-1] in MARKS else (word, "")
+            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0100"):
+                parts.append(stem.lower())
+                marks.append(mark)
+            else:
+                parts.append(word)
+                marks.append("")
+        stems = self.recalled(set(parts).union(marks), self.stems, self.old_stems)
+        for k in range(0, len(stems), 20_000):
+            part = stems[k : k + 20_000]
+            self.stems.update(zip(part, self.encode(part), strict=True))
+        known = self.stems.__getitem__
+        self.words.update(zip(new, map(operator.add, map(known, parts), map(known, marks)), strict=True))
+        for stem in stems:
+            if len(stem) > WORD:
+                del self.stems[stem]
+
+    def blobs(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text and id 0, as little-endian 32-bit numbers."""
+        # The tokenizer never joins across these blanks, so words are encoded once each.
+        lists = [PLAIN.findall(x) if ODD.search(x) else x.split() for x in texts]
+        if len(self.words) > REMEMBERED:
+            self.old_words, self.words = self.words, {}
+        if len(self.stems) > REMEMBERED:
+            self.old_stems, self.stems = self.stems, {}
+        if new := self.recalled(set().union(*lists), self.words, self.old_words):
+            self.learn(new)
+        out = [b"".join(map(self.words.__getitem__, words)) + bytes(4) for words in lists]
+        for word in new:
+            if len(word) > WORD:
+                del self.words[word]
+        return out
+
+
+@functools.cache
+def _words(path: str) -> Words:
+    return Words(path)
+
 
+def _pieces(path: str, capacity: int, ids: bool):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blobs, numbers = _words(path).blobs, row_numbers()
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(texts), 500):
