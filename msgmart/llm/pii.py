@@ -9,7 +9,9 @@ term makes the entity more likely. Counted over the whole corpus,
 is 1 if the term never appears without the entity, and 0 if it says nothing about it. P(entity | term)
 is the share of the documents with the term in which it stands near the entity. Repeated documents
 prove nothing: a pair counts once for each distinct text before and after the entity, whichever is
-fewer, and needs `support` of these. Terms of a disclosure of `generalise` or more are replaced by a
+fewer, and needs `support` of these; and it has to stand out: of the terms near an entity only up to
+`peers` can, and each has to be twice as frequent as the next (an edited copy of one text has many
+terms that are equally frequent). Terms of a disclosure of `generalise` or more are replaced by a
 placeholder, those of `remove` or more are deleted, wherever they stand.
 
 A null text is empty (and stays null when cleaned). Rows are independent but for the corpus counts;
@@ -20,12 +22,13 @@ not asked for are not read; names that begin with an underscore are free for use
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -52,6 +55,7 @@ ROWS = 500
 class Settings:
     reach: int = 5
     support: int = 3
+    peers: int = 3
     generalise: float = 0.9
     remove: float = 0.98
 
@@ -124,16 +128,26 @@ def _near(settings: Settings):
     return run
 
 
+#: Terms that a task counts before it sends them on.
+COUNTED = 200_000
+
+
 def _frequency(filter_):
-    """Each document's different terms that pass the filter."""
+    """How many documents have each term that passes the filter, counted by task."""
+
+    def told(counts: Counter[int]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, memo = filter_.value, {}
+        counts: Counter[int] = Counter()
         for batch in batches:
-            out: list[int] = []
             for text in batch.column(0).to_pylist():
-                out.extend(h for h in {_term(w, memo) for w in WORD.findall(text)} if passes_one(cells, h))
-            yield pa.RecordBatch.from_arrays([pa.array(out, pa.int64())], names=["term"])
+                counts.update(h for h in {_term(w, memo) for w in WORD.findall(text)} if passes_one(cells, h))
+            if len(counts) > COUNTED:
+                yield told(counts)
+                counts.clear()
+        yield told(counts)
 
     return run
 
@@ -156,11 +170,15 @@ def disclosing_terms(docs: DataFrame, settings: Settings, scratch: Scratch) -> D
     counted = pairs.groupBy("entity", "term").agg(F.count_distinct("before").alias("a"), F.count_distinct("after").alias("b")).select("entity", "term", F.least("a", "b").alias("together"))
     counted = scratch.keep(counted.where(F.col("together") >= settings.support), "pairs")
     entities = counted.where("term = 0").select("entity", F.col("together").alias("alone"))
-    pairs = counted.where("term != 0").join(entities, "entity")
-    candidates = counted.where("term != 0").select("term").distinct()
+    terms = counted.where("term != 0")
+    place = F.row_number().over(Window.partitionBy("entity").orderBy(F.desc("together"), "term"))
+    next_one = terms.withColumn("place", place).where(F.col("place") <= settings.peers + 1).where(F.col("place") == settings.peers + 1)
+    terms = terms.join(next_one.select("entity", F.col("together").alias("next")), "entity", "left").where("next is null or together >= 2 * next").drop("next")
+    pairs = scratch.keep(terms.join(entities, "entity"), "standing-out")
+    candidates = pairs.select("term").distinct()
     if candidates.isEmpty():
         return None
-    frequency = docs.select(_text()).mapInArrow(_frequency(sieve(candidates, "term")), "term long").groupBy("term").agg(F.count(F.lit(1)).alias("members"))
+    frequency = docs.select(_text()).mapInArrow(_frequency(sieve(candidates, "term")), "term long, n long").groupBy("term").agg(F.sum("n").alias("members"))
     total = docs.count()
     likely = F.least(F.lit(1.0), F.col("together") / F.col("members"))
     rarity = F.greatest(F.lit(1e-9), -F.log(F.least(F.lit(1.0), F.col("alone") / F.lit(max(1, total)))))

@@ -57,3 +57,14 @@ def test_odd_rows(odd_docs, no_docs):
     rows = {r.doc_id: r for r in clean.collect()}
     assert rows[4].text is None and rows[4].n_chars == 9 and rows[5].n_chars == 0
     assert pii.annotate(no_docs, ["doc_id"]).collect() == [] and pii.sanitise(no_docs).collect() == []
+
+
+def test_edited_copies_prove_nothing(spark):
+    rng = random.Random(5)
+    words = "unusual goldfinch letter wrote about something quite different yesterday evening".split()
+    texts = []
+    for _ in range(200):
+        copy = [w if rng.random() < 0.8 else "".join(rng.choices("abcdefgh", k=7)) for w in words]
+        texts.append(" ".join([*copy[:5], "boss@example.com", *copy[5:]]))
+    docs = corpus(spark).where("doc_id % 40 != 0").unionByName(spark.createDataFrame([(2000 + k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
+    assert all(r._spans == r._base for r in pii.annotate(docs, ["doc_id"]).collect())
