@@ -4,7 +4,8 @@
    a group is the original, all others revisit it. Digests with many pages are joined apart, so no
    task gets a group.
 2. Pages that revisit another get a revisit record, all others a response record, each with fresh
-   headers. Records are dealt by a hash of the id, so that an archive has about `archive_mb` of payload.
+   headers. Payloads are shuffled once at most, for this join; a file is closed after as many records
+   as have about `archive_mb` of payload.
 3. Spark's text writer writes the archives. A record ends with two line breaks, which is the
    writer's line separator here; its committer drops what lost or repeated tasks have written.
 4. Reading parses whole archives, gzipped or not, in batches of records.
@@ -20,7 +21,6 @@ from __future__ import annotations
 
 import base64
 import hashlib
-import math
 import zlib
 from collections.abc import Iterator
 
@@ -99,10 +99,10 @@ def write(pages: DataFrame, path: str, scratch: Scratch, least: int = 0, archive
     payload = F.coalesce(F.col("html").cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.monotonically_increasing_id().alias("uid"), F.col("page_id").cast("long").alias("page_id"), "url", payload.alias("payload"))
     rows = scratch.keep(rows.select("*", F.sha1("payload").alias("sha1"), F.length("payload").cast("long").alias("bytes")), "pages")
-    total = rows.select(F.sum("bytes")).first()[0] or 0
-    archives = max(1, math.ceil(total / (archive_mb << 20)))
-    dealt = resolve(rows, scratch, least).repartition(archives, "uid")
-    dealt.select(record(date).alias("value")).write.option("lineSep", END).option("compression", "gzip").text(path)
+    mean = rows.select(F.mean("bytes")).first()[0] or 1
+    records = max(1, int((archive_mb << 20) / max(1, mean)))
+    resolved = resolve(rows, scratch, least).select(record(date).alias("value"))
+    resolved.write.option("lineSep", END).option("compression", "gzip").option("maxRecordsPerFile", records).text(path)
     scratch.drop("headers", "originals", "pages")
 
 
