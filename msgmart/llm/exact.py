@@ -34,6 +34,8 @@ from msgmart.llm.texts import row_numbers, signed, text_bytes
 BLANKS = b" \t\n\v\f\r"
 #: Rows whose fingerprints one task sends together.
 CHUNK = 200_000
+#: Rows worked on together.
+ROWS = 500
 #: Fingerprints an owner gets, about.
 OWNED = 500_000
 #: Bits of the filter of suspects that every task gets: 8 MB, whatever the input. A full filter passes more texts to the grouping, never fewer.
@@ -51,6 +53,10 @@ def _fingerprint(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(text)
 
 
+def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    return (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS))
+
+
 def _prints(bits: int):
     """Rows of kind 0 describe documents, rows of kind 1 are messages to owners."""
 
@@ -82,7 +88,7 @@ def _prints(bits: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = row_numbers()
         columns: list[list] = [[], [], [], [], []]
-        for batch in batches:
+        for batch in _slices(batches):
             for doc_id, text, chars in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 text = normal(text)
                 for column, x in zip(columns, (next(numbers), doc_id, chars, _fingerprint(text), hashlib.sha256(text).digest()), strict=True):
@@ -148,7 +154,7 @@ def _sift(filter_, wanted: bool, number: bool = False):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, numbers = filter_.value, row_numbers()
-        for batch in batches:
+        for batch in _slices(batches):
             texts = [normal(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
             fps = np.fromiter(map(_fingerprint, texts), dtype=np.uint64, count=len(texts))
             hit = np.flatnonzero((cells[fps >> np.uint64(shift)] == 1) == wanted)

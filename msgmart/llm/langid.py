@@ -24,10 +24,12 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from msgmart.llm.texts import only_of_this_stage
+
 #: Trigram buckets, and the count that every bucket has before any text.
 BUCKETS, PRIOR = 1 << 17, 0.05
 #: Words whose likelihoods a task remembers; documents worked on together.
-REMEMBERED, ROWS = 300_000, 400
+REMEMBERED, ROWS = 200_000, 400
 UNKNOWN = "und"
 
 
@@ -127,6 +129,7 @@ def _predict(model, penalty: float):
     types = [pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64())]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_of_this_stage()
         known: Model = model.value
         place: dict[str, int] = {}
         learned = [0]

@@ -18,7 +18,6 @@ as rows of their own. An empty table gives an empty result; other columns are no
 
 from __future__ import annotations
 
-import functools
 import math
 import operator
 import os
@@ -35,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from msgmart.llm.scratch import Scratch
-from msgmart.llm.texts import row_numbers
+from msgmart.llm.texts import held, row_numbers
 
 #: Characters that some libraries count as white space and some do not; str.split() would lose them.
 ODD = re.compile("[" + "".join(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
@@ -134,14 +133,9 @@ class Words:
         return out
 
 
-@functools.cache
-def _words(path: str) -> Words:
-    return Words(path)
-
-
 def _pieces(path: str, capacity: int, ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs, numbers = _words(path).blobs, row_numbers()
+        blobs, numbers = held(Words, path).blobs, row_numbers()
         for batch in batches:
             doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
             for at in range(0, len(texts), 500):

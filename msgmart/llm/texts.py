@@ -17,6 +17,27 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary").alias("text")
 
 
+_held: dict = {}
+
+
+def only_of_this_stage() -> None:
+    """Lets go of what tasks of other stages have left in this worker, which lives longer than they do."""
+    context = TaskContext.get()
+    stage = context.stageId() if context else None
+    if _held.get("stage") != stage:
+        _held.clear()
+        _held["stage"] = stage
+
+
+def held(make: Callable, *arguments):
+    """`make(*arguments)`, shared by the tasks of one stage in this worker."""
+    only_of_this_stage()
+    key = (make, arguments)
+    if key not in _held:
+        _held[key] = make(*arguments)
+    return _held[key]
+
+
 class Memo(dict):
     """What `make` gives for a key, remembered for at most `limit` keys."""
 
@@ -36,6 +57,7 @@ def word_hashes(limit: int = 300_000) -> Callable[[bytes], np.ndarray]:
 
     bytes.split() without an argument splits at exactly these six characters.
     """
+    only_of_this_stage()
     memo = Memo(xxhash.xxh3_64_intdigest, limit)
 
     def hashes(text: bytes) -> np.ndarray:
@@ -67,6 +89,7 @@ def window_hashes(words: np.ndarray, length: int, seed: int = 0) -> np.ndarray:
 
 def row_numbers() -> Iterator[int]:
     """Numbers that no other row of this job gets. They hold once the rows are written."""
+    only_of_this_stage()
     at = TaskContext.get().partitionId() << 36
     while True:
         yield at
