@@ -142,7 +142,7 @@ def bitmap(texts: DataFrame, length: int, maps: list, owner_bits: int):
     return texts.sparkSession.sparkContext.broadcast(table.tobytes())
 
 
-SURVEYED = "kind int, chunk long, doc_id long, n_words long, kept_sha256 string, text binary, places array<int>, slots array<int>, owner int, message binary"
+SURVEYED = "kind int, chunk long, doc_id long, n_words long, kept_sha256 string, owner int, message binary"
 #: Candidate windows, and bytes of text, at which a chunk ends.
 CHUNK, CHUNK_BYTES = 500_000, 16_000_000
 DONE = "doc_id long, n_words long, n_removed long, kept_sha256 string, kept_text string"
@@ -183,24 +183,31 @@ class _Chunk:
         slots = np.empty(len(order), np.int32)
         slots[order] = np.cumsum(new) - 1
         high, low, ranks = high[new], low[new], ranks[new]  # of each window the smallest document
-        n = len(self.rows)
-        docs = [np.zeros(n, np.int32), np.full(n, self.number), [r[0] for r in self.rows], [r[1] for r in self.rows], None, [r[2] for r in self.rows]]
-        lists = [packed(sizes, pa.array(np.concatenate(self.places).astype(np.int32))), packed(sizes, pa.array(slots))]
-        yield _batch(n, docs, lists)
+        steps = np.concatenate([np.diff(x, prepend=0) for x in self.places]).astype(np.int32)
+        docs = [pa.array([r[0] for r in self.rows], pa.int64()), pa.array([r[2] for r in self.rows], pa.binary()), packed(sizes, pa.array(steps)), packed(sizes, pa.array(slots))]
+        yield _batch(1, [[0], [self.number], None, None, None, None, [_stored(docs)]])
         owner = (high >> np.uint64(64 - owner_bits)).astype(np.int64)
         bounds = np.searchsorted(owner, np.arange((1 << owner_bits) + 1))
         owners = np.unique(owner).tolist()
         sent = [_message(int(bounds[k]), high[bounds[k] : bounds[k + 1]], low[bounds[k] : bounds[k + 1]], ranks[bounds[k] : bounds[k + 1]]) for k in owners]
-        yield _batch(len(owners), [np.ones(len(owners), np.int32), np.full(len(owners), self.number), None, None, None, None], [None, None, owners, sent])
+        yield _batch(len(owners), [np.ones(len(owners), np.int32), np.full(len(owners), self.number), None, None, None, owners, sent])
 
 
-def _batch(n: int, plain: list, lists: list) -> pa.RecordBatch:
-    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.binary(), pa.list_(pa.int32()), pa.list_(pa.int32()), pa.int32(), pa.binary()]
-    columns = [*plain, *lists, *[None] * (len(types) - len(plain) - len(lists))]
-    arrays = [pa.nulls(n, t) if c is None else c if isinstance(c, pa.Array) else pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+def _batch(n: int, columns: list) -> pa.RecordBatch:
+    types = [pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.string(), pa.int32(), pa.binary()]
+    arrays = [pa.nulls(n, t) if c is None else pa.array(c, t) for c, t in zip(columns, types, strict=True)]
     return pa.RecordBatch.from_arrays(arrays, names=[x.split()[0] for x in SURVEYED.split(", ")])
 
 
+def _stored(docs: list[pa.Array]) -> bytes:
+    """The documents of a chunk as one compressed message."""
+    batch = pa.RecordBatch.from_arrays(docs, names=["doc_id", "text", "steps", "slots"])
+    sink = pa.BufferOutputStream()
+    with pa.ipc.new_stream(sink, batch.schema) as out:
+        out.write_batch(batch)
+    return zstandard.ZstdCompressor(level=3).compress(sink.getvalue())
+
+
 def _message(first: int, high: np.ndarray, low: np.ndarray, ranks: np.ndarray) -> bytes:
     """A chunk's windows of one owner: the place of the first, their hashes and smallest documents."""
     starts = np.ones(len(high), bool)
@@ -262,7 +269,7 @@ def _survey(length: int, maps, owner_bits: int):
                         yield from chunk.leave(owner_bits)
                         chunk = _Chunk(next(numbers))
                 if done:
-                    yield _batch(len(done), [np.full(len(done), 2, np.int32), None, *map(list, zip(*done, strict=True)), None], [])
+                    yield _batch(len(done), [np.full(len(done), 2, np.int32), None, *map(list, zip(*done, strict=True)), None, None])
         yield from chunk.leave(owner_bits)
 
     return run
@@ -271,9 +278,11 @@ def _survey(length: int, maps, owner_bits: int):
 def _finish(length: int):
     """The documents of a chunk without the words that its own and its owners' answers tell to remove."""
 
-    def run(docs: pa.Table, answers: pa.Table) -> pa.Table:
+    def run(stored: pa.Table, answers: pa.Table) -> pa.Table:
+        docs = pa.ipc.open_stream(zstandard.ZstdDecompressor().decompress(stored["message"][0].as_py())).read_all()
         ids, texts = docs["doc_id"].to_pylist(), docs["text"].to_pylist()
-        places, slots = ([np.asarray(x) for x in docs[c].to_pylist()] for c in ("places", "slots"))
+        places = [np.cumsum(x) for x in docs["steps"].to_pylist()]
+        slots = [np.asarray(x) for x in docs["slots"].to_pylist()]
         sizes = np.fromiter(map(len, slots), np.int64, len(slots))
         total = int(max((x.max() for x in slots if len(x)), default=-1)) + 1
         ranks = np.array([LAST if x is None else x for x in ids], np.int64)
@@ -318,6 +327,6 @@ def remove_repeats(docs: DataFrame, length: int = 13, base: int = 4, scratch: Sc
     surveyed = scratch.keep(source.mapInArrow(_survey(length, known, owner_bits), SURVEYED), "surveyed")
     done = surveyed.where("kind = 2").select("doc_id", "n_words", F.lit(0).cast("long").alias("n_removed"), "kept_sha256", F.lit(None).cast("string").alias("kept_text"))
     answers = surveyed.where("kind = 1").select("chunk", "owner", "message").groupBy("owner").applyInPandas(_resolve, "chunk long, first long, n long, bits binary")
-    open_ = surveyed.where("kind = 0").select("chunk", "doc_id", "text", "places", "slots")
+    open_ = surveyed.where("kind = 0").select("chunk", "message")
     removed = open_.groupBy("chunk").cogroup(answers.groupBy("chunk")).applyInArrow(_finish(length), DONE)
     return done.unionByName(removed)
