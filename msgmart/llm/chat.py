@@ -63,8 +63,10 @@ def best_branches(messages: DataFrame, scratch: Scratch, branches: int = 1) -> D
     while (still := state.where("up is not null").count()) and still != open_before:
         open_before = still
         upper = state.select(F.col("tree").alias("t"), F.col("node").alias("n"), F.col("up").alias("up2"), F.col("depth").alias("d2"), F.col("total").alias("s2"))
-        joined = state.join(upper, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")), "left")
-        state = joined.select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.coalesce("d2", F.lit(0))).alias("depth"), (F.col("total") + F.coalesce("s2", F.lit(0.0))).alias("total"), F.col("up2").isNull().alias("ended"))
+        # only messages that have not reached their root go on
+        joined = state.where("up is not null").join(upper, F.col("tree").eqNullSafe(F.col("t")) & (F.col("up") == F.col("n")))
+        moved = joined.select("tree", "node", F.col("up2").alias("up"), (F.col("depth") + F.col("d2")).alias("depth"), (F.col("total") + F.col("s2")).alias("total"), F.col("up2").isNull().alias("ended"))
+        state = state.where("up is null").unionByName(moved)
         rounds += 1
         state = scratch.keep(state, f"round{rounds}")
     parents = scratch.spark.read.schema(state.schema).parquet(scratch.path("round0")).where("up is not null").select(F.col("tree").alias("t"), F.col("up").alias("n"))
