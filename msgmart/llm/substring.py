@@ -65,7 +65,8 @@ def _candidates(words: np.ndarray, length: int, maps: list[tuple[int, np.ndarray
     for shorter, bitmap in maps:
         if not len(places):
             break
-        passes = bitmap[_hashes(words, shorter) >> np.uint64(HASH_BITS - MAP_BITS)] == 1
+        cells = _hashes(words, shorter) >> np.uint64(HASH_BITS - MAP_BITS)
+        passes = (bitmap[cells >> np.uint64(3)] >> (np.uint64(7) - (cells & np.uint64(7))).astype(np.uint8)) & 1 == 1
         ok = np.ones(len(places), bool)
         # parts at these steps cover the window, so that a shared window passes and others mostly don't
         for step in {*range(0, length - shorter, shorter), length - shorter}:
@@ -74,8 +75,9 @@ def _candidates(words: np.ndarray, length: int, maps: list[tuple[int, np.ndarray
     return places
 
 
-def _unpacked(maps) -> list[tuple[int, np.ndarray]]:
-    return [(length, np.unpackbits(np.frombuffer(m.value, np.uint8))) for length, m in maps[-1:]]
+def _opened_maps(maps) -> list[tuple[int, np.ndarray]]:
+    """The last level's bitmap, eight cells a byte: what passes it has passed those before."""
+    return [(length, np.frombuffer(m.value, np.uint8)) for length, m in maps[-1:]]
 
 
 def _send(length: int, maps, owner_bits: int):
@@ -97,7 +99,7 @@ def _send(length: int, maps, owner_bits: int):
         yield pa.RecordBatch.from_arrays([pa.array(to, pa.int32()), pa.array(sent, pa.binary())], names=["owner", "message"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes_of, known = word_hashes(), _unpacked(maps)
+        hashes_of, known = word_hashes(), _opened_maps(maps)
         waiting: list[np.ndarray] = []
         n = 0
         for batch in batches:
@@ -252,7 +254,7 @@ def _survey(length: int, maps, owner_bits: int):
     """Documents without candidate windows are finished; others leave in chunks, with messages to the owners of their windows."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes_of, known, numbers = word_hashes(), _unpacked(maps), row_numbers()
+        hashes_of, known, numbers = word_hashes(), _opened_maps(maps), row_numbers()
         chunk = _Chunk(next(numbers))
         for batch in batches:
             ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
