@@ -1,17 +1,19 @@
 """Personal data: fixed patterns, and terms that give protected entities away.
 
 Patterns find emails, addresses, cards and phone numbers. What they find are the protected
-entities. A term (a word of letters) that stands near an entity discloses it as far as knowing the
-term makes the entity more likely. Counted over the whole corpus,
+entities. A term (a word of four letters or more outside of these) that stands in the same text as an
+entity discloses it as far as knowing the term makes the entity more likely. Counted over the whole corpus,
 
     disclosure = log(P(entity | term) / P(entity)) / -log P(entity)
 
 is 1 if the term never appears without the entity, and 0 if it says nothing about it. P(entity | term)
-is the share of the documents with the term in which it stands near the entity. Repeated documents
-prove nothing: a pair counts once for each distinct text before and after the entity, whichever is
-fewer, and needs `support` of these; and it has to stand out: of the terms near an entity only up to
-`peers` can, and each has to be twice as frequent as the next (an edited copy of one text has many
-terms that are equally frequent). Terms of a disclosure of `generalise` or more are replaced by a
+is the share of the documents with the term in which the entity stands too, the latter counted in
+distinct texts (a hash of the text without case and differences of white space).
+
+Edited copies prove nothing either: a term and an entity need `support` texts of different near-copy
+classes. A class is what links between texts with a third of their words in common connect (`COPIES`), among
+the texts with an entity of `support` texts or more. There is no window and no limit on the terms
+of an entity. Terms of a disclosure of `generalise` or more are replaced by a
 placeholder, those of `remove` or more are deleted, wherever they stand.
 
 A null text is empty (and stays null when cleaned). Rows are independent but for the corpus counts;
@@ -28,10 +30,11 @@ from dataclasses import dataclass
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from msgmart.llm import jaccard
 from msgmart.llm.scratch import Scratch
 from msgmart.llm.sieve import passes_one, sieve
 from msgmart.llm.skew import join_groups
@@ -53,13 +56,15 @@ ROWS = 500
 
 @dataclass(frozen=True)
 class Settings:
-    reach: int = 5
     support: int = 3
-    peers: int = 3
     generalise: float = 0.9
     remove: float = 0.98
 
 
+#: Texts that are edited copies of each other: single words in common.
+COPIES = jaccard.Settings(width=1, parts=1, whole=3, bands=32, rows=2)
+
+
 def luhn(digits: str) -> bool:
     total = 0
     for k, x in enumerate(reversed(digits)):
@@ -107,23 +112,32 @@ def _hash(x: str) -> int:
     return xxhash.xxh3_64_intdigest(x.encode()) - (1 << 63)
 
 
-def _near(settings: Settings):
-    """A row for each term near an entity, with a mark of the words before and after the entity."""
+def _same(text: str) -> str:
+    """What texts that count as one have in common."""
+    return " ".join(text.lower().split())
+
+
+def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The hash of each text and its entities."""
+    for batch in batches:
+        texts, found = [], []
+        for text in batch.column(0).to_pylist():
+            there = set()
+            for start, kind, end in base_spans(text):
+                value = text[start:end].lower() if kind == 0 else text[start:end] if kind == 1 else DIGITS.sub("", text[start:end])
+                there.add(_hash(f"{kind} {value}"))
+            texts.append(_hash(_same(text)))
+            found.append(list(there))
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.int64()), pa.array(found, pa.list_(pa.int64()))], names=["text", "entities"])
+
+
+def _bodies(filter_):
+    """Texts that pass the filter."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows: list[tuple[int, int, int, int]] = []
-            for text in batch.column(0).to_pylist():
-                for start, kind, end in base_spans(text):
-                    value = text[start:end].lower() if kind == 0 else text[start:end] if kind == 1 else DIGITS.sub("", text[start:end])
-                    width = 24 * settings.reach
-                    left = WORD.findall(text[max(0, start - width) : start])[-settings.reach :]
-                    right = WORD.findall(text[end : end + width])[: settings.reach]
-                    entity, before, after = _hash(f"{kind} {value}"), _hash(" ".join(left)), _hash(" ".join(right))
-                    rows.extend((entity, _hash(t), before, after) for t in {x.lower() for x in (*left, *right)})
-                    rows.append((entity, 0, before, after))
-            columns = list(zip(*rows, strict=True)) or [[]] * 4
-            yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["entity", "term", "before", "after"])
+            rows = [(h, text) for text in batch.column(0).to_pylist() if passes_one(filter_.value, h := _hash(_same(text)))]
+            yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.string())], names=["text", "body"])
 
     return run
 
@@ -132,6 +146,35 @@ def _near(settings: Settings):
 COUNTED = 200_000
 
 
+def _outside(text: str, words: list[re.Match]) -> list[re.Match]:
+    """The words that are no part of a base span."""
+    spans = base_spans(text) if words else []
+    inside = bytearray(len(text)) if spans else b""
+    for a, _, b in spans:
+        inside[a:b] = b"\1" * (b - a)
+    return [m for m in words if not any(inside[m.start() : m.end()])] if spans else words
+
+
+def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many texts of a class each term stands with each entity of `known`, counted by task, from distinct texts."""
+    memo: dict[str, int] = {}
+    counts: Counter[tuple[int, int, int, int]] = Counter()
+
+    def told() -> pa.RecordBatch:
+        columns = list(zip(*((*k, n) for k, n in counts.items()), strict=True)) or [[]] * 5
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["entity", "alone", "class", "term", "n"])
+
+    for batch in batches:
+        for copies, known, text in zip(batch.column("class").to_pylist(), batch.column("known").to_pylist(), batch.column("body").to_pylist(), strict=True):
+            terms = {_term(m[0], memo) for m in _outside(text, list(WORD.finditer(text)))}
+            for x in known:
+                counts.update((x["entity"], x["alone"], copies, h) for h in terms)
+                if len(counts) > COUNTED:
+                    yield told()
+                    counts.clear()
+    yield told()
+
+
 def _frequency(filter_):
     """How many documents have each term that passes the filter, counted by task."""
 
@@ -143,10 +186,12 @@ def _frequency(filter_):
         counts: Counter[int] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                counts.update(h for h in {_term(w, memo) for w in WORD.findall(text)} if passes_one(cells, h))
-            if len(counts) > COUNTED:
-                yield told(counts)
-                counts.clear()
+                hits = _outside(text, [m for m in WORD.finditer(text) if passes_one(cells, _term(m[0], memo))])
+                if hits:
+                    counts.update({_term(m[0], memo) for m in hits})
+                if len(counts) > COUNTED:
+                    yield told(counts)
+                    counts.clear()
         yield told(counts)
 
     return run
@@ -166,23 +211,38 @@ def _text() -> Column:
 
 def disclosing_terms(docs: DataFrame, settings: Settings, scratch: Scratch) -> DataFrame | None:
     """term (a hash), kind ("term" or "key"), members (documents with it); None if there are none."""
-    pairs = scratch.keep(docs.select(_text()).mapInArrow(_near(settings), "entity long, term long, before long, after long"), "near")
-    counted = pairs.groupBy("entity", "term").agg(F.count_distinct("before").alias("a"), F.count_distinct("after").alias("b")).select("entity", "term", F.least("a", "b").alias("together"))
-    counted = scratch.keep(counted.where(F.col("together") >= settings.support), "pairs")
-    entities = counted.where("term = 0").select("entity", F.col("together").alias("alone"))
-    terms = counted.where("term != 0")
-    place = F.row_number().over(Window.partitionBy("entity").orderBy(F.desc("together"), "term"))
-    next_one = terms.withColumn("place", place).where(F.col("place") <= settings.peers + 1).where(F.col("place") == settings.peers + 1)
-    terms = terms.join(next_one.select("entity", F.col("together").alias("next")), "entity", "left").where("next is null or together >= 2 * next").drop("next")
-    pairs = scratch.keep(terms.join(entities, "entity"), "standing-out")
-    candidates = pairs.select("term").distinct()
+    seen = scratch.keep(docs.select(_text()).mapInArrow(_entities, "text long, entities array<long>"), "entities")
+    # what stands in fewer texts than the support can have no term
+    stands = seen.select("text", F.explode("entities").alias("entity")).distinct()
+    alone = scratch.keep(stands.groupBy("entity").agg(F.count(F.lit(1)).alias("alone")).where(F.col("alone") >= settings.support), "alone")
+    many = alone.agg(F.sum("alone")).first()[0]
+    if not many:
+        return None
+    stands = scratch.keep(join_groups(stands, alone, ["entity"], "alone", many), "stands")
+    texts = stands.select("text").distinct()
+    bodies = docs.select(_text()).mapInArrow(_bodies(sieve(texts, "text")), "text long, body string").join(texts, "text", "left_semi")
+    bodies = scratch.keep(bodies.groupBy("text").agg(F.min("body").alias("body")), "bodies")
+    work = Scratch(docs.sparkSession, "pii-copies")
+    classes = jaccard.similar(bodies.select(F.col("text").alias("doc_id"), F.lower("body").alias("text")), COPIES, work)
+    classes = scratch.keep(classes.select(F.col("doc_id").alias("text"), F.col("class_id").alias("class")), "classes")
+    work.clear()
+    stands = scratch.keep(stands.join(classes, "text"), "classed")
+    wide = stands.groupBy("entity").agg(F.count_distinct("class").alias("classes"), F.max("alone").alias("alone")).where(F.col("classes") >= settings.support)
+    known = join_groups(stands.drop("alone"), scratch.keep(wide.drop("classes"), "wide"), ["entity"], "alone", many)
+    known = known.groupBy("text", "class").agg(F.collect_list(F.struct("entity", "alone")).alias("known"))
+    pairs = bodies.join(known, "text").select("class", "known", "body").mapInArrow(_together, "entity long, alone long, class long, term long, n long")
+    pairs = pairs.groupBy("entity", "term", "class").agg(F.max("alone").alias("alone"), F.sum("n").alias("n"))
+    pairs = pairs.groupBy("entity", "term").agg(F.max("alone").alias("alone"), F.sum("n").alias("together"), F.count(F.lit(1)).alias("classes"))
+    pairs = scratch.keep(pairs.where(F.col("classes") >= settings.support), "pairs")
+    candidates = scratch.keep(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("pairs")), "candidates")
     if candidates.isEmpty():
         return None
-    frequency = docs.select(_text()).mapInArrow(_frequency(sieve(candidates, "term")), "term long, n long").groupBy("term").agg(F.sum("n").alias("members"))
     total = docs.count()
+    frequency = docs.select(_text()).mapInArrow(_frequency(sieve(candidates, "term")), "term long, n long").groupBy("term").agg(F.sum("n").alias("members"))
     likely = F.least(F.lit(1.0), F.col("together") / F.col("members"))
     rarity = F.greatest(F.lit(1e-9), -F.log(F.least(F.lit(1.0), F.col("alone") / F.lit(max(1, total)))))
-    rated = pairs.join(frequency, "term").withColumn("disclosure", 1 + F.log(likely) / rarity)
+    sized = scratch.keep(candidates.join(frequency, "term"), "frequency")
+    rated = join_groups(pairs, sized, ["term"], "pairs", pairs.count()).withColumn("disclosure", 1 + F.log(likely) / rarity)
     found = rated.groupBy("term").agg(F.max("disclosure").alias("disclosure"), F.max("members").alias("members")).where(F.col("disclosure") >= settings.generalise)
     kind = F.when(F.col("disclosure") >= settings.remove, TERMS[1]).otherwise(TERMS[0])
     found = scratch.keep(found.select("term", kind.alias("kind"), "members"), "terms")

@@ -68,3 +68,18 @@ def test_edited_copies_prove_nothing(spark):
         texts.append(" ".join([*copy[:5], "boss@example.com", *copy[5:]]))
     docs = corpus(spark).where("doc_id % 40 != 0").unionByName(spark.createDataFrame([(2000 + k, t) for k, t in enumerate(texts)], "doc_id long, text string"))
     assert all(r._spans == r._base for r in pii.annotate(docs, ["doc_id"]).collect())
+
+
+def among_others(spark, make, more=4000):
+    """The terms found in each of the texts of `make`, which gets a function for other words, among `more` other texts."""
+    rng = random.Random(8)
+    some = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(n))
+    texts = make(some)
+    docs = spark.createDataFrame(list(enumerate([*texts, *(some(12) for _ in range(more))])), "doc_id long, text string")
+    rows = pii.annotate(docs, ["doc_id"]).where(f"doc_id < {len(texts)}").collect()
+    return {r.doc_id: {texts[r.doc_id][a:b] for a, k, b in pii._parsed(r._spans) if k > 3} for r in rows}
+
+
+def test_equally_strong_terms_all_disclose(spark):
+    got = among_others(spark, lambda some: ["ask Maria about it", *(f"{some(12)} Maria Fernanda Lopez Garcia +49 170 5557713 {some(12)}" for _ in range(8))])
+    assert got[0] == {"Maria"} and got[1] == {"Maria", "Fernanda", "Lopez", "Garcia"}
