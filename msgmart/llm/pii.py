@@ -7,8 +7,9 @@ entity discloses it as far as knowing the term makes the entity more likely. Cou
     disclosure = log(P(entity | term) / P(entity)) / -log P(entity)
 
 is 1 if the term never appears without the entity, and 0 if it says nothing about it. P(entity | term)
-is the share of the documents with the term in which the entity stands too, the latter counted in
-distinct texts (a hash of the text without case and differences of white space).
+is the share of the texts with the term in which the entity stands too. Everything is counted in
+distinct texts (a hash of the text without case and differences of white space), so repeated
+documents count once for the entity, for the term and for both.
 
 Edited copies prove nothing either: a term and an entity need `support` texts of different near-copy
 classes. A class is what links between texts with a third of their words in common connect (`COPIES`), among
@@ -175,20 +176,22 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told()
 
 
-def _frequency(filter_):
-    """How many documents have each term that passes the filter, counted by task."""
+def _frequency(filter_, repeated):
+    """How many texts have each term that passes the filter, counted by task; texts that may be repeated are named."""
 
-    def told(counts: Counter[int]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(list(counts), pa.int64()), pa.array(list(counts.values()), pa.int64())], names=["term", "n"])
+    def told(counts: Counter[tuple[int, int | None]]) -> pa.RecordBatch:
+        columns = [[k[0] for k in counts], [k[1] for k in counts], list(counts.values())]
+        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["term", "text", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, memo = filter_.value, {}
-        counts: Counter[int] = Counter()
+        counts: Counter[tuple[int, int | None]] = Counter()
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 hits = _outside(text, [m for m in WORD.finditer(text) if passes_one(cells, _term(m[0], memo))])
                 if hits:
-                    counts.update({_term(m[0], memo) for m in hits})
+                    name = h if passes_one(repeated.value, h := _hash(_same(text))) else None
+                    counts.update({(_term(m[0], memo), name) for m in hits})
                 if len(counts) > COUNTED:
                     yield told(counts)
                     counts.clear()
@@ -237,8 +240,10 @@ def disclosing_terms(docs: DataFrame, settings: Settings, scratch: Scratch) -> D
     candidates = scratch.keep(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("pairs")), "candidates")
     if candidates.isEmpty():
         return None
-    total = docs.count()
-    frequency = docs.select(_text()).mapInArrow(_frequency(sieve(candidates, "term")), "term long, n long").groupBy("term").agg(F.sum("n").alias("members"))
+    copies = seen.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
+    total = copies.count()
+    frequency = docs.select(_text()).mapInArrow(_frequency(sieve(candidates, "term"), sieve(copies.where("copies > 1"), "text")), "term long, text long, n long")
+    frequency = frequency.groupBy("term", "text").agg(F.sum("n").alias("n")).groupBy("term").agg(F.sum(F.when(F.col("text").isNull(), F.col("n")).otherwise(1)).alias("members"))
     likely = F.least(F.lit(1.0), F.col("together") / F.col("members"))
     rarity = F.greatest(F.lit(1e-9), -F.log(F.least(F.lit(1.0), F.col("alone") / F.lit(max(1, total)))))
     sized = scratch.keep(candidates.join(frequency, "term"), "frequency")

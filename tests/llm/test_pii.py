@@ -83,3 +83,13 @@ def among_others(spark, make, more=4000):
 def test_equally_strong_terms_all_disclose(spark):
     got = among_others(spark, lambda some: ["ask Maria about it", *(f"{some(12)} Maria Fernanda Lopez Garcia +49 170 5557713 {some(12)}" for _ in range(8))])
     assert got[0] == {"Maria"} and got[1] == {"Maria", "Fernanda", "Lopez", "Garcia"}
+
+
+def test_copies_and_constant_sides_hide_nothing(spark):
+    def texts(some):
+        copied = [f"{some(12)} goldfinch boss@example.com {some(12)}" for _ in range(5)]
+        return [*(t for t in copied for _ in range(10)), *(f"{some(20)} kingfisher desk@example.com" for _ in range(5)), *(f"first@example.com nightjar {some(20)}" for _ in range(5))]
+
+    got = among_others(spark, texts)
+    assert all(got[k] == {"goldfinch"} for k in range(50))
+    assert all(got[k] == {"kingfisher"} for k in range(50, 55)) and all(got[k] == {"nightjar"} for k in range(55, 60))
