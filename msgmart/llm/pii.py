@@ -1,7 +1,7 @@
 """Personal data: fixed patterns, and terms that give protected entities away.
 
 Patterns find emails, addresses, cards and phone numbers. What they find are the protected
-entities. A term (a word of four letters or more outside of these) that stands in the same text as an
+entities. A term (a word of letters and digits outside of these) that stands in the same text as an
 entity discloses it as far as knowing the term makes the entity more likely. Counted over the whole corpus,
 
     disclosure = log(P(entity | term) / P(entity)) / -log P(entity)
@@ -13,8 +13,8 @@ documents count once for the entity, for the term and for both.
 
 Edited copies prove nothing either: a term and an entity need `support` texts of different near-copy
 classes. A class is what links between texts with a third of their words in common connect (`COPIES`), among
-the texts with an entity of `support` texts or more. There is no window and no limit on the terms
-of an entity. Terms of a disclosure of `generalise` or more are replaced by a
+the texts with an entity of `support` texts or more. There is no window, no least length of words and
+no limit on the terms of an entity. Terms of a disclosure of `generalise` or more are replaced by a
 placeholder, those of `remove` or more are deleted, wherever they stand.
 
 A null text is empty (and stays null when cleaned). Rows are independent but for the corpus counts;
@@ -51,7 +51,7 @@ IP = re.compile(r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++")
 CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[^0-9]")
-WORD = re.compile(r"[^\W\d_]{4,}")
+WORD = re.compile(r"[^\W_]+")
 ROWS = 500
 
 

@@ -93,3 +93,8 @@ def test_copies_and_constant_sides_hide_nothing(spark):
     got = among_others(spark, texts)
     assert all(got[k] == {"goldfinch"} for k in range(50))
     assert all(got[k] == {"kingfisher"} for k in range(50, 55)) and all(got[k] == {"nightjar"} for k in range(55, 60))
+
+
+def test_short_and_distant_words_disclose(spark):
+    got = among_others(spark, lambda some: [f"Ann {some(20)} boss@example.com {some(20)} kx7 {some(3)}" for _ in range(6)])
+    assert all(x == {"Ann", "kx7"} for x in got.values())
