@@ -318,6 +318,16 @@ def _parts(settings: Settings):
     return F.ceil(F.col("size") / settings.block).cast("int").alias("parts")
 
 
+def to_least(links: DataFrame) -> DataFrame:
+    """Links (a, b), a < b, that connect what `links` connect: all but that to the least a of a b lead from this one to the other a.
+
+    A class has a link for each band and each part it meets there; where they move to, most are the same.
+    """
+    lists = links.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("less"))
+    others = F.slice("less", 2, F.greatest(F.size("less") - 1, F.lit(0)))
+    return lists.select(F.col("less")[0].alias("a"), F.explode(F.concat(F.array("b"), others)).alias("b")).distinct()
+
+
 def sign(docs: DataFrame, settings: Settings, scratch: Scratch) -> DataFrame:
     """`docs` with a row number, the number of runs, a 128-bit hash of the set, MinHash values and bands."""
     return scratch.keep(docs.select("*", text_bytes().alias("_text")).mapInArrow(_sign(settings), T.StructType([*docs.schema.fields, T.StructField("_text", T.BinaryType()), *SIGNED])), "signed")
@@ -340,10 +350,7 @@ def classify(signed_rows: DataFrame, settings: Settings, scratch: Scratch) -> Da
     several = scratch.keep(several, "bands")
     candidates = join_groups(bands, several, ["band"], "size", total * settings.bands).select("band", "parts", "uid")
     left = _meet(candidates.join(heads.select("uid", "minhash"), "uid"), "band", settings).mapInArrow(_prune(settings), "a long, b long")
-    # a class has a link for each band at most; all but the least of these move to the classes they lead to, where most are the same
-    lists = left.groupBy("b").agg(F.array_sort(F.collect_set("a")).alias("less"))
-    left = lists.select(F.col("less")[0].alias("a"), F.explode(F.concat(F.array("b"), F.slice("less", 2, settings.bands))).alias("b")).distinct()
-    left = scratch.keep(left, "candidates")
+    left = scratch.keep(to_least(left), "candidates")
     near = scratch.keep(components(left, scratch, "near").withColumnRenamed("node", "uid"), "near")
 
     sizes = near.groupBy("component").agg(F.count(F.lit(1)).alias("size")).select("component", "size", _parts(settings))

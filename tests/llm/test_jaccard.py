@@ -61,6 +61,15 @@ def test_components(spark):
     assert got == {**dict.fromkeys(range(51), 0), 100: 100, 101: 100, 200: 100}
 
 
+def test_hub_keeps_its_links_to_all_families(spark):
+    # a hub in a band of more than 33 parts: the leasts of one family, then one class of another
+    hub, family, other = 1000, list(range(40)), 500
+    links = [(a, hub) for a in (*family, other)] + [(other, 2000)]
+    moved = jaccard.to_least(spark.createDataFrame(links, "a long, b long"))
+    got = {r.node: r.component for r in components(moved, Scratch(spark, "test")).collect()}
+    assert got == dict.fromkeys([*family, other, hub, 2000], 0)
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = jaccard.similar(odd_docs).collect()
     assert len(rows) == 12
