@@ -4,7 +4,7 @@ The last two exist in two forms. ``how="array"`` works inside the row and moves
 ``how="join"`` gives what joining the elements back to the messages by id would: elements of
 messages that share an id meet every message with that id. The arrays of an id are united first,
 in one pass over its messages and with one shuffle for all attributes; what follows works inside
-the row again. Both give the same rows as long as ids are unique;
+the row again. ``how="none"`` is what it gives for messages without an id. Both give the same rows as long as ids are unique;
 :func:`msgmart.operators.increments.measure` tells.
 """
 
@@ -16,6 +16,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 ELEMENT = "element"
+ALONE = "without_id"
 
 
 def exploded(parents: DataFrame, array: Column | str, keep: Sequence[str]) -> DataFrame:
@@ -39,11 +40,20 @@ def child_rows(
 def united(parents: DataFrame, key: str, array: str, test: Callable[[Column], Column]) -> DataFrame:
     """Every message with the wanted elements of all messages that share its id.
 
-    A message without an id has none: a join would not find it.
+    A message without an id has none: a join would not find it. In the window each of these is a
+    group of its own, and its elements stay behind.
     """
-    wanted = F.filter(F.col(array), _matching(test))
-    all_of_id = F.flatten(F.collect_list(wanted).over(Window.partitionBy(key)))
-    return parents.withColumn(array, F.when(F.col(key).isNotNull(), all_of_id))
+    here = F.col(key).isNotNull()
+    wanted = F.when(here, F.filter(F.col(array), _matching(test)))
+    alone = F.when(~here, F.monotonically_increasing_id())
+    all_of_id = F.flatten(F.collect_list(array).over(Window.partitionBy(key, ALONE)))
+    frame = parents.withColumn(array, wanted).withColumn(ALONE, alone)
+    return frame.withColumn(array, F.when(here, all_of_id)).drop(ALONE)
+
+
+def emptied(parents: DataFrame, array: str) -> DataFrame:
+    """Every message without its elements, inside the row."""
+    return parents.withColumn(array, F.lit(None).cast(parents.schema[array].dataType))
 
 
 def _matching(test: Callable[[Column], Column]) -> Callable[[Column], Column]:
@@ -63,10 +73,12 @@ def matching_child(
     Several matches multiply the parent. The array column is dropped.
     """
     rest = [c for c in parents.columns if c != array]
-    if how not in ("array", "join"):
+    if how not in ("array", "join", "none"):
         raise ValueError(f"unknown form {how!r}")
     if how == "join":
         parents = united(parents, key, array, test)
+    if how == "none":
+        parents = emptied(parents, array)
     hits = F.filter(F.col(array), _matching(test))
     frame = parents.select(*rest, F.explode_outer(hits).alias(ELEMENT))
     return frame.select(*rest, *[get(F.col(ELEMENT)).alias(name) for name, get in fields.items()])
@@ -90,11 +102,13 @@ def attributes(
     def shaped(column: str, value: Column) -> Column:
         return convert[column](value) if column in convert else value
 
-    if how not in ("array", "join"):
+    if how not in ("array", "join", "none"):
         raise ValueError(f"unknown form {how!r}")
     if how == "join":
         names = list(wanted.values())
         parents = united(parents, key, array, lambda element: element["name"].isin(names))
+    if how == "none":
+        parents = emptied(parents, array)
     hits = [
         F.filter(F.col(array), _matching(_named(name))).alias(f"hits_{column}")
         for column, name in wanted.items()

@@ -147,13 +147,18 @@ class JobSpec:
     ) -> DataFrame:
         """The main frame where the ids in ``repeated`` (``repeated_id``) occur more than once.
 
-        Only their messages meet each other; all others are worked on inside the row.
+        Only their messages meet each other; all others are worked on inside the row, those
+        without an id outside both joins, which would deal them all to one task.
         """
-        same = F.col("acl_id").eqNullSafe(F.col("repeated_id"))
-        once = messages.join(repeated, same, "left_anti")
-        several = messages.join(repeated, same, "left_semi")
-        return self.main(once, schema, "array", seen).unionByName(
-            self.main(several, schema, "join", seen)
+        same = F.col("acl_id") == F.col("repeated_id")
+        named = messages.filter(F.col("acl_id").isNotNull())
+        nameless = messages.filter(F.col("acl_id").isNull())
+        once = named.join(repeated, same, "left_anti")
+        several = named.join(repeated, same, "left_semi")
+        return (
+            self.main(once, schema, "array", seen)
+            .unionByName(self.main(several, schema, "join", seen))
+            .unionByName(self.main(nameless, schema, "none", seen))
         )
 
     def children_of(

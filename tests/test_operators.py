@@ -188,3 +188,17 @@ def test_measure_many_in_one_scan(lake):
         "b": increments.Increment(0, None),
     }
     assert increments.measure_many(lake, {}) == {}
+
+
+def test_messages_without_id_are_no_group_of_the_window(spark):
+    frame = spark.createDataFrame(
+        [("1", [("A", "a1")]), ("1", [("A", "a2")]), *[(None, [("A", "x")])] * 50],
+        "id string, pairs array<struct<name:string,value:string>>",
+    )
+    joined = arrays.attributes(frame, "id", "pairs", {"a": "A"}, how="join")
+    got = sorted((r.id or "", r.a or "") for r in joined.collect())
+    assert got == [("", "")] * 50 + [("1", "a1"), ("1", "a1"), ("1", "a2"), ("1", "a2")]
+    tree = joined._jdf.queryExecution().optimizedPlan().toString()
+    assert "without_id" in next(line for line in tree.split("\n") if "Window [" in line)
+    none = arrays.attributes(frame, "id", "pairs", {"a": "A"}, how="none")
+    assert {r.a for r in none.collect()} == {None}
