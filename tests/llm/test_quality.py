@@ -1,4 +1,7 @@
 import random
+import string
+
+import zstandard
 
 from msgmart.llm import quality
 
@@ -38,6 +41,32 @@ def test_bands_by_length():
     assert settings.within(50, 1.2) and not settings.within(50_000, 0.9) and not settings.within(50_000, 0.01)
 
 
+def in_words(letters, n, rng):
+    return " ".join("".join(rng.choices(letters, k=8)) for _ in range(n // 9 + 1))[:n]
+
+
+def test_noise_and_repetition_of_every_length_are_outside():
+    rng, settings, packer = random.Random(4), quality.Settings(), zstandard.ZstdCompressor(level=3)
+    for n in (250, 300, 499, 500, 800, 999, 3000, 20_000):
+        for letters in (string.printable[:94], string.ascii_letters + string.digits + "+/"):
+            ratio, chunks, outside = quality.ratios(in_words(letters, n, rng).encode(), settings, packer)
+            assert not settings.within(n, ratio) and outside == chunks
+        repeated, _, _ = quality.ratios(("the same again " * n)[:n].encode(), settings, packer)
+        clean, chunks, outside = quality.ratios(prose(n)[:n].encode(), settings, packer)
+        assert not settings.within(n, repeated) and settings.within(n, clean) and outside == 0
+
+
+def test_a_document_may_not_be_noise_or_repetition_in_part(spark):
+    rng = random.Random(4)
+    noise = [in_words(string.printable[:94], 4096, rng) for _ in range(5)]
+    clean = [prose(2000, k)[:4096] for k in range(15)]
+    texts = ["".join(clean[:10]), "".join(clean[:5] + noise), "".join(clean[:5] + ["the same again " * 1366]), "".join(clean + noise), in_words(string.printable[:94], 800, rng)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in quality.measure(docs).collect()}
+    assert not any(got[k].base_failed for k in (0, 1, 3, 4))
+    assert [got[k].kept for k in range(5)] == [True, False, False, False, False]
+
+
 def test_odd_rows(odd_docs, no_docs):
     rows = quality.measure(odd_docs).collect()
     assert len(rows) == 12
