@@ -71,12 +71,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(labelled: DataFrame, per_language: int = 2000, languages: int = 200) -> Model:
-    """Learns from `labelled` (doc_id, text, lang): about `per_language` rows of each of the `languages` most frequent values of lang.
+    """Learns from `labelled` (doc_id, text, lang): about `per_language` rows of each value of lang.
 
-    Both are the documented bound of the sample. It is chosen by a hash of the id, whatever the order of rows.
+    The sample is chosen by a hash of the id, whatever the order of rows. More values of lang than `languages`, for which the model has room, are an error.
     """
     known = labelled.where("lang is not null and text is not null")
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).orderBy(F.desc("rows"), "lang").limit(languages).toArrow().to_pylist()
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).limit(languages + 1).toArrow().to_pylist()
+    if len(sizes) > languages:
+        raise ValueError(f"lang has more than {languages} values; none of them is left out, so train() needs a larger `languages`")
     if not sizes:
         return Model([], np.zeros((BUCKETS, 0), np.float32))
     share = F.create_map(*[F.lit(x) for s in sizes for x in (s["lang"], min(1.0, per_language / s["rows"]))])

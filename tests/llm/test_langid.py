@@ -1,6 +1,7 @@
 import zlib
 
 import numpy as np
+import pytest
 
 from msgmart.llm import langid
 
@@ -59,3 +60,10 @@ def test_odd_rows(spark, odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, k) for k in (1, 2, 3, 7, 8, 9, 9)] + [(True, 0)]
     assert langid.predict(no_docs, model, ["doc_id"]).collect() == [] and langid.train(no_docs).languages == []
+
+
+def test_no_language_is_left_out(spark):
+    docs = spark.createDataFrame([(k, f"text number {x}", f"l{x}") for k, x in enumerate("aabbc")], "doc_id long, text string, lang string")
+    assert langid.train(docs, languages=3).languages == ["la", "lb", "lc"]
+    with pytest.raises(ValueError, match="more than 2"):
+        langid.train(docs, languages=2)
