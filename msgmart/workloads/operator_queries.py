@@ -6,8 +6,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import jsontext, maps, timeparse
-from ..operators import arrays, increments, latest, payload
+from ..operators import arrays, increments, latest, payload, ranks
 from ..plans.control import mark_of, marks
+from ..session import scratch_folder
 from ..sources import envelope, schema
 from . import lake
 from .registry import query, time_text
@@ -490,6 +491,19 @@ def ranked_versions(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+ALL_RANKS_SQL = """
+    SELECT user_id, event_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S.%g') AS ts_text,
+           row_number() OVER (PARTITION BY user_id ORDER BY ts DESC, event_id DESC) AS rnk FROM events"""
+
+
+@query("all_ranks", ALL_RANKS_SQL)
+def all_ranks(spark: SparkSession, folder: str) -> DataFrame:
+    """Every event of every user with its rank, newest first."""
+    order = [F.col("ts").desc(), F.col("event_id").desc()]
+    versions = _versions(spark, folder)
+    return _latest_text(ranks.numbered(versions, ["user_id"], order, scratch_folder(spark, "ranks")))
+
+
 # -- scalar functions --------------------------------------------------------------------------
 
 
