@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from msgmart.llm import bytebpe, chat, exact, jaccard, langid, packing, pii, quality, substring, warc
+from msgmart.llm import bytebpe, chat, exact, jaccard, langid, packing, pii, quality, substring, urls, warc
 from msgmart.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -148,3 +148,24 @@ def op10_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "warc")
     warc.write(table(spark, sf_dir, "pages").select("page_id", "url", "html"), scratch.path("archives"), scratch)
     return warc.read(spark, scratch.path("archives")).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+#: Host, start of the path, verdict.
+URL_RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+URL_SQL = rf"""
+WITH u AS (SELECT page_id, regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)([^?#]*)', ['host', 'path']) AS parts FROM pages),
+p AS (SELECT page_id, translate(parts.host, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host, parts.path AS path FROM u),
+r(rule_host, rule_path, verdict) AS (VALUES {", ".join(map(str, URL_RULES))}),
+f AS (SELECT page_id, host, path, rule_host || rule_path AS rule, verdict FROM p
+      LEFT JOIN r ON (host = rule_host OR ends_with(host, '.' || rule_host)) AND starts_with(path, rule_path))
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict FROM f
+QUALIFY row_number() OVER (PARTITION BY page_id ORDER BY length(rule) DESC NULLS LAST) = 1
+"""
+
+
+@query(URL_SQL)
+def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scratch = Scratch(spark, "urls")
+    index = urls.build(spark.createDataFrame(URL_RULES, "host string, path string, verdict string"), scratch)
+    return urls.judge(table(spark, sf_dir, "pages"), index, scratch, ["page_id"])
