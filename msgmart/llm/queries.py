@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from msgmart.llm import bytebpe, chat, exact, jaccard, langid, packing, pii, quality, substring, urls, warc
+from msgmart.llm import bytebpe, chat, exact, jaccard, langid, merkle, packing, pii, quality, substring, urls, warc
 from msgmart.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -169,3 +169,50 @@ def op11_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     scratch = Scratch(spark, "urls")
     index = urls.build(spark.createDataFrame(URL_RULES, "host string, path string, verdict string"), scratch)
     return urls.judge(table(spark, sf_dir, "pages"), index, scratch, ["page_id"])
+
+
+#: CRC-32 of a short ASCII text, bit by bit.
+CRC_SQL = """
+crc_table AS (SELECT list(v ORDER BY b) AS t FROM (SELECT b, list_reduce(list_prepend(b, range(8)), lambda c, k: xor(c >> 1, 3988292384 * (c & 1))) AS v FROM range(256) r(b)))
+"""
+CRC_OF = "xor(list_reduce(list_prepend(4294967295, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))), lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1])), 4294967295)"
+
+MERKLE_SQL = rf"""
+WITH RECURSIVE {CRC_SQL},
+d AS (SELECT *, {CRC_OF.format("doc_id")} % 5 = 0 AS hit FROM documents, crc_table),
+a AS (SELECT *, CASE WHEN hit THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END AS changed FROM d),
+f AS (SELECT *, {" || ".join(f"coalesce(octet_length(encode(CAST({c} AS VARCHAR))) || ':' || {c}, '-')" for c in ("doc_id", "source", "lang", "n_chars"))} AS head FROM a),
+l AS (SELECT doc_id, CASE WHEN source IS NULL THEN '0' ELSE '1' || source END AS tree, sha256(head || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+        sha256(head || coalesce(octet_length(encode(changed)) || ':' || changed, '-')) AS altered FROM f),
+p AS (SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id) - 1 AS place, count(*) OVER (PARTITION BY tree) AS n FROM l),
+low(level, tree, place, n, digest) AS (
+  SELECT 0, tree, place, n, leaf FROM p UNION ALL
+  SELECT level + 1, tree, place // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY place)) FROM low WHERE n > 1 GROUP BY level, tree, place // 16, n),
+s AS (SELECT tree, digest, row_number() OVER (ORDER BY encode(tree)) - 1 AS place, count(*) OVER () AS n FROM low WHERE n = 1),
+top(level, place, n, digest) AS (
+  SELECT 0, place, n, digest FROM s UNION ALL
+  SELECT level + 1, place // 16, (n + 15) // 16, sha256(string_agg(digest, '' ORDER BY place)) FROM top WHERE n > 1 GROUP BY level, place // 16, n),
+around AS (
+  SELECT x.level, x.tree, x.place, coalesce(string_agg(y.digest, '' ORDER BY y.place) FILTER (y.place < x.place), '') AS before, coalesce(string_agg(y.digest, '' ORDER BY y.place) FILTER (y.place > x.place), '') AS behind
+  FROM low x JOIN low y ON x.level = y.level AND x.tree = y.tree AND x.place // 16 = y.place // 16 WHERE x.n > 1 GROUP BY ALL),
+above AS (
+  SELECT x.level, x.place, coalesce(string_agg(y.digest, '' ORDER BY y.place) FILTER (y.place < x.place), '') AS before, coalesce(string_agg(y.digest, '' ORDER BY y.place) FILTER (y.place > x.place), '') AS behind
+  FROM top x JOIN top y ON x.level = y.level AND x.place // 16 = y.place // 16 WHERE x.n > 1 GROUP BY ALL),
+up(doc_id, level, tree, place, n, proof, folded) AS (
+  SELECT doc_id, 0, tree, place, n, '', altered FROM p UNION ALL
+  SELECT doc_id, up.level + 1, tree, place // 16, (n + 15) // 16, proof || before || behind, sha256(before || folded || behind) FROM up JOIN around USING (level, tree, place) WHERE n > 1),
+over_(doc_id, level, place, n, proof, folded) AS (
+  SELECT up.doc_id, 0, s.place, s.n, proof, folded FROM up JOIN s USING (tree) WHERE up.n = 1 UNION ALL
+  SELECT doc_id, over_.level + 1, place // 16, (n + 15) // 16, proof || before || behind, sha256(before || folded || behind) FROM over_ JOIN above USING (level, place) WHERE n > 1)
+SELECT p.doc_id, p.leaf, s.digest AS subroot, r.digest AS root, sha256(o.proof) AS proof_sha256, o.folded AS folded_root, o.folded = r.digest AS verified
+FROM p JOIN s USING (tree) JOIN over_ o ON o.doc_id = p.doc_id AND o.n = 1, (SELECT digest FROM top WHERE n = 1) r
+"""
+
+
+@query(MERKLE_SQL)
+def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select(*merkle.FIELDS)
+    hit = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    found = merkle.manifest(docs, Scratch(spark, "merkle"), altered={"text": F.translate("text", urls.UPPER, urls.LOWER)}, hit=hit)
+    folded = merkle.folded(F.col("altered"), F.col("path"))
+    return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
