@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from msgmart.llm import bytebpe, chat, exact, jaccard, langid, merkle, packing, pii, quality, substring, urls, warc
+from msgmart.llm import bytebpe, chat, exact, jaccard, langid, merkle, packing, pii, quality, substring, trie, urls, warc
 from msgmart.llm.scratch import Scratch
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -216,3 +216,26 @@ def op12_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = merkle.manifest(docs, Scratch(spark, "merkle"), altered={"text": F.translate("text", urls.UPPER, urls.LOWER)}, hit=hit)
     folded = merkle.folded(F.col("altered"), F.col("path"))
     return found.select(F.col("id").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"), folded.alias("folded_root"), (folded == F.col("root")).alias("verified"))
+
+
+TRIE_SQL = rf"""
+WITH {CRC_SQL},
+t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), sha256(coalesce(text, ''))) AS p
+      FROM conversations WHERE conv_id IS NOT NULL),
+c AS (SELECT conv_id, n, {CRC_OF.format("conv_id")} % 9 AS h, conv_id - conv_id % 5 AS base FROM (SELECT conv_id, max(p) AS n FROM t GROUP BY conv_id), crc_table),
+s AS (SELECT c.*, least(c.h, coalesce(b.n, 0)) AS taken FROM c LEFT JOIN c b ON b.conv_id = c.base),
+r AS (SELECT s.conv_id, p - h + taken AS pos, role, text FROM s JOIN t USING (conv_id) WHERE p > h UNION ALL SELECT s.conv_id, p, role, text FROM s JOIN t ON t.conv_id = base AND p <= taken),
+w AS (SELECT conv_id, pos, octet_length(encode(text)) AS bytes, list(sha256(length(role) || ':' || role || text)) OVER (PARTITION BY conv_id ORDER BY pos) AS k FROM r UNION ALL SELECT conv_id, 0, 0, [] FROM s),
+m AS (SELECT conv_id, max(pos) AS last FROM w GROUP BY conv_id),
+n AS (SELECT k, min(conv_id) AS owner, count(*) AS n_convs, max(bytes) AS bytes, max(pos) AS depth, string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (pos = last) AS ends FROM w JOIN m USING (conv_id) GROUP BY k),
+ch AS (SELECT k[:-2] AS k, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY 1),
+v AS (SELECT n.*, coalesce(n_children, 0) AS n_children FROM n LEFT JOIN ch USING (k)),
+sub AS (SELECT k[:d] AS k, sum(CAST(n_children = 0 AS BIGINT)) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens FROM v, LATERAL (SELECT unnest(range(0, depth + 1)) AS d) x GROUP BY 1)
+SELECT v.owner AS conv_id, v.depth, u.owner AS parent_conv_id, v.n_convs, v.n_children, CAST(n_leaves AS BIGINT) AS n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(coalesce(v.ends, '')) AS ends_sha256
+FROM v JOIN sub USING (k) LEFT JOIN n u ON v.depth > 0 AND u.k = v.k[:-2]
+"""
+
+
+@query(TRIE_SQL)
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return trie.trie(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"), Scratch(spark, "trie"))

@@ -28,7 +28,7 @@ def docs(con):
 
 
 def test_all_are_registered():
-    assert {x.split("_")[0] for x in queries.QUERIES} == {f"op{k}" for k in range(1, 11)}
+    assert {x.split("_")[0] for x in queries.QUERIES} == {f"op{k}" for k in range(1, 14)}
     assert set(queries.QUERIES) | {"pipeline"} <= set(entry.queries())
 
 
