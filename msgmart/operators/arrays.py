@@ -1,22 +1,28 @@
 """Arrays inside a message: child rows, the matching element, name/value pairs as columns.
 
-The last two exist in two forms. ``how="array"`` works inside the row and moves no data.
+The last two exist in several forms. ``how="array"`` works inside the row and moves no data.
 ``how="join"`` gives what joining the elements back to the messages by id would: elements of
-messages that share an id meet every message with that id. The arrays of an id are united first,
-in one pass over its messages and with one shuffle for all attributes; what follows works inside
-the row again. ``how="none"`` is what it gives for messages without an id. Both give the same rows as long as ids are unique;
-:func:`msgmart.operators.increments.measure` tells.
+messages that share an id meet every message with that id. The wanted elements of an id are united
+first, with one aggregate and one join for all attributes; what follows works inside the row again.
+An id of more than ``BLOCK`` messages isn't united: its messages and its elements meet in blocks (see
+:mod:`msgmart.operators.meeting`); one look at the ids tells whether there are such.
+``how="few"`` is the join where that is known not to be so.
+``how="none"`` is what it gives for messages without an id. All give the same rows as long as ids are
+unique; :func:`msgmart.operators.increments.measure` tells.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .meeting import BLOCK, any_busy, met, of_busy, of_few, salted, sizes_of_busy
+from .ranks import free_name
+
 ELEMENT = "element"
-ALONE = "without_id"
+FORMS = ("array", "join", "few", "none")
 
 
 def exploded(parents: DataFrame, array: Column | str, keep: Sequence[str]) -> DataFrame:
@@ -38,17 +44,13 @@ def child_rows(
 
 
 def united(parents: DataFrame, key: str, array: str, test: Callable[[Column], Column]) -> DataFrame:
-    """Every message with the wanted elements of all messages that share its id.
-
-    A message without an id has none: a join would not find it. In the window each of these is a
-    group of its own, and its elements stay behind.
-    """
-    here = F.col(key).isNotNull()
-    wanted = F.when(here, F.filter(F.col(array), _matching(test)))
-    alone = F.when(~here, F.monotonically_increasing_id())
-    all_of_id = F.flatten(F.collect_list(array).over(Window.partitionBy(key, ALONE)))
-    frame = parents.withColumn(array, wanted).withColumn(ALONE, alone)
-    return frame.withColumn(array, F.when(here, all_of_id)).drop(ALONE)
+    """Every message with the wanted elements of all messages that share its id; none without an id."""
+    named = parents.where(F.col(key).isNotNull())
+    wanted = named.select(F.col(key).alias("of_id"), F.filter(F.col(array), _matching(test)).alias("wanted"))
+    wanted = wanted.where(F.size("wanted") > 0).groupBy("of_id").agg(F.flatten(F.collect_list("wanted")).alias("wanted"))
+    both = named.join(wanted, F.col(key) == F.col("of_id"), "left")
+    rest = [F.col("wanted").alias(c) if c == array else F.col(f"`{c}`") for c in parents.columns]
+    return both.select(*rest).unionByName(emptied(parents.where(F.col(key).isNull()), array))
 
 
 def emptied(parents: DataFrame, array: str) -> DataFrame:
@@ -67,21 +69,38 @@ def matching_child(
     test: Callable[[Column], Column],
     fields: Mapping[str, Callable[[Column], Column]],
     how: str = "array",
+    block: int = BLOCK,
 ) -> DataFrame:
     """Every parent with the fields of its matching elements, or nulls where none matches.
 
     Several matches multiply the parent. The array column is dropped.
     """
     rest = [c for c in parents.columns if c != array]
-    if how not in ("array", "join", "none"):
-        raise ValueError(f"unknown form {how!r}")
-    if how == "join":
+    _check(how)
+
+    def inside(frame: DataFrame) -> DataFrame:
+        hits = F.filter(F.col(array), _matching(test))
+        return shaped(frame.select(*rest, F.explode_outer(hits).alias(ELEMENT)))
+
+    def shaped(frame: DataFrame) -> DataFrame:
+        return frame.select(*rest, *[get(F.col(ELEMENT)).alias(name) for name, get in fields.items()])
+
+    def blocks() -> DataFrame:
+        found = F.filter(F.col(array), _matching(test))
+        salt = free_name("salt", parents.columns)
+        sizes, spread = sizes_of_busy(parents, key, block, [found]), salted(parents, salt)
+        elements = of_busy(_elements(spread, key, found, ELEMENT, salt), key, sizes)
+        rows = of_busy(spread.select(*rest, salt), key, sizes)
+        return shaped(met(rows, elements, key, salt, F.col("n"), F.col("n0"), ELEMENT, block))
+
+    if how == "join" and any_busy(parents, key, block):
+        few = inside(united(of_few(parents, key, block), key, array, test))
+        return few.unionByName(blocks())
+    if how in ("join", "few"):
         parents = united(parents, key, array, test)
     if how == "none":
         parents = emptied(parents, array)
-    hits = F.filter(F.col(array), _matching(test))
-    frame = parents.select(*rest, F.explode_outer(hits).alias(ELEMENT))
-    return frame.select(*rest, *[get(F.col(ELEMENT)).alias(name) for name, get in fields.items()])
+    return inside(parents)
 
 
 def attributes(
@@ -91,6 +110,7 @@ def attributes(
     wanted: Mapping[str, str],
     convert: Mapping[str, Callable[[Column], Column]] | None = None,
     how: str = "array",
+    block: int = BLOCK,
 ) -> DataFrame:
     """Name/value pairs of an array as columns, ``{column: attribute name}``.
 
@@ -98,31 +118,60 @@ def attributes(
     """
     convert = convert or {}
     rest = [c for c in parents.columns if c != array]
+    names = list(wanted.values())
+    _check(how)
 
     def shaped(column: str, value: Column) -> Column:
         return convert[column](value) if column in convert else value
 
-    if how not in ("array", "join", "none"):
-        raise ValueError(f"unknown form {how!r}")
-    if how == "join":
-        names = list(wanted.values())
-        parents = united(parents, key, array, lambda element: element["name"].isin(names))
+    def any_wanted(element: Column) -> Column:
+        return element["name"].isin(names)
+
+    def inside(frame: DataFrame) -> DataFrame:
+        hits = [F.filter(F.col(array), _matching(_named(name))).alias(f"hits_{column}") for column, name in wanted.items()]
+        frame = frame.select(*rest, *hits)
+        done = list(rest)
+        waiting = [f"hits_{column}" for column in wanted]
+        for column in wanted:
+            hit = waiting.pop(0)
+            frame = frame.select(*done, *waiting, F.explode_outer(hit).alias(ELEMENT)).select(
+                *done, *waiting, shaped(column, F.col(ELEMENT)["value"]).alias(column)
+            )
+            done.append(column)
+        return frame.select(*rest, *wanted)
+
+    def blocks() -> DataFrame:
+        """One join after the other; how many rows an id has before each follows from its counts."""
+        hits = [F.filter(F.col(array), _matching(_named(name))) for name in names]
+        salt = free_name("salt", parents.columns)
+        sizes, spread = sizes_of_busy(parents, key, block, hits), salted(parents, salt)
+        frame, n_rows = of_busy(spread.select(*rest, salt), key, sizes), F.col("n")
+        for i, (column, found) in enumerate(zip(wanted, hits, strict=True)):
+            elements = of_busy(_elements(spread, key, found, ELEMENT, salt), key, sizes)
+            frame = met(frame, elements, key, salt, n_rows, F.col(f"n{i}"), ELEMENT, block)
+            frame = frame.withColumn(column, shaped(column, F.col(ELEMENT)["value"])).drop(ELEMENT)
+            n_rows = n_rows * F.greatest(F.col(f"n{i}"), F.lit(1))
+        return frame.select(*rest, *wanted)
+
+    if how == "join" and any_busy(parents, key, block):
+        few = inside(united(of_few(parents, key, block), key, array, any_wanted))
+        return few.unionByName(blocks())
+    if how in ("join", "few"):
+        parents = united(parents, key, array, any_wanted)
     if how == "none":
         parents = emptied(parents, array)
-    hits = [
-        F.filter(F.col(array), _matching(_named(name))).alias(f"hits_{column}")
-        for column, name in wanted.items()
-    ]
-    frame = parents.select(*rest, *hits)
-    done = list(rest)
-    waiting = [f"hits_{column}" for column in wanted]
-    for column in wanted:
-        hit = waiting.pop(0)
-        frame = frame.select(*done, *waiting, F.explode_outer(hit).alias(ELEMENT)).select(
-            *done, *waiting, shaped(column, F.col(ELEMENT)["value"]).alias(column)
-        )
-        done.append(column)
-    return frame.select(*rest, *wanted)
+    return inside(parents)
+
+
+def _check(how: str) -> None:
+    if how not in FORMS:
+        raise ValueError(f"unknown form {how!r}")
+
+
+def _elements(frame: DataFrame, key: str, hits: Column, name: str, salt: str) -> DataFrame:
+    """Elements as rows, each with a salt of its own."""
+    each = frame.select(key, F.posexplode(hits).alias("at", name), salt)
+    return each.select(key, name, F.xxhash64(salt, "at").alias(salt))
 
 
 def _named(name: str) -> Callable[[Column], Column]:

@@ -29,10 +29,6 @@ class MissingMark(RuntimeError):
     """An incremental job has no row in the tracking table."""
 
 
-class TooManyRepeats(RuntimeError):
-    """So many messages share an id that joining their elements would not end."""
-
-
 @dataclass(frozen=True)
 class Result:
     process: str
@@ -55,8 +51,6 @@ class Options:
     ``refresh``  ``full`` recomputes a snapshot from all messages, ``merge`` brings the stored
                  snapshot up to date with the new ones.
     ``rebalance`` evens out the sizes of the written files at the price of a shuffle.
-    ``repeats``  how many messages may share an id where their elements meet each other. More is an
-                 error, before anything is written.
     ``months``   the message table has the month of each load stamp as ``acl_dop_yyyymm``.
     """
 
@@ -64,7 +58,6 @@ class Options:
     how: str = "auto"
     refresh: str = "full"
     rebalance: bool = False
-    repeats: int = 10_000
     months: bool = False
 
 
@@ -119,7 +112,6 @@ class Runner:
             if found.rows == 0:
                 self.log_end(spec, ())
                 return Result(spec.process, 0, low, None, ())
-            self.check_repeats(found, key)
             new = between_marks(messages, low, found.high, tracked, self.options.months)
             schema, seen = self.schema(spec, messages, new)
             if spec.full_recompute:
@@ -128,7 +120,7 @@ class Runner:
             else:
                 repeated = increments.repeated_of(ids, key) if found.repeated else None
                 self.control.begin(spec.process, mark.value)
-                written = self.write(spec, new, schema, seen, repeated, low if again else None, tracked)
+                written = self.write(spec, new, schema, seen, repeated, low if again else None, tracked, found.most)
         if mark.value is None or found.high > mark.value:
             self.control.advance(spec.process, spec.source, found.high, tracked)
         self.control.finish(spec.process)
@@ -213,12 +205,6 @@ class Runner:
         self.core.replace_partitions(row, SCHEMAS, ["etl_process_name"])
         return schema
 
-    def check_repeats(self, found: Increment, key: str | None) -> None:
-        if key is not None and (found.most or 0) > self.options.repeats:
-            raise TooManyRepeats(
-                f"{found.most} messages share one {key}; {found.repeated} ids occur more than once"
-            )
-
     def key(self, spec: JobSpec) -> str | None:
         """The id whose repetition decides the form of the array operators."""
         return "acl_id" if spec.spread is not None and self.options.how == "auto" else None
@@ -231,9 +217,10 @@ class Runner:
         schema: StructType | None,
         seen: StructType | None,
         repeated: DataFrame | None,
+        most: int | None = None,
     ) -> Iterator[DataFrame]:
         if repeated is not None:
-            main = spec.main_split(new, repeated, schema, seen)
+            main = spec.main_split(new, repeated, schema, seen, most)
         else:
             how = "array" if self.options.how == "auto" else self.options.how
             main = spec.main(new, schema, how, seen)
@@ -264,13 +251,14 @@ class Runner:
         repeated: DataFrame | None,
         resume_from: str | None,
         tracked: str = "acl_dop",
+        most: int | None = None,
     ) -> tuple[str, ...]:
         """Append the outputs of new messages: the main target, then its children.
 
         With ``resume_from`` the targets may hold some of them already, from that stamp on.
         """
         written = []
-        with self._main(spec, new, schema, seen, repeated) as main:
+        with self._main(spec, new, schema, seen, repeated, most) as main:
             frames = {
                 spec.target: self._typed(spec, main),
                 **spec.children_of(main, schema, seen),

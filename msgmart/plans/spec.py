@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from ..operators import arrays, latest
+from ..operators import arrays, latest, meeting
 from ..operators.payload import PARSED, Payload, parse, parsed_text
 from ..sources.envelope import of_kind
 from ..sources.schema import (
@@ -144,12 +144,15 @@ class JobSpec:
         repeated: DataFrame,
         schema: StructType | None = None,
         seen: StructType | None = None,
+        most: int | None = None,
     ) -> DataFrame:
         """The main frame where the ids in ``repeated`` (``repeated_id``) occur more than once.
 
         Only their messages meet each other; all others are worked on inside the row, those
-        without an id outside both joins, which would deal them all to one task.
+        without an id outside both joins, which would deal them all to one task. ``most``, how
+        often the most frequent id occurs, spares a look for ids of very many messages.
         """
+        how = "few" if most is not None and most <= meeting.BLOCK else "join"
         same = F.col("acl_id") == F.col("repeated_id")
         named = messages.filter(F.col("acl_id").isNotNull())
         nameless = messages.filter(F.col("acl_id").isNull())
@@ -157,7 +160,7 @@ class JobSpec:
         several = named.join(repeated, same, "left_semi")
         return (
             self.main(once, schema, "array", seen)
-            .unionByName(self.main(several, schema, "join", seen))
+            .unionByName(self.main(several, schema, how, seen))
             .unionByName(self.main(nameless, schema, "none", seen))
         )
 

@@ -55,14 +55,13 @@ def follow(
         runner.log_start(spec, found, None)
         written: tuple[str, ...] = ()
         if found.rows:
-            runner.check_repeats(found, key)
             again = runner.control.begun(spec.process, token)
             resume_from = _just_before(batch) if again else None
             runner.control.begin(spec.process, token)
             schema, seen = runner.schema(spec, batch, batch)
             ids = increments.per_id(batch, key or "acl_id", "acl_dop")
             repeated = increments.repeated_of(ids, key) if found.repeated else None
-            written = runner.write(spec, batch, schema, seen, repeated, resume_from)
+            written = runner.write(spec, batch, schema, seen, repeated, resume_from, most=found.most)
             runner.control.finish(spec.process)
         runner.log_end(spec, written)
 

@@ -29,8 +29,10 @@ def job_frame(
     schema = spec.inferred(messages) if inferred else None
     seen = None if inferred else spec.seen(messages)
     ids = increments.per_id(messages, "acl_id", "acl_dop")
-    if spec.spread is not None and increments.measure_ids(ids, "acl_id").repeated:
-        return as_text(spec.main_split(messages, increments.repeated_of(ids, "acl_id"), schema, seen))
+    found = increments.measure_ids(ids, "acl_id") if spec.spread is not None else None
+    if found is not None and found.repeated:
+        repeated = increments.repeated_of(ids, "acl_id")
+        return as_text(spec.main_split(messages, repeated, schema, seen, found.most))
     return as_text(spec.outputs(messages, schema, seen=seen)[table or spec.target])
 
 

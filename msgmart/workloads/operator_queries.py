@@ -435,6 +435,28 @@ def attributes_array(spark: SparkSession, folder: str) -> DataFrame:
     return _attributes(spark, folder, "array")
 
 
+HOT = "CASE WHEN o_orderkey % 3 = 0 THEN 'hot' ELSE CAST(o_orderkey AS VARCHAR) END"
+
+
+@query(
+    "attributes_hot_id",
+    f"""WITH m AS (SELECT {HOT} AS acl_id, o_orderkey % 3 <> 0 OR o_orderkey < 10 AS told, o_custkey, o_orderstatus, o_orderkey FROM orders),
+        customer AS (SELECT acl_id, CAST(o_custkey AS VARCHAR) AS customer FROM m WHERE told), status AS (SELECT acl_id, o_orderstatus FROM m WHERE told AND o_orderkey % 2 = 0)
+        SELECT m.acl_id, c.customer, s.o_orderstatus AS status
+        FROM m LEFT JOIN customer c ON c.acl_id = m.acl_id LEFT JOIN status s ON s.acl_id = m.acl_id""",
+)
+def attributes_hot_id(spark: SparkSession, folder: str) -> DataFrame:
+    """A third of all messages share one id and meet the attributes that some of them have."""
+    key = F.col("o_orderkey")
+    told = (key % 3 != 0) | (key < 10)
+    pair = lambda name, value: F.struct(F.lit(name).alias("name"), F.col(value).cast("string").alias("value"))
+    pairs = F.when(told & (key % 2 == 0), F.array(pair("customer", "o_custkey"), pair("status", "o_orderstatus")))
+    pairs = pairs.when(told, F.array(pair("customer", "o_custkey")))
+    ids = F.when(key % 3 == 0, "hot").otherwise(key.cast("string"))
+    orders = lake.table(spark, folder, "orders").select(ids.alias("acl_id"), pairs.alias("pairs"))
+    return arrays.attributes(orders, "acl_id", "pairs", {"customer": "customer", "status": "status"}, how="join")
+
+
 @query(
     "attribute_pick",
     """SELECT CAST(l_orderkey AS VARCHAR) AS acl_id, CAST(l_suppkey AS VARCHAR) AS supplier FROM lineitem""",

@@ -6,10 +6,10 @@ import re
 
 import pytest
 
-from msgmart.operators import increments, latest
+from msgmart.operators import arrays, increments, latest
 from msgmart.plans import jobs
 from msgmart.plans.jobs.common import AVAILABILITY_MESSAGES, MESSAGES
-from msgmart.plans.runner import Options, Runner, TooManyRepeats
+from msgmart.plans.runner import Options, Runner
 from msgmart.session import setting
 from msgmart.sources.envelope import between_marks
 from msgmart.sources.tables import Tables
@@ -134,22 +134,26 @@ def test_split_moves_no_message_with_an_id_of_its_own(tables):
     spec = jobs.AVAILABILITY_V2
     new = new_messages(tables, spec)
     repeated = increments.repeated_of(increments.per_id(new, "acl_id", "acl_dop"), "acl_id")
-    with runner._main(spec, new, None, None, repeated) as main:
+    with runner._main(spec, new, None, None, repeated, most=2) as main:
         logical = main._jdf.queryExecution().analyzed().toString()
         assert "ResolvedHint" not in logical
         physical = plan(main)
-        assert physical.count("from_json") >= 2 and physical.count("LeftAnti") == physical.count("LeftSemi") == 1
+        assert physical.count("from_json") >= 2 and physical.count("LeftAnti") == 1 and "Window" not in physical
 
 
-def test_joined_attributes_take_one_shuffle(tables):
+def test_ids_of_few_messages_are_united_by_one_aggregate(tables):
     spec = jobs.AVAILABILITY_V2
-    physical = plan(spec.main(new_messages(tables, spec), how="join"))
-    assert physical.count("Exchange hashpartitioning") == 1
-    assert physical.count("FileScan") == 1 and "Join" not in physical
-
-
-def test_too_many_repeats_are_refused(tables):
-    runner = Runner(tables, tables, Options(repeats=5))
-    with pytest.raises(TooManyRepeats):
-        runner.check_repeats(increments.Increment(9, "1", 2, 6), "acl_id")
-    runner.check_repeats(increments.Increment(9, "1", 2, 5), "acl_id")
+    physical = plan(spec.main(new_messages(tables, spec), how="few"))
+    assert "collect_list" in physical and "Window" not in physical
+    assert physical.count("LeftOuter") == 1
+
+
+def test_no_window_by_id_and_no_gathering_of_busy_ids(tables, monkeypatch):
+    """What is united excludes ids of many messages; these meet their elements by id, part and piece."""
+    spec = jobs.SERVICE_ORDER
+    monkeypatch.setattr(arrays, "any_busy", lambda *_: True)
+    logical = spec.main(new_messages(tables, spec), how="join")._jdf.queryExecution().optimizedPlan().toString()
+    assert "Window" not in logical and "ResolvedHint" not in logical
+    gathered = logical[logical.index("collect_list") :].split("Union")[0]
+    assert "Join LeftAnti" in gathered and "> 1000" in logical
+    assert any("part" in line and "piece" in line for line in logical.splitlines() if "Join LeftOuter" in line)
