@@ -41,7 +41,7 @@ from msgmart.llm.components import components
 from msgmart.llm.scratch import Scratch
 from msgmart.llm.sieve import passes, sieve
 from msgmart.llm.skew import join_groups
-from msgmart.llm.texts import grouped, packed, row_numbers, scramble, signed, text_bytes, window_hashes, word_hashes
+from msgmart.llm.texts import grouped, own_names, packed, row_numbers, scramble, signed, text_bytes, window_hashes, word_hashes
 
 ROWS = 500
 
@@ -392,15 +392,16 @@ def similar(docs: DataFrame, settings: Settings = Settings(), scratch: Scratch |
 
 
 def keep_first(docs: DataFrame, settings: Settings = Settings(), scratch: Scratch | None = None) -> DataFrame:
-    """One row of each group of `docs`, with all its columns. Only rows that may have to go are shuffled."""
+    """One row of each group of `docs`, with all its columns, whatever their names. Only rows that may have to go are shuffled."""
     scratch = scratch or Scratch(docs.sparkSession, "jaccard")
+    names, docs = docs.columns, own_names(docs)
     rows = sign(docs, settings, scratch)
     gone = scratch.keep(classify(rows, settings, scratch).where("not first").select(F.col("uid").alias("_uid")), "gone")
     plain = rows.select(*docs.columns, "_uid", F.xxhash64("_uid").alias("_h"))
     filter_ = sieve(gone, F.xxhash64("_uid"))
     sure = plain.mapInArrow(_sorted_out(filter_, False), plain.schema)
     open_ = plain.mapInArrow(_sorted_out(filter_, True), plain.schema).join(gone, "_uid", "left_anti")
-    return sure.select(*docs.columns).unionByName(open_.select(*docs.columns))
+    return sure.select(*docs.columns).unionByName(open_.select(*docs.columns)).toDF(*names)
 
 
 def _sorted_out(filter_, wanted: bool):

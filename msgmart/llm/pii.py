@@ -39,7 +39,7 @@ from msgmart.llm import jaccard
 from msgmart.llm.scratch import Scratch
 from msgmart.llm.sieve import passes_one, sieve
 from msgmart.llm.skew import join_groups
-from msgmart.llm.texts import row_numbers
+from msgmart.llm.texts import own_names, row_numbers
 
 KINDS = ("email", "ip", "card", "phone")
 #: Spans of terms: replaced, deleted.
@@ -336,7 +336,9 @@ def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def sanitise(docs: DataFrame, settings: Settings = Settings(), scratch: Scratch | None = None) -> DataFrame:
     """`docs` with cleaned texts, and n_chars, where it is a column, of the texts as cleaned."""
+    names = docs.columns
+    docs = own_names(docs, ("doc_id", "text", "n_chars"))
     rows = annotate(docs, docs.columns, settings, scratch).drop("_base").mapInArrow(_clean, docs.schema)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
-    return rows.select(*docs.columns)
+    return rows.select(*docs.columns).toDF(*names)

@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+import ctypes
+import gc
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark import TaskContext
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -17,6 +19,14 @@ def text_bytes(name: str = "text") -> Column:
     return F.coalesce(F.col(name).cast("string"), F.lit("")).cast("binary").alias("text")
 
 
+def own_names(docs: DataFrame, read: Sequence[str] = ("doc_id", "text")) -> DataFrame:
+    """`docs` with neutral names for all columns but those `read`, so that none clashes with a helper's.
+
+    The order stays: `toDF` with the old names takes them back.
+    """
+    return docs.toDF(*(x if x in read else f"column{k}" for k, x in enumerate(docs.columns)))
+
+
 _held: dict = {}
 
 
@@ -27,6 +37,11 @@ def only_of_this_stage() -> None:
     if _held.get("stage") != stage:
         _held.clear()
         _held["stage"] = stage
+        gc.collect()
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+        if trim:
+            trim(0)
 
 
 def held(make: Callable, *arguments):

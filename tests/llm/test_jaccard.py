@@ -82,3 +82,13 @@ def test_odd_rows(odd_docs, no_docs):
     assert kept.columns == odd_docs.columns
     assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect()) == [(False, k) for k in (1, 4, 5, 6, 7, 9)] + [(True, 0)]
     assert jaccard.similar(no_docs).collect() == [] and jaccard.keep_first(no_docs).collect() == []
+
+
+def test_clashing_names_stay(odd_docs, no_docs):
+    """Columns named as the helpers' are kept as they are."""
+    clash = "*", "'u' AS _uid", "'t' AS _text", "'b' AS _bytes", "1 AS _h", "2 AS _fp", "'s' AS _spans", "3 AS _base"
+    got = jaccard.keep_first(odd_docs.selectExpr(*clash))
+    assert got.columns == [*odd_docs.columns, "_uid", "_text", "_bytes", "_h", "_fp", "_spans", "_base"]
+    rows = got.collect()
+    assert rows and {(r._uid, r._text, r._bytes, r._h, r._fp, r.uid) for r in rows} == {("u", "t", "b", 1, 2, "x")}
+    assert jaccard.keep_first(no_docs.selectExpr(*clash)).collect() == []

@@ -98,3 +98,13 @@ def test_copies_and_constant_sides_hide_nothing(spark):
 def test_short_and_distant_words_disclose(spark):
     got = among_others(spark, lambda some: [f"Ann {some(20)} boss@example.com {some(20)} kx7 {some(3)}" for _ in range(6)])
     assert all(x == {"Ann", "kx7"} for x in got.values())
+
+
+def test_clashing_names_stay(odd_docs, no_docs):
+    """Columns named as the helpers' are kept as they are."""
+    clash = "*", "'u' AS _uid", "'t' AS _text", "'b' AS _bytes", "1 AS _h", "2 AS _fp", "'s' AS _spans", "3 AS _base"
+    got = pii.sanitise(odd_docs.selectExpr(*clash))
+    assert got.columns == [*odd_docs.columns, "_uid", "_text", "_bytes", "_h", "_fp", "_spans", "_base"]
+    rows = got.collect()
+    assert rows and {(r._uid, r._text, r._bytes, r._h, r._fp, r.uid) for r in rows} == {("u", "t", "b", 1, 2, "x")}
+    assert pii.sanitise(no_docs.selectExpr(*clash)).collect() == []
