@@ -8,7 +8,7 @@
 
 Null texts count as empty; rows are told apart by a number of their own, so repeated rows and
 repeated or null ids are fine (a null id is larger than all others). An empty table gives an empty
-result. Other columns are neither read nor returned by `copies`, and kept by `drop_copies`.
+result; very long texts travel whole, where they are suspects. Other columns are neither read nor returned by `copies`, and kept by `drop_copies`.
 """
 
 from __future__ import annotations
@@ -27,8 +27,9 @@ from pyspark.sql import types as T
 
 from msgmart.llm import golomb
 from msgmart.llm.scratch import Scratch
+from msgmart.llm.sieve import passes, sieve
 from msgmart.llm.skew import join_groups
-from msgmart.llm.texts import row_numbers, signed, text_bytes
+from msgmart.llm.texts import only_of_this_stage, own_names, row_numbers, signed, text_bytes
 
 #: Deleted before texts are compared.
 BLANKS = b" \t\n\v\f\r"
@@ -38,8 +39,6 @@ CHUNK = 200_000
 ROWS = 500
 #: Fingerprints an owner gets, about.
 OWNED = 500_000
-#: Bits of the filter of suspects that every task gets: 8 MB, whatever the input. A full filter passes more texts to the grouping, never fewer.
-SIEVE_BITS = 26
 
 PRINTS = "kind int, uid long, doc_id long, chars long, fp long, sha binary, chunk long, owner int, rank int, message binary"
 REPLIES = "chunk long, owner int, bitmap array<long>"
@@ -136,37 +135,32 @@ def suspects(docs: DataFrame, scratch: Scratch) -> tuple[DataFrame, DataFrame]:
     return prints, scratch.keep(found, "suspects")
 
 
-def sieve(found: DataFrame):
-    """A broadcast filter of fixed size that no suspect's fingerprint fails."""
-    cells = found.select(F.shiftrightunsigned("fp", 64 - SIEVE_BITS).alias("cell"))
-    words = cells.groupBy(F.expr("cast(shiftright(cell, 6) as int)").alias("word")).agg(F.bit_or(F.expr("shiftleft(1L, cast(cell & 63 as int))")).alias("bits")).toArrow()
-    table = np.zeros(1 << (SIEVE_BITS - 6), dtype=np.int64)
-    table[words["word"].to_numpy()] = words["bits"].to_numpy()
-    return found.sparkSession.sparkContext.broadcast(np.unpackbits(table.view(np.uint8), bitorder="little"))
+def _sift(filter_, at: int, wanted: bool, number: bool = False):
+    """Rows whose text, column `at`, fails the filter; or, if `wanted`, those that pass.
 
-
-def _sift(filter_, wanted: bool, number: bool = False):
-    """Rows that pass the filter, with both hashes of the text (and a row number); or the rows that fail it.
-
-    The last column of a batch is the text's bytes; it is replaced by the text without blanks, or dropped where rows are numbered.
+    These come with both hashes of the text and a row number, or as the hashes and the text without blanks.
     """
-    shift = 64 - SIEVE_BITS
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, numbers = filter_.value, row_numbers()
+        only_of_this_stage()
+        bitmap, numbers = filter_.value, row_numbers()
         for batch in _slices(batches):
-            texts = [normal(x) for x in batch.column(batch.num_columns - 1).to_pylist()]
+            texts = [normal(x or b"") for x in batch.column(at).cast(pa.binary()).to_pylist()]
             fps = np.fromiter(map(_fingerprint, texts), dtype=np.uint64, count=len(texts))
-            hit = np.flatnonzero((cells[fps >> np.uint64(shift)] == 1) == wanted)
+            hit = np.flatnonzero(passes(bitmap, fps) == wanted)
             if not len(hit):
                 continue
-            columns, names = batch.take(pa.array(hit)).columns[:-1], batch.schema.names[:-1]
-            if wanted:
-                own = [texts[i] for i in hit]
-                columns += [pa.array(signed(fps[hit])), pa.array([hashlib.sha256(x).digest() for x in own], pa.binary())]
-                columns.append(pa.array([next(numbers) for _ in own], pa.int64()) if number else pa.array(own, pa.binary()))
-                names = [*names, "_fp", "_sha", "_uid" if number else "_text"]
-            yield pa.RecordBatch.from_arrays(columns, names=names)
+            if not wanted:
+                yield batch.take(pa.array(hit))
+                continue
+            own = [texts[i] for i in hit]
+            hashes = [pa.array(signed(fps[hit])), pa.array([hashlib.sha256(x).digest() for x in own], pa.binary())]
+            if number:
+                whole = batch.take(pa.array(hit))
+                last = pa.array([next(numbers) for _ in own], pa.int64())
+                yield pa.RecordBatch.from_arrays([*whole.columns, *hashes, last], names=[*whole.schema.names, "_fp", "_sha", "_uid"])
+            else:
+                yield pa.RecordBatch.from_arrays([*hashes, pa.array(own, pa.binary())], names=["_fp", "_sha", "_text"])
 
     return run
 
@@ -191,7 +185,7 @@ def copies(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
     """doc_id, keep_id, group_size, kept, text_sha256 for every row of `docs` (doc_id, text)."""
     scratch = scratch or Scratch(docs.sparkSession, "exact")
     prints, found = suspects(docs, scratch)
-    passed = docs.select(text_bytes()).mapInArrow(_sift(sieve(found), True), "_fp long, _sha binary, _text binary")
+    passed = docs.select(text_bytes()).mapInArrow(_sift(sieve(found, "fp"), 0, True), "_fp long, _sha binary, _text binary")
     groups = scratch.keep(verified(passed).join(_best(found), "sha"), "groups")
     total = prints.count()
     rows = join_groups(prints.select("uid", "doc_id", "sha"), groups, ["sha"], "members", total, "left")
@@ -206,16 +200,16 @@ def copies(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
 
 
 def drop_copies(docs: DataFrame, scratch: Scratch | None = None) -> DataFrame:
-    """The rows of `docs` that stay, with all their columns. Only suspects are shuffled."""
+    """The rows of `docs` that stay, with all their columns, whatever their names. Only suspects are shuffled."""
     scratch = scratch or Scratch(docs.sparkSession, "exact")
-    _, found = suspects(docs, scratch)
-    filter_ = sieve(found)
-    clear = docs.select("*", text_bytes().alias("_bytes")).mapInArrow(_sift(filter_, False), docs.schema)
+    plain = own_names(docs)
+    _, found = suspects(plain, scratch)
+    filter_, at = sieve(found, "fp"), plain.columns.index("text")
+    clear = plain.mapInArrow(_sift(filter_, at, False), plain.schema)
     fields = [T.StructField("_fp", T.LongType()), T.StructField("_sha", T.BinaryType()), T.StructField("_uid", T.LongType())]
-    rows = docs.select("*", text_bytes().alias("_bytes")).mapInArrow(_sift(filter_, True, number=True), T.StructType([*docs.schema.fields, *fields]))
-    rows = scratch.keep(rows, "rows")
+    rows = scratch.keep(plain.mapInArrow(_sift(filter_, at, True, number=True), T.StructType([*plain.schema.fields, *fields])), "rows")
     text = F.translate(F.coalesce("text", F.lit("")), BLANKS.decode(), "")
     groups = verified(rows.select("_fp", "_sha", text.alias("_text")))
     narrow = rows.select(F.col("_uid").alias("uid"), F.col("_sha").alias("sha"), F.coalesce(F.length("text"), F.lit(0)).alias("chars"), F.col("doc_id").cast("long").alias("doc_id"))
     best = _best(narrow).join(groups, "sha", "left").select(F.col("keep_uid").alias("_uid"))
-    return clear.unionByName(rows.join(best, "_uid", "left_semi").select(*docs.columns))
+    return clear.unionByName(rows.join(best, "_uid", "left_semi").select(*plain.columns)).toDF(*docs.columns)

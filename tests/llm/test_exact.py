@@ -47,3 +47,13 @@ def test_rows_that_stay(odd_docs):
 def test_empty(no_docs):
     assert exact.copies(no_docs).collect() == []
     assert exact.drop_copies(no_docs).collect() == []
+
+
+def test_clashing_names_stay(odd_docs, no_docs):
+    """Columns named as the helpers' are kept as they are."""
+    clash = "*", "'u' AS _uid", "'t' AS _text", "'b' AS _bytes", "1 AS _h", "2 AS _fp", "'s' AS _spans", "3 AS _base"
+    got = exact.drop_copies(odd_docs.selectExpr(*clash))
+    assert got.columns == [*odd_docs.columns, "_uid", "_text", "_bytes", "_h", "_fp", "_spans", "_base"]
+    rows = got.collect()
+    assert rows and {(r._uid, r._text, r._bytes, r._h, r._fp, r.uid) for r in rows} == {("u", "t", "b", 1, 2, "x")}
+    assert exact.drop_copies(no_docs.selectExpr(*clash)).collect() == []
