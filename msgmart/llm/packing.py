@@ -18,11 +18,10 @@ as rows of their own. An empty table gives an empty result; other columns are no
 
 from __future__ import annotations
 
+import itertools
 import math
-import operator
 import os
 import random
-import re
 import zlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -30,19 +29,23 @@ from dataclasses import dataclass
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from msgmart.llm.scratch import Scratch
-from msgmart.llm.texts import held, row_numbers
+from msgmart.llm.texts import held, packed, row_numbers
 
-#: Characters that some libraries count as white space and some do not; str.split() would lose them.
-ODD = re.compile("[" + "".join(map(chr, (*range(0x1C, 0x20), 0x85, 0xA0, 0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000))) + "]")
-PLAIN = re.compile(r"[^\x20\x09-\x0D]+")
-#: Words, and stems of words, of each of two generations whose ids a worker remembers, and the length up to which it does.
-REMEMBERED, WORD = 250_000, 100
-#: Marks that the tokenizer always parts from letters before them.
-MARKS = frozenset(",.;:!?|")
+#: Stems of words of each of two generations whose ids a worker remembers, and the length up to which it does.
+REMEMBERED, WORD = 500_000, 100
+#: Bytes of texts that are worked on together.
+SLICE = 16 << 20
+#: ASCII and Latin-1 letters, taken in lower case and as one run, and the marks behind them, another run.
+STEM_AND_MARKS = "^(?P<stem>[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[!-/:-@\\[-`{-~]*)$"
+#: Byte-level vocabularies write a byte that is no printable Latin-1 character as the next character from U+0100 on.
+PRINTABLE = {*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)}
+BYTES = {b: 0x100 + k for k, b in enumerate(x for x in range(256) if x not in PRINTABLE)}
+PROBES = ("the", "internationalisation", "straße", "élève", "àâîôûçñäöü", "qzxjv", "ÿ\u00aa")
 
 
 @dataclass(frozen=True)
@@ -64,83 +67,102 @@ class Words:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.words: dict[str, bytes] = {}
         self.stems: dict[str, bytes] = {}
         # what was known before the last time there was too much of it; what is used again comes back from there
-        self.old_words: dict[str, bytes] = {}
         self.old_stems: dict[str, bytes] = {}
-        vocabulary = self.tokenizer.get_vocab()
-        self.last = np.zeros(max(vocabulary.values()) + 1, bool)  # ids that end a run of letters or marks
-        self.last[[i for token, i in vocabulary.items() if token.endswith("</w>")]] = True
+        # a run of letters is one text for the merges; whether that holds for this tokenizer is tried out
+        self.direct = all(self.runs([x])[0] == self.whole([x])[0] for x in PROBES)
+
+    def whole(self, stems: list[str]) -> list[bytes]:
+        """The ids of each stem, as the tokenizer gives them."""
+        return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)]
+
+    def runs(self, stems: list[str]) -> list[bytes]:
+        """The same for stems of plain lower-case letters, by the merges alone."""
+        tokenize = self.tokenizer.model.tokenize
+        found = [[t.id for t in tokenize(x if x.isascii() else x.encode().decode("latin-1").translate(BYTES))] for x in stems]
+        data = np.fromiter(itertools.chain.from_iterable(found), "<u4").tobytes()
+        ends = [0, *(4 * np.cumsum([len(x) for x in found], dtype=np.int64)).tolist()]
+        return [data[a:b] for a, b in zip(ends, ends[1:], strict=False)]
 
     def encode(self, stems: list[str]) -> list[bytes]:
-        """The ids of each stem. Stems of letters go as one text: each ends with an id that ends it."""
-        joined = [x for x in stems if x.isalpha()]
-        texts = [" ".join(joined[k : k + 500]) for k in range(0, len(joined), 500)]
-        ids = np.concatenate([np.empty(0, "<u4"), *(np.array(x.ids, "<u4") for x in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False))])
-        ends = np.flatnonzero(self.last[ids]) + 1
-        if len(ends) != len(joined):
-            return [np.array(x.ids, "<u4").tobytes() for x in self.tokenizer.encode_batch_fast(stems, add_special_tokens=False)]
-        data, cuts = ids.tobytes(), [0, *(4 * ends).tolist()]
-        found = {x: data[a:b] for x, a, b in zip(joined, cuts, cuts[1:], strict=False)}
+        """The ids of each stem."""
+        letters = [x for x in stems if x.isalpha() and max(x) < "\u0100"] if self.direct else []
+        found = dict(zip(letters, self.runs(letters), strict=True))
         other = [x for x in stems if x not in found]
-        found.update((x, np.array(e.ids, "<u4").tobytes()) for x, e in zip(other, self.tokenizer.encode_batch_fast(other, add_special_tokens=False), strict=True))
+        found.update(zip(other, self.whole(other), strict=True))
         return [found[x] for x in stems]
 
-    @staticmethod
-    def recalled(wanted: set[str], known: dict[str, bytes], old: dict[str, bytes]) -> list[str]:
-        """Brings back what is wanted and was known before; gives what never was."""
-        missing = wanted.difference(known)
-        known.update((x, old[x]) for x in missing.intersection(old))
-        return list(missing.difference(known))
-
-    def learn(self, new: list[str]) -> None:
-        """Encodes words as a stem and a mark behind it. Stems of plain letters are in lower case, as the tokenizer takes them."""
-        parts: list[str] = []
-        marks: list[str] = []
-        for word in new:
-            stem, mark = (word[:-1], word[-1]) if word[-1] in MARKS else (word, "")
-            if stem.isalpha() and (stem.isascii() or max(stem) < "\u0100"):
-                parts.append(stem.lower())
-                marks.append(mark)
-            else:
-                parts.append(word)
-                marks.append("")
-        stems = self.recalled(set(parts).union(marks), self.stems, self.old_stems)
-        for k in range(0, len(stems), 20_000):
-            part = stems[k : k + 20_000]
-            self.stems.update(zip(part, self.encode(part), strict=True))
-        known = self.stems.__getitem__
-        self.words.update(zip(new, map(operator.add, map(known, parts), map(known, marks)), strict=True))
-        for stem in stems:
-            if len(stem) > WORD:
-                del self.stems[stem]
-
-    def blobs(self, texts: list[str]) -> list[bytes]:
-        """The ids of each text and id 0, as little-endian 32-bit numbers."""
-        # The tokenizer never joins across these blanks, so words are encoded once each.
-        lists = [PLAIN.findall(x) if ODD.search(x) else x.split() for x in texts]
-        if len(self.words) > REMEMBERED:
-            self.old_words, self.words = self.words, {}
+    def known(self, stems: list[str]) -> list[bytes]:
+        """The ids of distinct stems, encoding those that aren't remembered."""
         if len(self.stems) > REMEMBERED:
             self.old_stems, self.stems = self.stems, {}
-        if new := self.recalled(set().union(*lists), self.words, self.old_words):
-            self.learn(new)
-        out = [b"".join(map(self.words.__getitem__, words)) + bytes(4) for words in lists]
-        for word in new:
-            if len(word) > WORD:
-                del self.words[word]
-        return out
+        found = list(map(self.stems.get, stems))
+        missing = [i for i, x in enumerate(found) if x is None]
+        new = []
+        for i in missing:
+            ids = self.old_stems.get(stems[i])
+            if ids is None:
+                new.append(i)
+            else:
+                found[i] = self.stems[stems[i]] = ids
+        for k in range(0, len(new), 20_000):
+            part = new[k : k + 20_000]
+            for i, ids in zip(part, self.encode([stems[i] for i in part]), strict=True):
+                found[i] = ids
+                if len(stems[i]) <= WORD:
+                    self.stems[stems[i]] = ids
+        return found
+
+    def of_words(self, words: pa.Array) -> pa.ListArray:
+        """The ids of each of the distinct `words`: those of a stem and of the marks behind it.
+
+        Stems of plain letters are in lower case, as the tokenizer takes them.
+        """
+        split = pc.extract_regex(words, STEM_AND_MARKS)
+        plain = split.is_valid()
+        stem = pc.if_else(plain, pc.utf8_lower(split.field("stem")), words)
+        mark = pc.if_else(plain, split.field("marks"), "")
+        parts = pa.chunked_array([stem, mark]).combine_chunks().dictionary_encode()
+        ids = self.known(parts.dictionary.to_pylist())
+        lists = packed(np.fromiter(map(len, ids), np.int64, len(ids)) // 4, pa.array(np.frombuffer(b"".join(ids), "<u4")))
+        both = parts.indices.to_numpy().reshape(2, -1).T.ravel()
+        each = lists.take(pa.array(both))
+        counts = pc.list_value_length(each).to_numpy().reshape(-1, 2).sum(axis=1)
+        return packed(counts, each.flatten())
+
+    def blobs(self, texts: pa.Array) -> list[bytes]:
+        """The ids of each text and id 0, as little-endian 32-bit numbers."""
+        # The tokenizer never joins across these blanks, so words are encoded once each. Blanks at the ends give empty words, without ids.
+        lists = pc.ascii_split_whitespace(texts)
+        coded = lists.flatten().dictionary_encode()
+        ids = self.of_words(coded.dictionary).take(coded.indices)
+        ends = np.concatenate([[0], np.cumsum(pc.list_value_length(ids).to_numpy())])
+        words = np.concatenate([[0], np.cumsum(pc.list_value_length(lists).to_numpy())])
+        data = memoryview(ids.flatten().to_numpy()).cast("B")
+        cuts = (4 * ends[words]).tolist()
+        return [bytes(data[a:b]) + bytes(4) for a, b in zip(cuts, cuts[1:], strict=False)]
+
+
+def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Ranges of rows of about `SLICE` bytes, of one row at least."""
+    sizes = np.cumsum(pc.binary_length(texts).to_numpy())
+    at = 0
+    while at < len(texts):
+        done = sizes[at - 1] if at else 0
+        to = max(at + 1, int(np.searchsorted(sizes, done + SLICE, "right")))
+        yield at, to
+        at = to
 
 
 def _pieces(path: str, capacity: int, ids: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs, numbers = held(Words, path).blobs, row_numbers()
         for batch in batches:
-            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
-            for at in range(0, len(texts), 500):
+            doc_ids, texts = batch.column(0).to_pylist(), batch.column(1)
+            for at, to in slices(texts):
                 rows = []
-                for doc_id, blob in zip(doc_ids[at : at + 500], blobs(texts[at : at + 500]), strict=True):
+                for doc_id, blob in zip(doc_ids[at:to], blobs(texts.slice(at, to - at)), strict=True):
                     for piece, start in enumerate(range(0, len(blob), 4 * capacity)):
                         part = blob[start : start + 4 * capacity]
                         rows.append((next(numbers), doc_id, piece, start // 4, len(part) // 4, zlib.crc32(part), part if ids else None))

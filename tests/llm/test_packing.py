@@ -92,3 +92,34 @@ def test_odd_rows(odd_docs, no_docs):
     assert sum(r.doc_id == 9 for r in rows) == 2 and sum(r.doc_id is None for r in rows) == 2
     assert [(r.start, r.length) for r in rows if r.doc_id == 4] == [(0, 1)]
     assert packing.pack(no_docs, VOCABULARY).collect() == []
+
+
+def test_words_are_the_tokenizers():
+    """Marks, apostrophes, odd blanks and letters of other scripts, one by one and together."""
+    import itertools
+
+    import pyarrow as pa
+
+    parts = ["don't", "'tis", "it's", "dogs'", "'", '"Quote"', "a.b", "x,,", "###", "Ofth###", "ß", "ÀÉ,", "µm", "ªº.", "İ", "ﬁ", "é", "12ab3", "a\x85b", "a\xa0b.", "x\x1cy", "Ⅷ", "中文。", "😀!", "<|endoftext|>", "o’clock", "́", "The`", "no_w", "tag>"]
+    texts = [*parts, " ".join(parts), "", "  \t", " lead", "trail \n", *(a + b for a, b in itertools.product(parts, repeat=2))]
+    words = packing.Words(VOCABULARY)
+    assert words.direct
+    got = [np.frombuffer(x, "<u4").tolist() for x in words.blobs(pa.array(texts))]
+    assert got == ids_of(texts)
+
+
+def test_evolution_saves_bins():
+    """Lengths that best fit decreasing packs badly: crossover and mutation need fewer bins than it."""
+    rng = random.Random(4)
+    saved = 0
+    for seed in range(6):
+        lengths = [rng.randint(150, 520) for _ in range(160)]
+        start = packing.Packing(lengths, 1000)
+        start.best_fit(sorted(range(len(lengths)), key=lambda i: -lengths[i]))
+        settings = packing.Settings(generations=60, population=6, children=4)
+        best = packing.evolve(lengths, 1000, [], settings, random.Random(seed))[0]
+        assert sorted(i for items in best.bins for i in items) == list(range(len(lengths)))
+        assert all(sum(lengths[i] for i in items) <= 1000 for items in best.bins)
+        assert len(best.bins) <= len(start.bins)
+        saved += len(start.bins) - len(best.bins)
+    assert saved > 0
