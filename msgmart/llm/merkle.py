@@ -87,24 +87,25 @@ class Forest:
             nodes = level.select("tree", F.col("run").alias("place"), F.expr(f"(n + {arity - 1}) div {arity}").alias("n"), parent)
             self.roots = self.roots.unionByName(nodes.where("n = 1").select("tree", F.col("item.digest").alias("digest")))
 
-    def proofs(self, ends: DataFrame) -> DataFrame:
+    def proofs(self, ends: DataFrame | None = None) -> DataFrame:
         """tree, item, path and the other columns of `ends` for every node of the first level.
 
-        `ends` (tree, path, ...) tells how each tree's root goes on. A path has what stands before
-        and behind the node in its run, level by level.
+        `ends` (tree, path, ...) tells how each tree's root goes on; without it paths end there. A path
+        has what stands before and behind the node in its run, level by level.
         """
-        rest = [c for c in ends.columns if c not in ("tree", "path")]
+        rest = [c for c in ends.columns if c not in ("tree", "path")] if ends is not None else []
+        go_on = lambda frame: frame.withColumn("path", F.array().cast(PATH)) if ends is None else frame.join(ends, "tree")
         above = None
         for k in reversed(range(len(self.levels))):
             level = self.levels[k].withColumn("last", F.col("n") <= self.arity)
-            found = level.where("last").drop("last", "n").join(ends, "tree")
+            found = go_on(level.where("last").drop("last", "n"))
             if above is not None:
                 upper = above.select("tree", F.col("place").alias("run"), "path", *rest)
                 found = found.unionByName(level.where("not last").drop("last", "n").join(upper, ["tree", "run"]))
             if k:
                 found = self.scratch.keep(found, f"{self.name}-path{k}")
             above = self._members(found, rest)
-        alone = self.lone.select("tree", "item").join(ends, "tree")
+        alone = go_on(self.lone.select("tree", "item"))
         if above is None:
             return alone
         return above.drop("place").unionByName(alone)
@@ -168,7 +169,6 @@ def manifest(
     of_tree = F.struct("digest", F.col("tree").alias("below")).alias("item")
     upper = Forest(scratch.keep(ordered.select(F.lit("").alias("tree"), (F.col("place") - 1).alias("place"), F.lit(trees).cast("long").alias("n"), of_tree), "tops"), trees, arity, scratch, "upper")
     root = upper.roots.first()["digest"]
-    one = docs.sparkSession.range(1).select(F.lit("").alias("tree"), F.array().cast(PATH).alias("path"))
-    ends = scratch.keep(upper.proofs(one).select(F.col("item.below").alias("tree"), F.col("item.digest").alias("subroot"), "path"), "ends")
+    ends = scratch.keep(upper.proofs().select(F.col("item.below").alias("tree"), F.col("item.digest").alias("subroot"), "path"), "ends")
     found = lower.proofs(ends)
     return found.select("item.id", F.col("item.digest").alias("leaf"), F.coalesce("item.altered", "item.digest").alias("altered"), "subroot", F.lit(root).alias("root"), "path")
