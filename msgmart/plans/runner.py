@@ -23,6 +23,9 @@ from .control import ENDED, STARTED, Control, Mark, one_row
 from .spec import JobSpec
 
 SCHEMAS = "payload_schemas"
+BUCKET = "key_bucket"
+#: Noted in place of a mark while a whole snapshot is written.
+WHOLE = "whole"
 
 
 class MissingMark(RuntimeError):
@@ -49,7 +52,9 @@ class Options:
                  ``auto`` gives the rows of the join with the work of the array form, except for
                  messages whose id is repeated.
     ``refresh``  ``full`` recomputes a snapshot from all messages, ``merge`` brings the stored
-                 snapshot up to date with the new ones.
+                 snapshot up to date with the new ones. It is then partitioned by ``key_bucket``, a
+                 hash of the key, and a run reads and writes the buckets of the new keys only.
+    ``buckets``  how many buckets a merged snapshot has.
     ``rebalance`` evens out the sizes of the written files at the price of a shuffle.
     ``months``   the message table has the month of each load stamp as ``acl_dop_yyyymm``.
     """
@@ -57,6 +62,7 @@ class Options:
     schema: str = "declared"
     how: str = "auto"
     refresh: str = "full"
+    buckets: int = 64
     rebalance: bool = False
     months: bool = False
 
@@ -92,10 +98,9 @@ class Runner:
         messages = spec.messages(lake)
         mark = self._mark(spec)
         tracked = mark.column or "acl_dop"
-        # A merge that broke off may have left a part of the snapshot: all of it is made anew.
-        whole = self._whole(spec) or (
-            spec.full_recompute and self.control.begun(spec.process, mark.value or "")
-        )
+        # A first snapshot that broke off may be there in part: all of it is made anew. A later merge
+        # may be repeated: a bucket holds the old rows or the new ones, and both lead to the same.
+        whole = self._whole(spec) or (spec.full_recompute and self.control.begun(spec.process, WHOLE))
         low = None if whole else mark.value
         again = low is not None and self.control.begun(spec.process, low)
         if since is not None and low is not None and since < low:
@@ -115,7 +120,7 @@ class Runner:
             new = between_marks(messages, low, found.high, tracked, self.options.months)
             schema, seen = self.schema(spec, messages, new)
             if spec.full_recompute:
-                self.control.begin(spec.process, mark.value or "")
+                self.control.begin(spec.process, WHOLE if whole else mark.value)
                 written = self._write_snapshot(spec, new, schema, seen, whole)
             else:
                 repeated = increments.repeated_of(ids, key) if found.repeated else None
@@ -143,7 +148,13 @@ class Runner:
         """Whether the run reads all messages: a full refresh, or a first merge without a snapshot."""
         if not spec.full_recompute:
             return False
-        return self.options.refresh == "full" or not self.core.exists(spec.target)
+        if self.options.refresh == "full":
+            return True
+        stored = self.core.find(spec.target)
+        if stored is None or BUCKET not in stored.columns:
+            return True
+        row = stored.select(BUCKET).first()
+        return row is None or not row[BUCKET].startswith(f"{self.options.buckets}-")
 
     def _mark(self, spec: JobSpec) -> Mark:
         mark = self.control.mark(spec.process, spec.source)
@@ -231,17 +242,37 @@ class Runner:
         self, spec: JobSpec, new: DataFrame, schema: StructType | None, seen: StructType | None, whole: bool
     ) -> tuple[str, ...]:
         frame = self._typed(spec, spec.main(new, schema, seen=seen))
-        if not whole:
-            stored = self.core.read(spec.target)
-            both = stored.unionByName(aligned(frame, stored.schema)).drop("rnk")
-            newest = latest_by_max(both, spec.latest.key, spec.latest.newest_first)
-            # The target is read and replaced: the new content is written aside first.
-            aside = f"{spec.target}_next"
-            self.core.overwrite(newest.select(*stored.columns), aside)
-            frame = self.core.read(aside)
-        self.core.overwrite(frame, spec.target)
+        if self.options.refresh == "full":
+            self.core.overwrite(frame, spec.target)
+        elif whole:
+            self.core.overwrite(self._bucketed(frame, spec).hint("rebalance", BUCKET), spec.target, [BUCKET])
+        else:
+            with _kept(self._bucketed(frame, spec)) as fresh:
+                merged = self.merged(spec, fresh)
+                if merged is not None:
+                    self.core.replace_partitions(merged.hint("rebalance", BUCKET), spec.target, [BUCKET])
         return (spec.target,)
 
+    def _bucketed(self, frame: DataFrame, spec: JobSpec) -> DataFrame:
+        """With the bucket of the key, after the number of buckets: another number is another layout."""
+        bucket = F.pmod(F.xxhash64(F.col(spec.latest.key).cast("string")), F.lit(self.options.buckets))
+        return frame.withColumn(BUCKET, F.concat(F.lit(f"{self.options.buckets}-"), bucket.cast("string")))
+
+    def merged(self, spec: JobSpec, fresh: DataFrame) -> DataFrame | None:
+        """The new rows of the buckets that occur in `fresh`, nothing if there are none.
+
+        There are `Options.buckets` of them at most. The stored rows are read through a filter on the
+        partition column. Buckets are replaced when all of them are written, so the target may be read
+        meanwhile.
+        """
+        touched = sorted(r[BUCKET] for r in fresh.select(BUCKET).distinct().collect())
+        if not touched:
+            return None
+        stored = self.core.read(spec.target)
+        both = stored.filter(F.col(BUCKET).isin(touched)).unionByName(aligned(fresh, stored.schema))
+        latest_rows = latest_by_max(both.drop("rnk", BUCKET), spec.latest.key, spec.latest.newest_first)
+        return self._bucketed(latest_rows, spec).select(*stored.columns)
+
     def write(
         self,
         spec: JobSpec,

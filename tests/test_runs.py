@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -10,7 +11,7 @@ from pyspark.sql import functions as F
 from msgmart.plans import jobs
 from msgmart.plans.control import LOG, TRACKING, Control, mark_of
 from msgmart.plans.jobs.common import AVAILABILITY_MESSAGES, MESSAGES
-from msgmart.plans.runner import MissingMark, Options, Runner
+from msgmart.plans.runner import BUCKET, MissingMark, Options, Runner
 from msgmart.sources.envelope import ENVELOPE
 from msgmart.sources.tables import Tables, aligned
 
@@ -450,6 +451,64 @@ def test_latest_snapshot(tables, refresh):
     assert Control(tables).mark(spec.process, spec.source).value == "20200102000000"
 
 
+def _files(tables, name):
+    return {r[0] for r in tables.read(name).select("_metadata.file_path").distinct().collect()}
+
+
+def _presales(tables, number, keys, day):
+    stamp = f"2020010{day}000000"
+    rows = [(f"{number}{k}", stamp, {"id": f"key{k}", "lastModifiedAt": f"2020-01-0{day}T00:00:00.5Z"}) for k in keys]
+    land(tables, PSO, "1", rows)
+
+
+def test_a_merge_touches_the_buckets_of_new_keys_only(tables):
+    spec, runner = jobs.LATEST_PRESALES, Runner(tables, tables, Options(refresh="merge", buckets=16))
+    _presales(tables, 1, range(60), 1)
+    runner.run(spec)
+    before, buckets = _files(tables, spec.target), dict(tables.read(spec.target).select("presalesorderid_ps", BUCKET).collect())
+    assert len(set(buckets.values())) > 10
+    _presales(tables, 2, [3, 99], 2)
+    fresh = runner._bucketed(spec.main(spec.messages(tables.read(spec.source)).where("acl_dop = '20200102000000'")), spec)
+    touched = {r[BUCKET] for r in fresh.collect()}
+    tree = runner.merged(spec, fresh)._jdf.queryExecution().executedPlan().toString()
+    filters = re.findall(r"PartitionFilters: \[([^]]*)", tree)
+    assert any(all(t in f for t in touched) and f"{BUCKET}#" in f for f in filters)
+    runner.run(spec)
+    after = _files(tables, spec.target)
+    kept = {f for f in before if not any(f"{BUCKET}={t}/" in f for t in touched)}
+    assert kept and kept < after and not (before - kept) & after
+    rows = {r.presalesorderid_ps: r.acl_id_int for r in tables.read(spec.target).collect()}
+    assert len(rows) == 61 and rows["key3"] == "23" and rows["key99"] == "299" and rows["key4"] == "14"
+
+
+def test_a_broken_merge_is_repeated(tables, monkeypatch):
+    """Broken before and after the buckets are replaced; another number of buckets is a new layout."""
+    spec, runner = jobs.LATEST_PRESALES, Runner(tables, tables, Options(refresh="merge", buckets=4))
+    _presales(tables, 1, range(9), 1)
+    runner.run(spec)
+    for day, late in ((2, False), (3, True)):
+        _presales(tables, day, [day], day)
+        replace = tables.replace_partitions
+
+        def broken(frame, name, by, late=late, replace=replace):
+            if name == spec.target:
+                if late:
+                    replace(frame, name, by)
+                raise OSError("lost")
+            replace(frame, name, by)
+
+        with monkeypatch.context() as patched:
+            patched.setattr(tables, "replace_partitions", broken)
+            with pytest.raises(OSError):
+                runner.run(spec)
+        assert tables.read(spec.target).count() == 9
+        runner.run(spec)
+        rows = {r.presalesorderid_ps: r.acl_id_int for r in tables.read(spec.target).collect()}
+        assert len(rows) == 9 and rows[f"key{day}"] == f"{day}{day}"
+    Runner(tables, tables, Options(refresh="merge", buckets=2)).run(spec)
+    assert {r[BUCKET].split("-")[0] for r in tables.read(spec.target).collect()} == {"2"}
+
+
 def test_run_all_stops_at_the_first_failure(tables):
     start(tables, jobs.VVM_AREA, jobs.NVT_AREA)
     land(tables, AREA, "1", [("1", "20200101000000", {"number": 1})])
