@@ -37,9 +37,9 @@ from msgmart.llm.scratch import Scratch
 from msgmart.llm.texts import held, packed, row_numbers
 
 #: Stems of words of each of two generations whose ids a worker remembers, and the length up to which it does.
-REMEMBERED, WORD = 500_000, 100
+REMEMBERED, WORD = 250_000, 100
 #: Bytes of texts that are worked on together.
-SLICE = 16 << 20
+SLICE = 4 << 20
 #: ASCII and Latin-1 letters, taken in lower case and as one run, and the marks behind them, another run.
 STEM_AND_MARKS = "^(?P<stem>[A-Za-z\u00aa\u00b5\u00ba\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff]+)(?P<marks>[!-/:-@\\[-`{-~]*)$"
 #: Byte-level vocabularies write a byte that is no printable Latin-1 character as the next character from U+0100 on.
