@@ -28,18 +28,28 @@ from msgmart.llm.texts import only_of_this_stage
 
 #: Trigram buckets, and the count that every bucket has before any text.
 BUCKETS, PRIOR = 1 << 17, 0.05
-#: Words whose likelihoods a task remembers; documents worked on together.
-REMEMBERED, ROWS = 200_000, 400
+#: Cells (buckets x languages) of a model. With more than CELLS / BUCKETS = 64 languages, neighbouring buckets fall together.
+CELLS = 1 << 23
+#: Words whose likelihoods a task remembers, the numbers that they may take (words x languages), and documents worked on together.
+REMEMBERED, NUMBERS, ROWS = 200_000, 1 << 24, 400
 UNKNOWN = "und"
 
 
 @dataclass(frozen=True)
 class Model:
     languages: list[str]
-    #: Log probability of a trigram bucket in each language: BUCKETS x languages.
+    #: Log probability of a trigram bucket in each language: buckets x languages.
     logs: np.ndarray
 
 
+def buckets(languages: int) -> int:
+    """How many trigram buckets a model of so many languages has: a power of two, and at least 256."""
+    size = BUCKETS
+    while size > 256 and size * languages > CELLS:
+        size //= 2
+    return size
+
+
 def letters(word: str) -> str:
     word = word.lower()
     return word if word.isalpha() else "".join(filter(str.isalpha, word))
@@ -57,37 +67,51 @@ def trigrams(words: list[str]) -> tuple[np.ndarray, np.ndarray]:
     return (mixed[inside] % np.uint64(BUCKETS)).astype(np.int64), np.concatenate([[0], np.cumsum(lengths)[:-1]])
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    only_of_this_stage()
-    totals: dict[str, np.ndarray] = {}
-    for batch in batches:
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-            words = [w for w in map(letters, text.split()) if w]
-            if words:
-                own = totals.setdefault(lang, np.zeros(BUCKETS, np.int64))
-                own += np.bincount(trigrams(words)[0], minlength=BUCKETS)
-    for lang, counts in totals.items():
-        there = np.flatnonzero(counts)
-        yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.string()), pa.array(there.astype(np.int32)), pa.array(counts[there])], names=["lang", "bucket", "n"])
+def _count(size: int):
+    """Occurrences of trigram buckets by language. What is counted of many languages is told in between."""
+
+    def told(totals: dict[str, np.ndarray]) -> Iterator[pa.RecordBatch]:
+        for lang, counts in totals.items():
+            there = np.flatnonzero(counts)
+            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.string()), pa.array(there.astype(np.int32)), pa.array(counts[there])], names=["lang", "bucket", "n"])
+        totals.clear()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_of_this_stage()
+        totals: dict[str, np.ndarray] = {}
+        for batch in batches:
+            for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                words = [w for w in map(letters, text.split()) if w]
+                if words:
+                    if lang not in totals and (len(totals) + 1) * size > CELLS:
+                        yield from told(totals)
+                    own = totals.setdefault(lang, np.zeros(size, np.int64))
+                    own += np.bincount(trigrams(words)[0] & (size - 1), minlength=size)
+        yield from told(totals)
+
+    return run
 
 
-def train(labelled: DataFrame, per_language: int = 2000, languages: int = 200) -> Model:
+def train(labelled: DataFrame, per_language: int = 2000) -> Model:
     """Learns from `labelled` (doc_id, text, lang): about `per_language` rows of each value of lang.
 
-    The sample is chosen by a hash of the id, whatever the order of rows. More values of lang than `languages`, for which the model has room, are an error.
+    The sample is chosen by a hash of the id, whatever the order of rows. Every value of lang that has
+    a text with letters is learned, however many there are: the more, the fewer buckets (`buckets`), so that the model keeps
+    its size. Only beyond 32,768 values, at 256 buckets, does it grow with them.
     """
     known = labelled.where("lang is not null and text is not null")
-    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).limit(languages + 1).toArrow().to_pylist()
-    if len(sizes) > languages:
-        raise ValueError(f"lang has more than {languages} values; none of them is left out, so train() needs a larger `languages`")
-    if not sizes:
+    sizes = known.groupBy("lang").agg(F.count(F.lit(1)).alias("rows")).toArrow()
+    if not sizes.num_rows:
         return Model([], np.zeros((BUCKETS, 0), np.float32))
-    share = F.create_map(*[F.lit(x) for s in sizes for x in (s["lang"], min(1.0, per_language / s["rows"]))])
+    size = buckets(sizes.num_rows)
+    # one short row for each language of the model, which is sent to every task anyway
+    parts = labelled.sparkSession.createDataFrame(sizes).select("lang", (F.lit(float(per_language)) / F.col("rows")).alias("part"))
     draw = F.pmod(F.xxhash64(F.lit("sample"), F.col("doc_id")), F.lit(1_000_000)) / 1_000_000
-    counts = known.where(draw < share[F.col("lang")]).select("lang", "text").mapInArrow(_count, "lang string, bucket int, n long")
+    drawn = known.select("lang", "text", draw.alias("draw")).join(F.broadcast(parts), "lang").where("draw < part")
+    counts = drawn.select("lang", "text").mapInArrow(_count(size), "lang string, bucket int, n long")
     counts = counts.groupBy("lang", "bucket").agg(F.sum("n").alias("n")).toArrow()
     names = sorted(set(counts["lang"].to_pylist()))
-    table = np.full((BUCKETS, len(names)), PRIOR)
+    table = np.full((size, len(names)), PRIOR)
     at = {x: k for k, x in enumerate(names)}
     table[counts["bucket"].to_numpy(), [at[x] for x in counts["lang"].to_pylist()]] += counts["n"].to_numpy()
     return Model(names, np.log(table / table.sum(axis=0)).astype(np.float32))
@@ -136,7 +160,8 @@ def _predict(model, penalty: float):
         known: Model = model.value
         place: dict[str, int] = {}
         learned = [0]
-        table = np.zeros((REMEMBERED, len(known.languages)), np.float32)
+        remembered = min(REMEMBERED, NUMBERS // max(1, len(known.languages)))
+        table = np.zeros((remembered, len(known.languages)), np.float32)
 
         def learn(words: list[str]) -> None:
             """Puts words into the table; words without letters get place -1."""
@@ -150,7 +175,7 @@ def _predict(model, penalty: float):
                 end = first + len(real)
                 if end > len(table):
                     table = np.concatenate([table, np.zeros((end - len(table), table.shape[1]), np.float32)])
-                table[first:end] = np.add.reduceat(known.logs[grams], starts, axis=0)
+                table[first:end] = np.add.reduceat(known.logs[grams & (len(known.logs) - 1)], starts, axis=0)
                 place.update((w, first + k) for k, (w, _) in enumerate(real))
                 learned[:] = [end]
 
@@ -161,11 +186,12 @@ def _predict(model, penalty: float):
                 if known.languages:
                     every = {w for words in lists for w in words}
                     new = [w for w in every if w not in place]
-                    if len(place) + len(new) > REMEMBERED:
+                    if len(place) + len(new) > remembered:
                         place.clear()
                         learned[:], new = [0], list(every)
-                    for k in range(0, len(new), 20_000):
-                        learn(new[k : k + 20_000])
+                    step = max(1, remembered // 10)
+                    for k in range(0, len(new), step):
+                        learn(new[k : k + step])
                 out = []
                 for words in lists:
                     index = np.fromiter(map(place.__getitem__, words), np.int64, len(words)) if known.languages else np.empty(0, np.int64)

@@ -1,7 +1,7 @@
+import itertools
 import zlib
 
 import numpy as np
-import pytest
 
 from msgmart.llm import langid
 
@@ -63,7 +63,23 @@ def test_odd_rows(spark, odd_docs, no_docs):
 
 
 def test_no_language_is_left_out(spark):
-    docs = spark.createDataFrame([(k, f"text number {x}", f"l{x}") for k, x in enumerate("aabbc")], "doc_id long, text string, lang string")
-    assert langid.train(docs, languages=3).languages == ["la", "lb", "lc"]
-    with pytest.raises(ValueError, match="more than 2"):
-        langid.train(docs, languages=2)
+    """300 values of lang, each with letters of its own: all are learned and told apart by a smaller table."""
+    own = lambda k: " ".join(chr(0x4E00 + 40 * k + i) * 2 + chr(0x4E00 + 40 * k + i + 1) for i in range(30))
+    docs = spark.createDataFrame([(k * 10 + i, own(k), f"l{k:03}") for k in range(300) for i in range(3)], "doc_id long, text string, lang string")
+    model = langid.train(docs)
+    assert model.languages == [f"l{k:03}" for k in range(300)] and model.logs.size <= langid.CELLS
+    got = langid.predict(docs.where("doc_id % 10 = 0"), model, ["doc_id", "lang"]).collect()
+    assert len(got) == 300 and sum(r.lang == r.lang_pred for r in got) >= 297
+
+
+def test_language_sets_against_all_subsets():
+    """The set found by adding languages is the best of all subsets, where they are told apart."""
+    rng = np.random.default_rng(4)
+    for size in (1, 2, 3):
+        likely = rng.normal(-12, 1, (300, 5))
+        for k in range(300):
+            likely[k, k % size] += 8
+        chosen, _ = langid.mixture(likely, np.ones(300), 1.0)
+        subsets = [s for r in range(1, 6) for s in itertools.combinations(range(5), r)]
+        worth = {s: langid.shares(likely[:, s], np.ones(300), 300)[1] - (len(s) - 1) * 0.5 * np.log(300) for s in subsets}
+        assert tuple(sorted(chosen)) == max(worth, key=worth.get) == tuple(range(size))
