@@ -11,10 +11,12 @@ is the share of the texts with the term in which the entity stands too. Everythi
 distinct texts (a hash of the text without case and differences of white space), so repeated
 documents count once for the entity, for the term and for both.
 
-Edited copies prove nothing either: a term and an entity need `support` texts of different near-copy
-classes. A class is what links between texts with a third of their words in common connect (`COPIES`), among
-the texts with an entity of `support` texts or more. There is no window, no least length of words and
-no limit on the terms of an entity. Terms of a disclosure of `generalise` or more are replaced by a
+Edited copies prove nothing either, while letters of one template do: a term and an entity need `support`
+texts that have surroundings of their own. Among the texts with an entity, each run of `WINDOW` words belongs to
+the text of the least hash that has it. A text has surroundings of its own if `OWN` runs in a row belong to it (of
+a shorter text half of its runs, but no fewer than four, or all). So what a template repeats counts once, and changed
+words inside of a copy are too short to count. There is no limit on distance, length of words or the
+terms of an entity. Terms of a disclosure of `generalise` or more are replaced by a
 placeholder, those of `remove` or more are deleted, wherever they stand.
 
 A null text is empty (and stays null when cleaned). Rows are independent but for the corpus counts;
@@ -35,7 +37,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from msgmart.llm import jaccard
 from msgmart.llm.scratch import Scratch
 from msgmart.llm.sieve import passes_one, sieve
 from msgmart.llm.skew import join_groups
@@ -62,8 +63,10 @@ class Settings:
     remove: float = 0.98
 
 
-#: Texts that are edited copies of each other: single words in common.
-COPIES = jaccard.Settings(width=1, parts=1, whole=3, bands=32, rows=2)
+#: Words of a run, and how many runs in a row make surroundings of a text's own.
+WINDOW, OWN = 3, 8
+#: The entities of a text are dealt to so many rows, so that a text with very many of them is the work of many tasks.
+DEALS = 64
 
 
 def luhn(digits: str) -> bool:
@@ -156,20 +159,54 @@ def _outside(text: str, words: list[re.Match]) -> list[re.Match]:
     return [m for m in words if not any(inside[m.start() : m.end()])] if spans else words
 
 
+def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Each row's text and entities, and the hashes of its runs of words in order; a text of fewer words is one run."""
+    for batch in batches:
+        runs = []
+        for body in batch.column("body").to_pylist():
+            words = [m[0] for m in WORD.finditer(body.lower())]
+            runs.append([_hash(" ".join(words[k : k + WINDOW])) for k in range(max(1, len(words) - WINDOW + 1))])
+        kept = ("text", "entities")
+        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in kept), pa.array(runs, pa.list_(pa.int64()))], names=[*kept, "runs"])
+
+
+def own_surroundings(rows: DataFrame) -> DataFrame:
+    """entity, text: the texts with surroundings of their own, of `rows` (text, entities, body).
+
+    A run that many texts share is reduced to its least text in every task before the shuffle.
+    """
+    runs = rows.select("text", "entities", "body").mapInArrow(_windows, "text long, entities array<long>, runs array<long>")
+    runs = runs.select("text", "entities", F.size("runs").alias("of"), F.posexplode("runs").alias("at", "run"))
+    runs = runs.select(F.explode("entities").alias("entity"), "run", F.struct("text", "at", "of").alias("place"))
+    owned = runs.groupBy("entity", "run").agg(F.min("place").alias("place")).select("entity", "place.*")
+    owned = owned.groupBy("entity", "text").agg(F.max("of").alias("of"), F.array_sort(F.collect_list("at")).alias("ats"))
+    start = F.struct(F.lit(-2).alias("last"), F.lit(0).alias("now"), F.lit(0).alias("best"))
+
+    def step(seen: Column, at: Column) -> Column:
+        now = F.when(at == seen["last"] + 1, seen["now"] + 1).otherwise(1)
+        return F.struct(at.alias("last"), now.alias("now"), F.greatest(seen["best"], now).alias("best"))
+
+    longest = F.aggregate("ats", start, step, lambda seen: seen["best"])
+    wanted = F.least(F.col("of"), F.lit(OWN), F.greatest(F.lit(4), F.ceil(F.col("of") / 2).cast("int")))
+    return owned.where(longest >= wanted).select("entity", "text")
+
+
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """In how many texts of a class each term stands with each entity of `known`, counted by task, from distinct texts."""
+    """In how many distinct texts each term stands with each entity of `known`, and how many of them prove it, counted by task."""
     memo: dict[str, int] = {}
-    counts: Counter[tuple[int, int, int, int]] = Counter()
+    counts: Counter[tuple[int, int, int, bool]] = Counter()
 
     def told() -> pa.RecordBatch:
-        columns = list(zip(*((*k, n) for k, n in counts.items()), strict=True)) or [[]] * 5
-        return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["entity", "alone", "class", "term", "n"])
+        columns = [*zip(*counts, strict=True)] or [[]] * 4
+        types = pa.int64(), pa.int64(), pa.int64(), pa.bool_()
+        arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
+        return pa.RecordBatch.from_arrays([*arrays, pa.array(counts.values(), pa.int64())], names=["entity", "alone", "term", "proves", "n"])
 
     for batch in batches:
-        for copies, known, text in zip(batch.column("class").to_pylist(), batch.column("known").to_pylist(), batch.column("body").to_pylist(), strict=True):
+        for known, text in zip(batch.column("known").to_pylist(), batch.column("body").to_pylist(), strict=True):
             terms = {_term(m[0], memo) for m in _outside(text, list(WORD.finditer(text)))}
             for x in known:
-                counts.update((x["entity"], x["alone"], copies, h) for h in terms)
+                counts.update((x["entity"], x["alone"], h, x["proves"]) for h in terms)
                 if len(counts) > COUNTED:
                     yield told()
                     counts.clear()
@@ -225,18 +262,18 @@ def disclosing_terms(docs: DataFrame, settings: Settings, scratch: Scratch) -> D
     texts = stands.select("text").distinct()
     bodies = docs.select(_text()).mapInArrow(_bodies(sieve(texts, "text")), "text long, body string").join(texts, "text", "left_semi")
     bodies = scratch.keep(bodies.groupBy("text").agg(F.min("body").alias("body")), "bodies")
-    work = Scratch(docs.sparkSession, "pii-copies")
-    classes = jaccard.similar(bodies.select(F.col("text").alias("doc_id"), F.lower("body").alias("text")), COPIES, work)
-    classes = scratch.keep(classes.select(F.col("doc_id").alias("text"), F.col("class_id").alias("class")), "classes")
-    work.clear()
-    stands = scratch.keep(stands.join(classes, "text"), "classed")
-    wide = stands.groupBy("entity").agg(F.count_distinct("class").alias("classes"), F.max("alone").alias("alone")).where(F.col("classes") >= settings.support)
-    known = join_groups(stands.drop("alone"), scratch.keep(wide.drop("classes"), "wide"), ["entity"], "alone", many)
-    known = known.groupBy("text", "class").agg(F.collect_list(F.struct("entity", "alone")).alias("known"))
-    pairs = bodies.join(known, "text").select("class", "known", "body").mapInArrow(_together, "entity long, alone long, class long, term long, n long")
-    pairs = pairs.groupBy("entity", "term", "class").agg(F.max("alone").alias("alone"), F.sum("n").alias("n"))
-    pairs = pairs.groupBy("entity", "term").agg(F.max("alone").alias("alone"), F.sum("n").alias("together"), F.count(F.lit(1)).alias("classes"))
-    pairs = scratch.keep(pairs.where(F.col("classes") >= settings.support), "pairs")
+    dealt = stands.groupBy("text", F.pmod(F.xxhash64("entity"), F.lit(DEALS)).alias("deal")).agg(F.collect_list("entity").alias("entities"))
+    dealt = dealt.join(bodies, "text").repartition("text", "deal")
+    proofs = scratch.keep(own_surroundings(dealt).withColumn("proves", F.lit(True)), "proofs")
+    enough = proofs.groupBy("entity").agg(F.count(F.lit(1)).alias("proofs")).where(F.col("proofs") >= settings.support)
+    wide = scratch.keep(alone.join(enough.select("entity"), "entity"), "wide")
+    known = join_groups(stands.drop("alone"), wide, ["entity"], "alone", many).join(proofs, ["entity", "text"], "left")
+    known = known.select("text", F.pmod(F.xxhash64("entity"), F.lit(DEALS)).alias("deal"), F.struct("entity", "alone", F.col("proves").isNotNull().alias("proves")).alias("entity"))
+    known = known.groupBy("text", "deal").agg(F.collect_list("entity").alias("known")).join(bodies, "text").repartition("text", "deal")
+    pairs = known.select("known", "body").mapInArrow(_together, "entity long, alone long, term long, proves boolean, n long")
+    proven = F.sum(F.when(F.col("proves"), F.col("n")).otherwise(0))
+    pairs = pairs.groupBy("entity", "term").agg(F.max("alone").alias("alone"), F.sum("n").alias("together"), proven.alias("proofs"))
+    pairs = scratch.keep(pairs.where(F.col("proofs") >= settings.support), "pairs")
     candidates = scratch.keep(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("pairs")), "candidates")
     if candidates.isEmpty():
         return None

@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import hashlib
+import math
 import re
 from collections import Counter
 
+import xxhash
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 BLANK = re.compile(r"[\x20\x09-\x0D]")
 
@@ -107,3 +110,38 @@ def personal(text):
     out += [(m.start(), 2, m.end()) for m in CARD.finditer(text) if 14 <= len(digits(m)) <= 19 and luhn(digits(m))]
     out += [(m.start(), 3, m.end()) for m in PHONE.finditer(text) if 10 <= len(digits(m)) <= 15]
     return sorted(out)
+
+
+def terms(text):
+    """(start, end, lower-case word) of the words outside of personal data."""
+    taken = {p for a, _, b in personal(text) for p in range(a, b)}
+    return [(m.start(), m.end(), m[0].lower()) for m in re.finditer(r"[^\W_]+", text) if not taken & set(range(m.start(), m.end()))]
+
+
+def disclosing(texts, support, least):
+    """Words whose disclosure of an entity is `least` or more, proven by `support` texts with surroundings of their own."""
+    same = sorted({" ".join(t.lower().split()) for t in texts}, key=xxhash.xxh3_64_intdigest)
+    value = lambda t, a, k, b: (k, t[a:b] if k < 2 else re.sub("[^0-9]", "", t[a:b]))
+    entities = [{value(t, *s) for s in personal(t)} for t in same]
+    words = [{w for _, _, w in terms(t)} for t in same]
+    split = [re.findall(r"[^\W_]+", t) for t in same]
+    found = set()
+    for e in set().union(*entities):
+        there = [k for k, x in enumerate(entities) if e in x]
+        seen, proofs = set(), set()
+        for k in there:
+            own = []
+            n = max(1, len(split[k]) - 2)
+            for p in range(n):
+                run = tuple(split[k][p : p + 3])
+                own.append("x" if run not in seen else " ")
+                seen.add(run)
+            if "x" * min(n, 8, max(4, -(-n // 2))) in "".join(own):
+                proofs.add(k)
+        for w in set().union(*(words[k] for k in there)):
+            together = [k for k in there if w in words[k]]
+            if len(proofs.intersection(together)) >= support:
+                members = sum(w in x for x in words)
+                if 1 + math.log(len(together) / members) / max(1e-9, math.log(len(same) / len(there))) >= least - 1e-12:
+                    found.add(w)
+    return found

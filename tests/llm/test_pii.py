@@ -108,3 +108,55 @@ def test_clashing_names_stay(odd_docs, no_docs):
     rows = got.collect()
     assert rows and {(r._uid, r._text, r._bytes, r._h, r._fp, r.uid) for r in rows} == {("u", "t", "b", 1, 2, "x")}
     assert pii.sanitise(no_docs.selectExpr(*clash)).collect() == []
+
+
+def test_letters_of_one_template_disclose(spark):
+    """A closing block beside words of each letter's own; the more letters, the more is known."""
+    for letters in (40, 6):
+        got = among_others(spark, lambda some, n=letters: [f"{some(15)} thank you for your time and kind regards Maria Lopez boss@example.com" for _ in range(n)])
+        assert all({"Maria", "Lopez"} <= x for x in got.values()) and len(got) == letters
+
+
+def test_surroundings_of_their_own_against_plain(spark):
+    rng = random.Random(6)
+    families = [[rng.choice("abcdefghijklmnopqrstuvwxyz") * rng.randint(1, 3) for _ in range(rng.choice([1, 2, 4, 9, 14, 40]))] for _ in range(60)]
+    rows = []
+    for text in range(500):
+        words = [w if rng.random() < 0.9 else rng.choice("xyz") * 5 for w in rng.choice(families)]
+        rows.append((text, sorted(rng.sample(range(6), rng.randint(1, 3))), " ".join(words + rng.choice([[], words[:5], ["kind", "regards", "from", "us"]]))))
+    owner, want = {}, set()
+    split = {t: [b.split()[k : k + 3] for k in range(max(1, len(b.split()) - 2))] for t, _, b in rows}
+    for t, entities, _ in rows:
+        for e in entities:
+            for at, run in enumerate(split[t]):
+                owner.setdefault((e, *run), (t, at))
+    places = {(e, *place) for (e, *_), place in owner.items()}
+    for t, entities, _ in rows:
+        n = len(split[t])
+        need = min(n, 8, max(4, -(-n // 2)))
+        want |= {(e, t) for e in entities for k in range(n - need + 1) if all((e, t, k + i) in places for i in range(need))}
+    got = pii.own_surroundings(spark.createDataFrame(rows, "text long, entities array<long>, body string").repartition(5)).collect()
+    assert {tuple(r) for r in got} == want and len(got) == len(want) and 20 < len(want) < 900
+
+
+def test_disclosure_against_plain(spark):
+    """Terms of 500 texts, with whole and edited copies and letters of one template, against the definition."""
+    rng = random.Random(12)
+    vocabulary = ["".join(rng.choices("abcdefghijkmnop", k=6)) for _ in range(300)]
+    texts = []
+    for k in range(500):
+        words = rng.choices(vocabulary, k=rng.randint(15, 30))
+        if k % 9 == 0:
+            words[5:5] = [f"name{k % 4}", f"box{k % 4}@example.com"]
+        if k % 20 == 0:
+            words += ["kind", "regards", "from", "Office", "+49 170 5557713"]
+        texts.append(" ".join(words))
+        if k % 25 == 0:
+            texts += [texts[-1]] * 3 + [" ".join(w if rng.random() < 0.9 else "edit" for w in words) for _ in range(3)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    settings = pii.Settings(generalise=0.6, remove=0.9)
+    rows = pii.annotate(docs, ["doc_id"], settings).collect()
+    got = {(r.doc_id, a, b) for r in rows for a, k, b in pii._parsed(r._spans) if k > 3}
+    found = plain.disclosing(texts, settings.support, settings.generalise)
+    want = {(k, a, b) for k, text in enumerate(texts) for a, b, word in plain.terms(text) if word in found}
+    assert found and got == want
