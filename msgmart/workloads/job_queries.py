@@ -556,6 +556,51 @@ def job_c10_history(spark: SparkSession, folder: str) -> DataFrame:
     return job_frame(spark, folder, jobs.PRESALES, lake.presales, "cl_f_presalesorder_history_mt")
 
 
+LINES = "FROM orders JOIN lineitem ON l_orderkey = o_orderkey"
+
+
+@query(
+    "job_c10_items_lines",
+    _select(
+        {
+            **CHILD,
+            "orderitemid_ps": "l_orderkey || '-' || l_linenumber || '-' || l_partkey",
+            "lineNumber": _text("l_linenumber"),
+            "productMaterialId": _text("l_partkey"),
+            "productname": "l_returnflag",
+            "orderitemtype": "CASE WHEN l_linestatus = 'F' THEN 'service' ELSE 'router' END",
+            **NO_AUDIT,
+        },
+        LINES,
+    ),
+)
+def job_c10_items_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The item table, from orders with all their lines."""
+    return job_frame(spark, folder, jobs.PRESALES, lake.presales_lines, "cl_f_presalesorder_orderitem_mt")
+
+
+@query(
+    "job_c10_history_lines",
+    _select(
+        {
+            **CHILD,
+            "historyid_ps": "l_orderkey || '/' || l_linenumber || '/' || l_partkey",
+            "itemtype": "'state_transition'",
+            "historyTimestamp_ISO": _utc("l_shipdate"),
+            "oldstate": "l_returnflag",
+            "newstate": "l_linestatus",
+            "item_json": NULL,
+            "jsonstruct": NULL,
+            **NO_AUDIT,
+        },
+        f"{LINES} WHERE l_returnflag <> 'N'",
+    ),
+)
+def job_c10_history_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """The history table, from orders with a change for each of their lines."""
+    return job_frame(spark, folder, jobs.PRESALES, lake.presales_lines, "cl_f_presalesorder_history_mt")
+
+
 @query(
     "job_c11",
     _select(

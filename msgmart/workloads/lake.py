@@ -1,7 +1,8 @@
 """Message lakes made from the supplied tables, one message per row, without a shuffle.
 
 Every message is derived from one row, so that building a lake is a map over the table and the
-queries above it show their own cost only.
+queries above it show their own cost only. The lakes with lines are the exception: all lines of an order are
+gathered into its message.
 """
 
 from __future__ import annotations
@@ -9,6 +10,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..operators.nesting import nest
+from ..session import scratch_folder
+
+#: What orders the lines of an order; line numbers repeat.
+LINE_ORDER = ["l_linenumber", "l_extendedprice", "l_quantity", "l_partkey", "l_suppkey", "l_shipdate"]
+
 DAY_MILLIS = 86_400_000
 FIRST_MILLIS = 1_577_836_800_000  # 2020-01-01 UTC
 NEW_LAYOUT_FROM = "1998-01-01"
@@ -112,6 +119,32 @@ def orders_lake(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def orders_with_lines(spark: SparkSession, folder: str, **arrays: Column) -> DataFrame:
+    """The orders with arrays of all of their lines, in order; null where an order has none."""
+    lines = table(spark, folder, "lineitem")
+    items = nest(lines, ["l_orderkey"], LINE_ORDER, F.struct(*[c.alias(x) for x, c in arrays.items()]), "lines", scratch_folder(spark, "lines"))
+    joined = table(spark, folder, "orders").join(items, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    return joined.select("*", *[F.col(f"lines.{x}").alias(x) for x in arrays]).drop("l_orderkey", "lines")
+
+
+def _line_id(mark: str) -> Column:
+    return F.concat_ws(mark, "l_orderkey", "l_linenumber", "l_partkey")
+
+
+def order_lines_lake(spark: SparkSession, folder: str) -> DataFrame:
+    """One message per order, its items those of lineitem: any number, with repeated line numbers, some orders without."""
+    item = F.struct(
+        _line_id("-").alias("id"),
+        F.col("l_linenumber").alias("lineNumber"),
+        F.col("l_quantity").cast("long").alias("amount"),
+        F.col("l_returnflag").alias("itemType"),
+        F.struct(F.col("l_suppkey").alias("id"), F.col("l_linestatus").alias("name")).alias("service"),
+    )
+    rows = orders_with_lines(spark, folder, items=item)
+    payload = F.struct(F.col("o_orderkey").alias("id"), F.col("items"))
+    return messages(rows, F.col("o_orderkey"), F.col("o_orderdate"), F.col("o_orderpriority"), order_version(), payload)
+
+
 def events_lake(spark: SparkSession, folder: str) -> DataFrame:
     """One message per event; even ids carry a second time field."""
     even = F.pmod("event_id", F.lit(2)) == 0
@@ -430,8 +463,8 @@ def availability_v2(spark: SparkSession, folder: str) -> DataFrame:
     return messages(table(spark, folder, "orders"), F.col("o_orderkey"), day, kind, "2", payload)
 
 
-def presales(spark: SparkSession, folder: str) -> DataFrame:
-    """Old layout before 1998, new layout from then on; items and history per order."""
+def presales(spark: SparkSession, folder: str, rows: DataFrame | None = None) -> DataFrame:
+    """Old layout before 1998, new layout from then on; items and history made from the order, or columns of `rows`."""
     key, cust, day = F.col("o_orderkey"), F.col("o_custkey"), F.col("o_orderdate")
     status, new = F.col("o_orderstatus"), is_new_layout()
     stamp = F.date_format(day, "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX")
@@ -509,12 +542,35 @@ def presales(spark: SparkSession, folder: str) -> DataFrame:
             F.lit(17).alias("carrierCode"),
         ).alias("providerChange"),
         F.struct(F.lit("2020-03-17").alias("wishDate"), F.lit("asap").alias("wishType")).alias("provisioningDetails"),
-        F.transform(numbers(item_count()), lambda i: item(i)).alias("items"),
-        F.when(item_count() > 0, F.transform(numbers(item_count()), lambda i: change(i))).alias("history"),
+        *(
+            (F.col("items"), F.col("history"))
+            if rows is not None
+            else (
+                F.transform(numbers(item_count()), lambda i: item(i)).alias("items"),
+                F.when(item_count() > 0, F.transform(numbers(item_count()), lambda i: change(i))).alias("history"),
+            )
+        ),
     )
-    return messages(
-        table(spark, folder, "orders"), key, day, "VVM - PreSalesOrder", "1", payload, F.month(day)
+    rows = table(spark, folder, "orders") if rows is None else rows
+    return messages(rows, key, day, "VVM - PreSalesOrder", "1", payload, F.month(day))
+
+
+def presales_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """Presales orders whose items and history are those of lineitem."""
+    item = F.struct(
+        _line_id("-").alias("id"),
+        F.col("l_linenumber").alias("lineNumber"),
+        F.col("l_partkey").alias("productMaterialId"),
+        F.col("l_returnflag").alias("name"),
+        F.when(F.col("l_linestatus") == "F", "service").otherwise("router").alias("itemType"),
+    )
+    change = F.struct(
+        _line_id("/").alias("id"),
+        F.when(F.col("l_returnflag") != "N", "state_transition").otherwise("note").alias("itemType"),
+        F.date_format("l_shipdate", "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX").alias("createdAt"),
+        F.struct(F.struct(F.col("l_returnflag").alias("from"), F.col("l_linestatus").alias("to")).alias("data")).alias("payload"),
     )
+    return presales(spark, folder, orders_with_lines(spark, folder, items=item, history=change))
 
 
 def presales_versions(spark: SparkSession, folder: str) -> DataFrame:

@@ -317,6 +317,68 @@ def explode_items(spark: SparkSession, folder: str) -> DataFrame:
     return arrays.child_rows(_orders_with_items(spark, folder), "items", ["acl_id"], fields)
 
 
+LINES = "orders o JOIN lineitem ON l_orderkey = o_orderkey"
+LINE_ID = "l_orderkey || '-' || l_linenumber || '-' || l_partkey"
+
+
+@query(
+    "explode_order_lines",
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS acl_id,
+               CAST(row_number() OVER (PARTITION BY o_orderkey ORDER BY {", ".join(lake.LINE_ORDER)}) AS INTEGER) AS place,
+               {LINE_ID} AS item_id, l_linenumber AS line_number, CAST(l_quantity AS BIGINT) AS amount,
+               l_returnflag AS item_type, l_linestatus AS service_name
+        FROM {LINES}""",
+)
+def explode_order_lines(spark: SparkSession, folder: str) -> DataFrame:
+    """All lines of every order, as they are in the array of its message, with their places there."""
+    frame, data = payload.parse(lake.order_lines_lake(spark, folder), schema.declared_schema({"items": f"array<{ITEM}>"}))
+    item = F.col(f"{arrays.ELEMENT}.item")
+    numbered = F.transform(data.value("items"), lambda x, i: F.struct((i + 1).alias("place"), x.alias("item")))
+    fields = [
+        F.col(f"{arrays.ELEMENT}.place").alias("place"),
+        item["id"].alias("item_id"),
+        item["lineNumber"].alias("line_number"),
+        item["amount"].alias("amount"),
+        item["itemType"].alias("item_type"),
+        item["service"]["name"].alias("service_name"),
+    ]
+    return arrays.child_rows(frame.withColumn("items", numbered), "items", ["acl_id"], fields)
+
+
+@query(
+    "order_lines_head",
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS acl_id, first_id, first_service FROM orders LEFT JOIN (
+          SELECT l_orderkey, {LINE_ID} AS first_id, l_linestatus AS first_service,
+                 row_number() OVER (PARTITION BY l_orderkey ORDER BY {", ".join(lake.LINE_ORDER)}) AS place FROM lineitem)
+        ON l_orderkey = o_orderkey AND place = 1""",
+)
+def order_lines_head(spark: SparkSession, folder: str) -> DataFrame:
+    """First line of every order by path; null for orders without lines."""
+    paths = {"items[0].id": "string", "items[0].service.name": "string"}
+    frame, data = payload.parse(lake.order_lines_lake(spark, folder), schema.declared_schema(paths))
+    heads = [data.value("items[0].id").alias("first_id"), data.value("items[0].service.name").alias("first_service")]
+    return frame.select("acl_id", *heads)
+
+
+@query(
+    "order_lines_child",
+    f"""SELECT CAST(o_orderkey AS VARCHAR) AS acl_id, item_id, line_number FROM orders LEFT JOIN (
+          SELECT l_orderkey, {LINE_ID} AS item_id, l_linenumber AS line_number FROM lineitem WHERE l_returnflag = 'R' AND l_linestatus = 'F')
+        ON l_orderkey = o_orderkey""",
+)
+def order_lines_child(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with their lines of one kind; an order without such lines stays."""
+    frame, data = payload.parse(lake.order_lines_lake(spark, folder), schema.declared_schema({"items": f"array<{ITEM}>"}))
+    return arrays.matching_child(
+        frame.select("acl_id", data.value("items").alias("items")),
+        "acl_id",
+        "items",
+        lambda item: (item["itemType"] == "R") & (item["service"]["name"] == "F"),
+        {"item_id": lambda item: item["id"], "line_number": lambda item: item["lineNumber"]},
+        "array",
+    )
+
+
 @query(
     "explode_filtered_history",
     f"""SELECT CAST(o_orderkey AS VARCHAR) AS acl_id, o_orderkey || '-' || i AS item_id
