@@ -213,6 +213,30 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told()
 
 
+def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """In how many of the texts each term stands, counted by task."""
+    memo: dict[str, int] = {}
+    counts: Counter[int] = Counter()
+
+    def told() -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
+
+    for batch in batches:
+        for text in batch.column(0).to_pylist():
+            counts.update({_term(m[0], memo) for m in _outside(text, list(WORD.finditer(text)))})
+            if len(counts) > COUNTED:
+                yield told()
+                counts.clear()
+    yield told()
+
+
+def _disclosure(members: Column, total: int) -> Column:
+    """How far a term of so many texts, `together` of them with its entity, gives away that entity, which `alone` of all texts have."""
+    likely = F.least(F.lit(1.0), F.col("together") / members)
+    rarity = F.greatest(F.lit(1e-9), -F.log(F.least(F.lit(1.0), F.col("alone") / F.lit(max(1, total)))))
+    return 1 + F.log(likely) / rarity
+
+
 def _frequency(filter_, repeated):
     """How many texts have each term that passes the filter, counted by task; texts that may be repeated are named."""
 
@@ -274,17 +298,20 @@ def disclosing_terms(docs: DataFrame, settings: Settings, scratch: Scratch) -> D
     proven = F.sum(F.when(F.col("proves"), F.col("n")).otherwise(0))
     pairs = pairs.groupBy("entity", "term").agg(F.max("alone").alias("alone"), F.sum("n").alias("together"), proven.alias("proofs"))
     pairs = scratch.keep(pairs.where(F.col("proofs") >= settings.support), "pairs")
+    copies = seen.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
+    total = copies.count()
+    # a term stands in at least as many texts as it does among those with an entity; where that is too many already, no scan is needed
+    least = bodies.select("body").mapInArrow(_met, "term long, n long").groupBy("term").agg(F.sum("n").alias("least"))
+    least = scratch.keep(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("pairs")).join(least, "term"), "least")
+    pairs = join_groups(pairs, least, ["term"], "pairs", pairs.count()).where(_disclosure(F.col("least"), total) >= settings.generalise)
+    pairs = scratch.keep(pairs.select("entity", "term", "alone", "together"), "possible")
     candidates = scratch.keep(pairs.groupBy("term").agg(F.count(F.lit(1)).alias("pairs")), "candidates")
     if candidates.isEmpty():
         return None
-    copies = seen.groupBy("text").agg(F.count(F.lit(1)).alias("copies"))
-    total = copies.count()
     frequency = docs.select(_text()).mapInArrow(_frequency(sieve(candidates, "term"), sieve(copies.where("copies > 1"), "text")), "term long, text long, n long")
     frequency = frequency.groupBy("term", "text").agg(F.sum("n").alias("n")).groupBy("term").agg(F.sum(F.when(F.col("text").isNull(), F.col("n")).otherwise(1)).alias("members"))
-    likely = F.least(F.lit(1.0), F.col("together") / F.col("members"))
-    rarity = F.greatest(F.lit(1e-9), -F.log(F.least(F.lit(1.0), F.col("alone") / F.lit(max(1, total)))))
     sized = scratch.keep(candidates.join(frequency, "term"), "frequency")
-    rated = join_groups(pairs, sized, ["term"], "pairs", pairs.count()).withColumn("disclosure", 1 + F.log(likely) / rarity)
+    rated = join_groups(pairs, sized, ["term"], "pairs", pairs.count()).withColumn("disclosure", _disclosure(F.col("members"), total))
     found = rated.groupBy("term").agg(F.max("disclosure").alias("disclosure"), F.max("members").alias("members")).where(F.col("disclosure") >= settings.generalise)
     kind = F.when(F.col("disclosure") >= settings.remove, TERMS[1]).otherwise(TERMS[0])
     found = scratch.keep(found.select("term", kind.alias("kind"), "members"), "terms")
