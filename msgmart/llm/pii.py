@@ -31,6 +31,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
+import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame
@@ -38,7 +39,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from msgmart.llm.scratch import Scratch
-from msgmart.llm.sieve import passes_one, sieve
+from msgmart.llm.sieve import passes, passes_one, sieve
 from msgmart.llm.skew import join_groups
 from msgmart.llm.texts import own_names, row_numbers
 
@@ -53,7 +54,9 @@ CARD = re.compile(r"[0-9](?:[\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 DIGITS = re.compile(r"[^0-9]")
 WORD = re.compile(r"[^\W_]+")
-ROWS = 500
+ROWS = 2000
+#: Characters of texts, the last one whole, whose distinct words are judged together.
+SLICE = 8_000_000
 
 
 @dataclass(frozen=True)
@@ -150,13 +153,20 @@ def _bodies(filter_):
 COUNTED = 200_000
 
 
-def _outside(text: str, words: list[re.Match]) -> list[re.Match]:
-    """The words that are no part of a base span."""
-    spans = base_spans(text) if words else []
-    inside = bytearray(len(text)) if spans else b""
+def _inside(text: str, spans: list[tuple[int, int, int]]) -> bytearray:
+    """For each character whether a span covers it."""
+    inside = bytearray(len(text))
     for a, _, b in spans:
         inside[a:b] = b"\1" * (b - a)
-    return [m for m in words if not any(inside[m.start() : m.end()])] if spans else words
+    return inside
+
+
+def _outside(text: str, words: list[re.Match]) -> list[re.Match]:
+    """The words that are no part of a base span."""
+    if not words or not (spans := base_spans(text)):
+        return words
+    inside = _inside(text, spans)
+    return [m for m in words if not any(inside[m.start() : m.end()])]
 
 
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -237,6 +247,64 @@ def _disclosure(members: Column, total: int) -> Column:
     return 1 + F.log(likely) / rarity
 
 
+#: Capitals to small letters, all other ASCII characters that are no digits or small letters to spaces.
+PLAIN = bytes(x | 32 if 65 <= x <= 90 else x if x >= 128 or chr(x).isalnum() else 32 for x in range(256))
+
+
+def _judged(filter_: bytes, pieces: set[bytes]) -> dict[bytes, list[tuple[str, int]]]:
+    """Pieces with terms that pass the filter: the terms, and their hashes."""
+    order = [(x, x) for x in pieces if x.isascii()]
+    order += [(x, w.encode()) for x in pieces if not x.isascii() for w in {w.lower() for w in WORD.findall(x.decode())}]
+    digests = np.fromiter((xxhash.xxh3_64_intdigest(w) for _, w in order), np.uint64, len(order))
+    hashes = (digests ^ np.uint64(1 << 63)).view(np.int64)
+    found: dict[bytes, list[tuple[str, int]]] = {}
+    for k in np.flatnonzero(passes(filter_, hashes)).tolist():
+        piece, word = order[k]
+        found.setdefault(piece, []).append((word.decode(), int(hashes[k])))
+    return found
+
+
+def passing(filter_: bytes, texts: list[str]) -> Iterator[tuple[str, dict[str, int]]]:
+    """Each text with those of its terms that pass the filter, and their hashes.
+
+    Texts are cut, as bytes, at all ASCII characters that no word contains, and each distinct piece of some texts is
+    judged once for all of these; only pieces beyond ASCII are looked at more closely.
+    """
+    at = 0
+    while at < len(texts):
+        end, size = at, 0
+        while end < len(texts) and size < SLICE:
+            size += len(texts[end])
+            end += 1
+        sets = [set(text.encode().translate(PLAIN).split()) for text in texts[at:end]]
+        judged = _judged(filter_, set().union(*sets))
+        pieces = set(judged)
+        for text, there in zip(texts[at:end], sets, strict=True):
+            yield text, dict(x for piece in there & pieces for x in judged[piece])
+        at = end
+
+
+def _places(text: str, terms: dict[str, int]) -> list[tuple[int, int, int]]:
+    """Start, end and hash of the words that are one of the terms, in order.
+
+    Few terms are searched for one by one, where small letters have the places of the text: one capital becomes two
+    characters, and the form of another depends on what follows the word.
+    """
+    low = text.lower()
+    if len(terms) > 50 or len(low) != len(text) or "\u03a3" in text:
+        words = ((m.start(), m.end(), terms.get(m[0].lower())) for m in WORD.finditer(text))
+        return [x for x in words if x[2] is not None]
+    found = []
+    for term, h in terms.items():
+        at = low.find(term)
+        while at >= 0:
+            end = at + len(term)
+            if not (low[at - 1 : at].isalnum() or low[end : end + 1].isalnum()):
+                found.append((at, end, h))
+            at = low.find(term, end)
+    return sorted(found)
+
+
 def _frequency(filter_, repeated):
     """How many texts have each term that passes the filter, counted by task; texts that may be repeated are named."""
 
@@ -245,14 +313,16 @@ def _frequency(filter_, repeated):
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["term", "text", "n"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, memo = filter_.value, {}
         counts: Counter[tuple[int, int | None]] = Counter()
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                hits = _outside(text, [m for m in WORD.finditer(text) if passes_one(cells, _term(m[0], memo))])
-                if hits:
+            for text, hits in passing(filter_.value, batch.column(0).to_pylist()):
+                terms = set(hits.values())
+                if hits and (spans := base_spans(text)):
+                    inside = _inside(text, spans)
+                    terms = {h for a, b, h in _places(text, hits) if not any(inside[a:b])}
+                if terms:
                     name = h if passes_one(repeated.value, h := _hash(_same(text))) else None
-                    counts.update({(_term(m[0], memo), name) for m in hits})
+                    counts.update({(h, name) for h in terms})
                 if len(counts) > COUNTED:
                     yield told(counts)
                     counts.clear()
@@ -323,13 +393,13 @@ def _scan(filter_, keep: int):
     extra = [("_uid", pa.int64()), ("_base", pa.string()), ("_terms", pa.list_(pa.int64())), ("_starts", pa.list_(pa.int32())), ("_ends", pa.list_(pa.int32()))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        cells, memo, numbers = filter_.value if filter_ else None, {}, row_numbers()
+        cells, numbers = filter_.value if filter_ else None, row_numbers()
         for batch in batches:
             texts = batch.column(keep).to_pylist()
             for at in range(0, len(texts), ROWS):
-                rows = []
-                for text in texts[at : at + ROWS]:
-                    hits = [(h, m.start(), m.end()) for m in WORD.finditer(text) if passes_one(cells, h := _term(m[0], memo))] if cells else []
+                rows, some = [], texts[at : at + ROWS]
+                for text, there in passing(cells, some) if cells else ((x, None) for x in some):
+                    hits = [(h, a, b) for a, b, h in _places(text, there)] if there else []
                     rows.append((next(numbers), written(base_spans(text)), *(map(list, zip(*hits, strict=True)) if hits else (None, None, None))))
                 columns = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), extra, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(c.slice(at, len(rows)) for c in batch.columns[:keep]), *columns], names=[*batch.schema.names[:keep], *(n for n, _ in extra)])

@@ -1,6 +1,7 @@
 import random
 
 from msgmart.llm import pii
+from msgmart.llm.sieve import BITS
 
 from . import plain
 
@@ -160,3 +161,23 @@ def test_disclosure_against_plain(spark):
     found = plain.disclosing(texts, settings.support, settings.generalise)
     want = {(k, a, b) for k, text in enumerate(texts) for a, b, word in plain.terms(text) if word in found}
     assert found and got == want
+
+
+def test_passing_words_against_plain(monkeypatch):
+    """Terms that pass a filter and their places, cut at bytes and searched for, as the words of the text give them."""
+    rng = random.Random(14)
+    parts = ["Ab", "ab", "B", "7", "é", "É", "ß", "İ", "Σ", "σ", "ς", "ſ", "\u212a", "中", "_", "-", "'", " ", "\n", "\x1c", "\x85", "\u2003", "\u0301", ".", "😀"]
+    texts = ["", *("".join(rng.choices(parts, k=rng.randint(1, 40))) for _ in range(4000)), "ab " * 100 + " ".join(f"w{k}" for k in range(90))]
+    words = sorted({m[0].lower() for text in texts for m in pii.WORD.finditer(text)})
+    wanted = {pii._hash(w) for w in words[::2]}
+    bitmap = bytearray(1 << (BITS - 3))
+    for h in wanted:
+        cell = (h >> (64 - BITS)) & ((1 << BITS) - 1)
+        bitmap[cell >> 3] |= 1 << (cell & 7)
+    for size in (50, 8_000_000):
+        monkeypatch.setattr(pii, "SLICE", size)
+        got = list(pii.passing(bytes(bitmap), texts))
+        assert [text for text, _ in got] == texts
+        for text, terms in got:
+            want = [(m.start(), m.end(), h) for m in pii.WORD.finditer(text) if pii.passes_one(bitmap, h := pii._hash(m[0].lower()))]
+            assert {h for _, _, h in want} == set(terms.values()) and pii._places(text, terms) == want
