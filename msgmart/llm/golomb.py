@@ -22,9 +22,7 @@ def encode(values: np.ndarray) -> bytes:
     ends = np.cumsum(high + 1) - 1
     unary = np.zeros(int(ends[-1]) + 1, dtype=np.uint8)
     unary[ends] = 1
-    rest = np.empty((n, k), dtype=np.uint8)
-    for j in range(k):
-        rest[:, j] = (gaps >> np.uint64(k - 1 - j)) & np.uint64(1)
+    rest = np.unpackbits(gaps.astype(">u8").view(np.uint8).reshape(n, 8)[:, 8 - (k + 7) // 8 :], axis=1)[:, -k % 8 :]
     head = np.array([n], dtype="<u8").tobytes() + bytes([k]) + np.array([len(unary)], dtype="<u8").tobytes()
     return head + np.packbits(unary).tobytes() + np.packbits(rest.reshape(-1)).tobytes()
 
@@ -41,9 +39,11 @@ def decode(data: bytes) -> np.ndarray:
     gaps = (np.diff(ends, prepend=-1) - 1).astype(np.uint64) << np.uint64(k)
     if k:
         rest = np.unpackbits(body[split:], count=n * k).reshape(n, k)
-        low = np.zeros(n, dtype=np.uint64)
-        for j in range(k):
-            low = (low << np.uint64(1)) | rest[:, j]
-        gaps |= low
+        bytes_ = (k + 7) // 8
+        wide = np.zeros((n, 8 * bytes_), dtype=np.uint8)
+        wide[:, -k:] = rest
+        low = np.zeros((n, 8), dtype=np.uint8)
+        low[:, 8 - bytes_ :] = np.packbits(wide, axis=1)
+        gaps |= low.view(">u8").reshape(n).astype(np.uint64)
     gaps[1:] += np.uint64(1)
     return np.cumsum(gaps, dtype=np.uint64)

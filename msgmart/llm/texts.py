@@ -82,6 +82,81 @@ def word_hashes(limit: int = 300_000) -> Callable[[bytes], np.ndarray]:
     return hashes
 
 
+#: Bytes of text that are looked at together, and of the longest words that are hashed together.
+SLICE, WORD = 1 << 19, 64
+
+
+def slices(column: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last row (exclusive) of some texts that lie one behind the other, their bytes, and where each starts and the last ends.
+
+    A slice has about SLICE bytes, or one longer text. There are no nulls.
+    """
+    column = column.cast(pa.large_binary())
+    _, offsets, data = column.buffers()
+    if not len(column):
+        return
+    offsets = np.frombuffer(offsets, np.int64)[column.offset : column.offset + len(column) + 1]
+    data = np.frombuffer(data, np.uint8) if data else np.empty(0, np.uint8)
+    at = 0
+    while at < len(column):
+        to = max(at + 1, int(np.searchsorted(offsets, offsets[at] + SLICE, "right")) - 1)
+        yield at, to, data[offsets[at] : offsets[to]], offsets[at : to + 1] - offsets[at]
+        at = to
+
+
+def word_places(data: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Starts and ends of the words `[^\\x20\\x09-\\x0D]+` of the texts of a slice, and how many each text has."""
+    inside = np.zeros(len(data) + 2, bool)
+    inside[1:-1] = (data != 32) & (data - np.uint8(9) > 4)
+    first = inside[1:] & ~inside[:-1]
+    last = ~inside[1:] & inside[:-1]
+    inner = bounds[1:-1][(bounds[1:-1] > 0) & (bounds[1:-1] < len(data))]
+    split = inner[inside[inner] & inside[inner + 1]]  # words of two texts that touch
+    first[split] = last[split] = True
+    starts, ends = np.flatnonzero(first), np.flatnonzero(last)
+    return starts, ends, np.diff(np.searchsorted(starts, bounds))
+
+
+def place_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the words at these places: eight bytes of all words at a time, xxh3 where they are longer than WORD."""
+    eights = np.zeros(len(data) // 8 + 3, "<u8")
+    eights.view(np.uint8)[: len(data)] = data
+    masks = np.array([(1 << 8 * k) - 1 for k in range(9)], np.uint64)
+
+    def eight(at: np.ndarray, left: np.ndarray) -> np.ndarray:
+        cell, shift = at >> 3, ((at & 7) << 3).astype(np.uint64)
+        return ((eights[cell] >> shift) | (eights[cell + 1] << (np.uint64(63) - shift) << np.uint64(1))) & masks[np.minimum(left, 8)]
+
+    sizes = ends - starts
+    out = scramble(eight(starts, sizes) + sizes.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    more = np.flatnonzero((sizes > 8) & (sizes <= WORD))
+    for at in range(8, WORD, 8):
+        more = more[sizes[more] > at]
+        if not len(more):
+            break
+        out[more] = scramble(out[more] * np.uint64(0x9E3779B97F4A7C15) + eight(starts[more] + at, sizes[more] - at))
+    for k in np.flatnonzero(sizes > WORD).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[starts[k] : ends[k]].tobytes())
+    return out
+
+
+def joined(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, sizes: np.ndarray, kept: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """The (`kept`) words of each text joined by one space: all texts' bytes, and where each starts and the last ends."""
+    text = np.repeat(np.arange(len(sizes)), sizes)
+    if kept is not None:
+        starts, ends, text = starts[kept], ends[kept], text[kept]
+        sizes = np.bincount(text, minlength=len(sizes))
+    behind = np.zeros(len(text), np.int64)  # a byte between two words of a text becomes the space
+    behind[:-1] = text[1:] == text[:-1]
+    edges = np.zeros(len(data) + 1, np.int8)
+    edges[starts] += 1
+    edges[ends + behind] -= 1
+    out = data.copy()
+    out[ends[behind > 0]] = 32
+    at = np.concatenate([[0], np.cumsum(ends + behind - starts)])
+    return out[np.cumsum(edges[:-1], dtype=np.int8).view(bool)], at[np.concatenate([[0], np.cumsum(sizes)])]
+
+
 def scramble(x: np.ndarray) -> np.ndarray:
     """A bijection of 64-bit integers that spreads every bit over all bits."""
     x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
