@@ -29,7 +29,7 @@ from msgmart.llm import golomb
 from msgmart.llm.scratch import Scratch
 from msgmart.llm.sieve import passes, sieve
 from msgmart.llm.skew import join_groups
-from msgmart.llm.texts import only_of_this_stage, own_names, row_numbers, signed, text_bytes
+from msgmart.llm.texts import few, own_names, row_numbers, signed, text_bytes, tidy
 
 #: Deleted before texts are compared.
 BLANKS = b" \t\n\v\f\r"
@@ -52,10 +52,6 @@ def _fingerprint(text: bytes) -> int:
     return xxhash.xxh3_64_intdigest(text)
 
 
-def _slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    return (batch.slice(at, ROWS) for batch in batches for at in range(0, batch.num_rows, ROWS))
-
-
 def _prints(bits: int):
     """Rows of kind 0 describe documents, rows of kind 1 are messages to owners."""
 
@@ -84,10 +80,11 @@ def _prints(bits: int):
         yield pa.RecordBatch.from_arrays(
             [pa.array(np.ones(m, np.int32)), none(pa.int64(), m), none(pa.int64(), m), none(pa.int64(), m), none(pa.int64(), m), none(pa.binary(), m), pa.array(np.full(m, chunk)), pa.array(to, pa.int32()), none(pa.int32(), m), pa.array(message, pa.binary())], schema=schema)
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         numbers = row_numbers()
         columns: list[list] = [[], [], [], [], []]
-        for batch in _slices(batches):
+        for batch in few(batches, ROWS):
             for doc_id, text, chars in zip(*(batch.column(i).to_pylist() for i in range(3)), strict=True):
                 text = normal(text)
                 for column, x in zip(columns, (next(numbers), doc_id, chars, _fingerprint(text), hashlib.sha256(text).digest()), strict=True):
@@ -141,10 +138,10 @@ def _sift(filter_, at: int, wanted: bool, number: bool = False):
     These come with both hashes of the text and a row number, or as the hashes and the text without blanks.
     """
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only_of_this_stage()
         bitmap, numbers = filter_.value, row_numbers()
-        for batch in _slices(batches):
+        for batch in few(batches, ROWS):
             texts = [normal(x or b"") for x in batch.column(at).cast(pa.binary()).to_pylist()]
             fps = np.fromiter(map(_fingerprint, texts), dtype=np.uint64, count=len(texts))
             hit = np.flatnonzero(passes(bitmap, fps) == wanted)

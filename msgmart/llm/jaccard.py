@@ -41,7 +41,7 @@ from msgmart.llm.components import components
 from msgmart.llm.scratch import Scratch
 from msgmart.llm.sieve import passes, sieve
 from msgmart.llm.skew import join_groups
-from msgmart.llm.texts import grouped, own_names, packed, row_numbers, scramble, signed, text_bytes, window_hashes, word_hashes
+from msgmart.llm.texts import grouped, own_names, packed, row_numbers, scramble, signed, text_bytes, tidy, window_hashes, word_hashes
 
 ROWS = 500
 
@@ -103,6 +103,7 @@ SIGNED = [*(T.StructField(x, T.LongType()) for x in ("_uid", "_runs", "_set_a",
 
 
 def _sign(settings: Settings):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes, numbers = word_hashes(), row_numbers()
         offsets = np.arange(settings.bands, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)
@@ -133,6 +134,7 @@ def _sign(settings: Settings):
 def _runs_of(filter_, settings: Settings):
     """uid and runs of the rows (uid, hash of uid, text) that pass the filter."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = word_hashes()
         for batch in batches:
@@ -249,6 +251,7 @@ def _meetings(group: pa.Table, settings: Settings) -> Iterator[tuple[np.ndarray,
 def _prune(settings: Settings):
     """What the surviving candidates of each band connect, as links to the least of each part."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         a: list[int] = []
         b: list[int] = []
@@ -278,6 +281,7 @@ LINKS = "uid long, peer long, links long"
 def _compare(settings: Settings):
     """Verified links: for each class how many rows it is linked to (no peer), and a forest of the links."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for group in grouped(batches, 3):
             uid, members = group["uid"].to_numpy(), group["members"].to_numpy()
@@ -405,6 +409,7 @@ def keep_first(docs: DataFrame, settings: Settings = Settings(), scratch: Scratc
 
 
 def _sorted_out(filter_, wanted: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             hit = passes(filter_.value, batch.column(batch.num_columns - 1).to_numpy())

@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from msgmart.llm.texts import only_of_this_stage
+from msgmart.llm.texts import tidy
 
 #: Trigram buckets, and the count that every bucket has before any text.
 BUCKETS, PRIOR = 1 << 17, 0.05
@@ -76,8 +76,8 @@ def _count(size: int):
             yield pa.RecordBatch.from_arrays([pa.array([lang] * len(there), pa.string()), pa.array(there.astype(np.int32)), pa.array(counts[there])], names=["lang", "bucket", "n"])
         totals.clear()
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only_of_this_stage()
         totals: dict[str, np.ndarray] = {}
         for batch in batches:
             for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
@@ -155,8 +155,8 @@ def _predict(model, penalty: float):
     """Columns but the last, which is the text, and the prediction."""
     types = [pa.string(), pa.float64(), pa.list_(pa.string()), pa.list_(pa.float64())]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        only_of_this_stage()
         known: Model = model.value
         place: dict[str, int] = {}
         learned = [0]

@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from msgmart.llm.scratch import Scratch
-from msgmart.llm.texts import held, packed, row_numbers
+from msgmart.llm.texts import held, only_of_this_stage, packed, row_numbers, tidy
 
 #: Stems of words of each of two generations whose ids a worker remembers, and the length up to which it does.
 REMEMBERED, WORD = 250_000, 100
@@ -156,6 +156,7 @@ def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
 
 
 def _pieces(path: str, capacity: int, ids: bool):
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs, numbers = held(Words, path).blobs, row_numbers()
         for batch in batches:
@@ -309,6 +310,7 @@ STATE = "block long, island int, lengths array<int>, population array<binary>, b
 
 def _epoch(capacity: int, settings: Settings, number: int):
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
+        only_of_this_stage()
         row = pdf.iloc[0]
         lengths = [int(x) for x in row["lengths"]]
         codes = [] if row["population"] is None else list(row["population"])
@@ -324,6 +326,7 @@ def _epoch(capacity: int, settings: Settings, number: int):
 
 def _places(pdf: pd.DataFrame) -> pd.DataFrame:
     """The sequence and the offset of each item of a block."""
+    only_of_this_stage()
     row = pdf.iloc[0]
     place, lengths = np.frombuffer(row["best"], "<i4").astype(np.int64), np.asarray(row["lengths"], np.int64)
     order = np.argsort(place, kind="stable")

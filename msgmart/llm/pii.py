@@ -28,7 +28,7 @@ from __future__ import annotations
 
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -41,7 +41,7 @@ from pyspark.sql import types as T
 from msgmart.llm.scratch import Scratch
 from msgmart.llm.sieve import passes, passes_one, sieve
 from msgmart.llm.skew import join_groups
-from msgmart.llm.texts import own_names, row_numbers
+from msgmart.llm.texts import few, own_names, row_numbers, tidy
 
 KINDS = ("email", "ip", "card", "phone")
 #: Spans of terms: replaced, deleted.
@@ -124,9 +124,10 @@ def _same(text: str) -> str:
     return " ".join(text.lower().split())
 
 
+@tidy
 def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hash of each text and its entities."""
-    for batch in batches:
+    for batch in few(batches):
         texts, found = [], []
         for text in batch.column(0).to_pylist():
             there = set()
@@ -141,8 +142,9 @@ def _entities(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _bodies(filter_):
     """Texts that pass the filter."""
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in few(batches):
             rows = [(h, text) for text in batch.column(0).to_pylist() if passes_one(filter_.value, h := _hash(_same(text)))]
             yield pa.RecordBatch.from_arrays([pa.array([h for h, _ in rows], pa.int64()), pa.array([x for _, x in rows], pa.string())], names=["text", "body"])
 
@@ -169,9 +171,10 @@ def _outside(text: str, words: list[re.Match]) -> list[re.Match]:
     return [m for m in words if not any(inside[m.start() : m.end()])]
 
 
+@tidy
 def _windows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Each row's text and entities, and the hashes of its runs of words in order; a text of fewer words is one run."""
-    for batch in batches:
+    for batch in few(batches):
         runs = []
         for body in batch.column("body").to_pylist():
             words = [m[0] for m in WORD.finditer(body.lower())]
@@ -201,6 +204,7 @@ def own_surroundings(rows: DataFrame) -> DataFrame:
     return owned.where(longest >= wanted).select("entity", "text")
 
 
+@tidy
 def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many distinct texts each term stands with each entity of `known`, and how many of them prove it, counted by task."""
     memo: dict[str, int] = {}
@@ -212,7 +216,7 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         arrays = [pa.array(c, t) for c, t in zip(columns, types, strict=True)]
         return pa.RecordBatch.from_arrays([*arrays, pa.array(counts.values(), pa.int64())], names=["entity", "alone", "term", "proves", "n"])
 
-    for batch in batches:
+    for batch in few(batches):
         for known, text in zip(batch.column("known").to_pylist(), batch.column("body").to_pylist(), strict=True):
             terms = {_term(m[0], memo) for m in _outside(text, list(WORD.finditer(text)))}
             for x in known:
@@ -223,6 +227,7 @@ def _together(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield told()
 
 
+@tidy
 def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """In how many of the texts each term stands, counted by task."""
     memo: dict[str, int] = {}
@@ -231,7 +236,7 @@ def _met(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     def told() -> pa.RecordBatch:
         return pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.int64()), pa.array(counts.values(), pa.int64())], names=["term", "n"])
 
-    for batch in batches:
+    for batch in few(batches):
         for text in batch.column(0).to_pylist():
             counts.update({_term(m[0], memo) for m in _outside(text, list(WORD.finditer(text)))})
             if len(counts) > COUNTED:
@@ -312,9 +317,10 @@ def _frequency(filter_, repeated):
         columns = [[k[0] for k in counts], [k[1] for k in counts], list(counts.values())]
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=["term", "text", "n"])
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter[tuple[int, int | None]] = Counter()
-        for batch in batches:
+        for batch in few(batches, 2 * ROWS):
             for text, hits in passing(filter_.value, batch.column(0).to_pylist()):
                 terms = set(hits.values())
                 if hits and (spans := base_spans(text)):
@@ -392,17 +398,16 @@ def _scan(filter_, keep: int):
     """The first `keep` columns, the base spans, and the places of terms that pass the filter."""
     extra = [("_uid", pa.int64()), ("_base", pa.string()), ("_terms", pa.list_(pa.int64())), ("_starts", pa.list_(pa.int32())), ("_ends", pa.list_(pa.int32()))]
 
+    @tidy
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cells, numbers = filter_.value if filter_ else None, row_numbers()
-        for batch in batches:
-            texts = batch.column(keep).to_pylist()
-            for at in range(0, len(texts), ROWS):
-                rows, some = [], texts[at : at + ROWS]
-                for text, there in passing(cells, some) if cells else ((x, None) for x in some):
-                    hits = [(h, a, b) for a, b, h in _places(text, there)] if there else []
-                    rows.append((next(numbers), written(base_spans(text)), *(map(list, zip(*hits, strict=True)) if hits else (None, None, None))))
-                columns = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), extra, strict=True)]
-                yield pa.RecordBatch.from_arrays([*(c.slice(at, len(rows)) for c in batch.columns[:keep]), *columns], names=[*batch.schema.names[:keep], *(n for n, _ in extra)])
+        for batch in few(batches, ROWS):
+            rows, texts = [], batch.column(keep).to_pylist()
+            for text, there in passing(cells, texts) if cells else ((x, None) for x in texts):
+                hits = [(h, a, b) for a, b, h in _places(text, there)] if there else []
+                rows.append((next(numbers), written(base_spans(text)), *(map(list, zip(*hits, strict=True)) if hits else (None, None, None))))
+            columns = [pa.array(c, t) for c, (_, t) in zip(zip(*rows, strict=True), extra, strict=True)]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:keep], *columns], names=[*batch.schema.names[:keep], *(n for n, _ in extra)])
 
     return run
 
@@ -414,7 +419,7 @@ def _parsed(spans: str) -> list[tuple[int, int, int]]:
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Puts confirmed terms, where no base span has the place, among the base spans."""
-    for batch in batches:
+    for batch in few(batches):
         out = []
         for base, found in zip(batch.column("_base").to_pylist(), batch.column("_found").to_pylist(), strict=True):
             spans = _parsed(base)
@@ -426,25 +431,51 @@ def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), pa.array(out, pa.string())], names=[*names, "_spans"])
 
 
-def annotate(docs: DataFrame, columns: list[str], settings: Settings = Settings(), scratch: Scratch | None = None) -> DataFrame:
-    """`columns` of `docs`, with _base and _spans: base spans and all spans as kind:start:end, joined by commas."""
+def _based(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of a scan without terms: the base spans are all spans."""
+    for batch in batches:
+        names = batch.schema.names[: batch.schema.get_field_index("_uid")]
+        base = batch.column("_base")
+        yield pa.RecordBatch.from_arrays([*(batch.column(x) for x in names), base, base], names=[*names, "_base", "_spans"])
+
+
+Step = Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]
+
+
+def _in_turn(*steps: Step) -> Step:
+    """The steps one behind the other in one worker; Spark would take a worker for each."""
+
+    @tidy
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for step in steps:
+            batches = step(batches)
+        yield from batches
+
+    return run
+
+
+def annotate(docs: DataFrame, columns: list[str], settings: Settings = Settings(), scratch: Scratch | None = None, then: Step | None = None, into: T.StructType | None = None) -> DataFrame:
+    """`columns` of `docs`, with _base and _spans: base spans and all spans as kind:start:end, joined by commas.
+
+    Or what the step `then` makes of these, which has the schema `into`.
+    """
     scratch = scratch or Scratch(docs.sparkSession, "pii")
     found = disclosing_terms(docs, settings, scratch)
     fields = [docs.schema[x] for x in columns]
     scanned = T.StructType([*fields, T.StructField("_uid", T.LongType()), T.StructField("_base", T.StringType()), *(T.StructField(x, T.ArrayType(t)) for x, t in (("_terms", T.LongType()), ("_starts", T.IntegerType()), ("_ends", T.IntegerType())))])
     source = docs.select(*columns, _text())
-    rows = source.mapInArrow(_scan(sieve(found, "term") if found is not None else None, len(columns)), scanned)
-    plain = [*columns, "_base", F.col("_base").alias("_spans")]
+    into = into or T.StructType([*fields, T.StructField("_base", T.StringType()), T.StructField("_spans", T.StringType())])
+    last = [then] if then else []
     if found is None:
-        return rows.select(*plain)
-    rows = scratch.keep(rows, "scanned")
+        return source.mapInArrow(_in_turn(_scan(None, len(columns)), _based, *last), into)
+    rows = scratch.keep(source.mapInArrow(_scan(sieve(found, "term"), len(columns)), scanned), "scanned")
     open_ = rows.where("_terms is not null")
     hits = open_.select("_uid", F.explode(F.arrays_zip("_terms", "_starts", "_ends")).alias("h")).select("_uid", F.col("h._terms").alias("term"), F.concat_ws(":", "h._starts", "h._ends").alias("place"))
     total = open_.select(F.sum(F.size("_terms"))).first()[0] or 0
     sure = join_groups(hits, found, ["term"], "members", total).groupBy("_uid").agg(F.collect_list(F.concat_ws(":", "kind", "place")).alias("_found"))
-    merged = T.StructType([*fields, T.StructField("_base", T.StringType()), T.StructField("_spans", T.StringType())])
-    closed = open_.join(sure, "_uid", "left").select(*columns, "_base", "_found").mapInArrow(_merge, merged)
-    return rows.where("_terms is null").select(*plain).unionByName(closed)
+    closed = open_.join(sure, "_uid", "left").select(*columns, "_base", "_found").mapInArrow(_in_turn(_merge, *last), into)
+    plain = rows.where("_terms is null").select(*columns, "_base", F.col("_base").alias("_spans"))
+    return (plain.mapInArrow(_in_turn(then), into) if then else plain).unionByName(closed)
 
 
 def cleaned(text: str, spans: list[tuple[int, int, int]]) -> str:
@@ -462,9 +493,9 @@ def cleaned(text: str, spans: list[tuple[int, int, int]]) -> str:
 
 
 def _clean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
+    for batch in few(batches):
         texts = [x if x is None or not s else cleaned(x, _parsed(s)) for x, s in zip(batch.column("text").to_pylist(), batch.column("_spans").to_pylist(), strict=True)]
-        names = [x for x in batch.schema.names if x != "_spans"]
+        names = [x for x in batch.schema.names if x not in ("_base", "_spans")]
         yield pa.RecordBatch.from_arrays([pa.array(texts, batch.schema.field("text").type) if x == "text" else batch.column(x) for x in names], names=names)
 
 
@@ -472,7 +503,7 @@ def sanitise(docs: DataFrame, settings: Settings = Settings(), scratch: Scratch
     """`docs` with cleaned texts, and n_chars, where it is a column, of the texts as cleaned."""
     names = docs.columns
     docs = own_names(docs, ("doc_id", "text", "n_chars"))
-    rows = annotate(docs, docs.columns, settings, scratch).drop("_base").mapInArrow(_clean, docs.schema)
+    rows = annotate(docs, docs.columns, settings, scratch, _clean, docs.schema)
     if "n_chars" in docs.columns:
         rows = rows.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(docs.schema["n_chars"].dataType)))
     return rows.select(*docs.columns).toDF(*names)

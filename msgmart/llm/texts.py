@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import functools
 import gc
 from collections.abc import Callable, Iterator, Sequence
 
@@ -38,10 +39,35 @@ def only_of_this_stage() -> None:
         _held.clear()
         _held["stage"] = stage
         gc.collect()
-        pa.default_memory_pool().release_unused()
-        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
-        if trim:
-            trim(0)
+        let_go()
+
+
+def let_go() -> None:
+    """Gives memory that nothing uses back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # where the C library has it
+    if trim:
+        trim(0)
+
+
+def tidy(run: Callable) -> Callable:
+    """`run`, a function over the batches of a task, in a worker that keeps little: nothing of other stages, and once it ends only what is `held`.
+
+    Workers wait for tasks while the JVM goes on, and then count as the executor's memory too.
+    """
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        only_of_this_stage()
+        yield from run(batches)
+        let_go()
+
+    return whole
+
+
+def few(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches' rows, a few at a time."""
+    return (batch.slice(at, rows) for batch in batches for at in range(0, batch.num_rows, rows))
 
 
 def held(make: Callable, *arguments):

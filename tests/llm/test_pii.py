@@ -181,3 +181,22 @@ def test_passing_words_against_plain(monkeypatch):
         for text, terms in got:
             want = [(m.start(), m.end(), h) for m in pii.WORD.finditer(text) if pii.passes_one(bitmap, h := pii._hash(m[0].lower()))]
             assert {h for _, _, h in want} == set(terms.values()) and pii._places(text, terms) == want
+
+
+def test_no_task_takes_two_workers(spark):
+    """Python functions one behind the other in one stage would each hold a worker of the executor."""
+    letters = spark.range(20).selectExpr("2000 + id AS doc_id", "concat(repeat(concat('w', id, ' '), 3), 'kind words of ', 'goldfinch boss@example.com ', array_join(transform(sequence(1, 30), x -> concat('o', id, 'p', x)), ' ')) AS text")
+    for docs in (corpus(spark).where("doc_id % 40 != 0"), corpus(spark).where("doc_id % 40 != 0").unionByName(letters)):
+        plan = pii.sanitise(docs)._jdf.queryExecution().executedPlan().toString()
+        above, seen = [], 0
+        for line in plan.split("\n"):
+            at = next((k for k, x in enumerate(line) if x.isalpha()), 0)
+            above = [(k, name) for k, name in above if k < at]
+            name = line[at:].split("(")[0].split(" ")[0]
+            if name == "MapInArrow":
+                seen += 1
+                stage = above[max((k for k, (_, x) in enumerate(above) if x.endswith("Exchange")), default=0) :]
+                assert all(x != "MapInArrow" for _, x in stage), plan
+            above.append((at, name))
+        assert seen in (1, 2), plan
+    assert seen == 2
