@@ -200,3 +200,15 @@ def test_no_task_takes_two_workers(spark):
             above.append((at, name))
         assert seen in (1, 2), plan
     assert seen == 2
+
+
+def test_terms_are_cleaned(spark):
+    """The cleaned texts are the texts without the spans that annotate finds, terms included."""
+    rng = random.Random(3)
+    some = lambda n: " ".join("".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(n))
+    texts = [*(f"{some(15)} goldfinch boss@example.com {some(15)}" for _ in range(8)), "ask goldfinch", *(some(12) for _ in range(500)), None, ""]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    spans = {r.doc_id: pii._parsed(r._spans) for r in pii.annotate(docs, ["doc_id"]).collect()}
+    got = {r.doc_id: r.text for r in pii.sanitise(docs).collect()}
+    assert got == {k: x if x is None else pii.cleaned(x, spans[k]) for k, x in enumerate(texts)}
+    assert all("<EMAIL>" in got[k] and "goldfinch" not in got[k] for k in range(8)) and "goldfinch" not in got[8]
