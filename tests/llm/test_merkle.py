@@ -102,3 +102,12 @@ def test_levels_are_equijoins_of_single_nodes(spark):
     nodes = spark.range(100).selectExpr("'1' AS tree", "id AS place", "100L AS n", "struct(string(id) AS digest) AS item")
     plan = merkle.runs(nodes, 16, Scratch(spark, "test"), "runs")._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("Join LeftOuter, ((tree") == 3 and "Aggregate" not in plan and "Window" not in plan
+
+
+def test_levels_and_paths_are_never_broadcast(spark):
+    """However small their files are: what they unpack to may not fit the driver."""
+    frame = spark.createDataFrame([(k, f"s{k % 3}", "en", k, str(k)) for k in range(300)], DDL)
+    nodes = frame.selectExpr("source AS tree", "doc_id AS place", "300L AS n", "struct(text AS digest) AS item")
+    for found in (merkle.runs(nodes, 2, Scratch(spark, "test"), "runs"), merkle.manifest(frame, Scratch(spark, "test"))):
+        plan = found._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
