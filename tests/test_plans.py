@@ -73,6 +73,14 @@ def test_children_parse_once_too(tables):
         assert len(re.findall(r"jsonstruct#\d+, Some", text)) == 1
 
 
+def test_a_condition_on_children_repeats_no_parse(tables):
+    """Elements are parsed below the explode: a filter above it has them as they are."""
+    spec = jobs.PRESALES
+    history = spec.outputs(spec.messages(tables.read(MESSAGES)))["cl_f_presalesorder_history_mt"]
+    above = history._jdf.queryExecution().optimizedPlan().toString().split("Generate")[0]
+    assert "Filter" in above and "from_json" not in above
+
+
 def test_a_table_kept_by_type_is_pruned(tables):
     text = plan(jobs.KLS_EVENT.main(new_messages(tables, jobs.KLS_EVENT, "_by_type")))
     assert re.search(r"PartitionFilters: \[[^\]]*messagetype[^\]]* = IBT - KLSEvent", text)
